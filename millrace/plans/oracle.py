@@ -45,7 +45,7 @@ def _cell(lon: str, lat: str) -> str:
     )
 
 
-def _places(days: int, closed: bool = False) -> str:
+def places(days: int, closed: bool = False) -> str:
     last = f"AND window_end_ms <= (SELECT epoch_ms(max(ts)) - 60000 FROM inside)" if closed else ""
     return f"""
 WITH {RIDES},
@@ -141,8 +141,8 @@ ASOF LEFT JOIN (SELECT user_id, ts, 'signup ' || event_id AS info FROM events WH
 ON t.user_id = i.user_id AND t.ts >= i.ts"""
 
 BATCH: dict[str, str] = {
-    "popular_places": _places(3),
-    "popular_places_tumbling": _places(1),
+    "popular_places": places(3),
+    "popular_places_tumbling": places(1),
     "ride_cleansing": f"WITH {RIDES} SELECT * FROM inside",
     "travel_time_prequential": TRAVEL_TIME,
     "word_count_batch": f"SELECT word, count(*) AS n FROM (SELECT {TOKENS_BATCH} AS word FROM documents) GROUP BY word",
