@@ -197,6 +197,9 @@ class Blocks:
 
         With ``inclusive=False`` a row sees only the rows before it.
         """
+        taken = set(aggs) & set(df.columns)
+        if taken:
+            raise ValueError(f"columns exist already: {sorted(taken)}")
         within = Window.partitionBy(*self.keys, BLOCK) if self.cuts else Window.partitionBy(*self.keys)
         within = within.orderBy(*self.order).rowsBetween(
             Window.unboundedPreceding, 0 if inclusive else -1

@@ -88,8 +88,8 @@ def stream_request_timeout(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_event_time_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = _stream(spark, sf_dir, "events").select("user_id", "ts", "event_id")
-    ordered = stateful.sort_by_event_time(events, "user_id", "ts", "event_id", f"{LATE_DELAY} seconds")
-    return _wall_clock(drain(ordered, "stream_event_time_sort"), "ts")
+    ordered = stateful.sort_by_event_time(events, "user_id", "ts", "event_id", f"{LATE_DELAY} seconds", "7 days")
+    return _wall_clock(drain(ordered, "stream_event_time_sort"), "ts", "slot_start")
 
 
 def stream_travel_time(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -163,8 +163,9 @@ FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey
 WHERE l_shipdate IS NOT NULL OR o_orderdate + INTERVAL 90 DAYS <
   least((SELECT max(o_orderdate) FROM orders), (SELECT max(l_shipdate) FROM lineitem)) - INTERVAL 90 MINUTES""",
     "stream_event_time_sort": f"""
-SELECT user_id, ts, event_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS position
-FROM events WHERE ts <= date_trunc('milliseconds', {_NEWEST}) - INTERVAL {LATE_DELAY} SECONDS""",
+SELECT user_id, ts, event_id, slot_start,
+       row_number() OVER (PARTITION BY user_id, slot_start ORDER BY ts, event_id) AS position
+FROM (SELECT *, time_bucket(INTERVAL 7 DAYS, ts, TIMESTAMP '1970-01-01') AS slot_start FROM events) WHERE ts <= date_trunc('milliseconds', {_NEWEST}) - INTERVAL {LATE_DELAY} SECONDS""",
     "stream_travel_time": oracle.TRAVEL_TIME,
     "stream_asof_join": f"SELECT *, false AS is_final FROM ({oracle.ASOF})",
     "stream_in_flight": """

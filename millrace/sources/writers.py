@@ -54,25 +54,26 @@ def stream_to_table(
 
 def stream_by_batch(
     stream: DataFrame,
-    path: str,
+    each: Callable[[DataFrame, int], None],
     checkpoint: str,
-    write: Callable[[DataFrame, str], None] | None = None,
-    mode: str = "update",
+    mode: str = "append",
     name: str | None = None,
     once: bool = False,
     interval: str = CHECKPOINT_INTERVAL,
 ) -> StreamingQuery:
-    """Write each micro-batch to a folder of its own; a repeated batch replaces its folder."""
-    put = write or (lambda df, target: df.write.mode("overwrite").parquet(target))
+    """Hand each micro-batch and its number to a function, which must bear repetition."""
+    return _writer(stream, checkpoint, name, mode, once, interval).foreachBatch(each).start()
 
-    def each(df: DataFrame, batch: int) -> None:
-        put(df, f"{path}/batch={batch}")
 
-    return _writer(stream, checkpoint, name, mode, once, interval).foreachBatch(each).start()
+def batch_folder(path: str, batch: int) -> str:
+    """The folder one micro-batch owns; writing it again replaces it."""
+    return f"{path}/batch={batch}"
 
 
 def stream_to_text(stream: DataFrame, path: str, checkpoint: str, once: bool = False) -> StreamingQuery:
-    return stream_by_batch(stream, path, checkpoint, write_text, mode="append", once=once)
+    return stream_by_batch(
+        stream, lambda df, batch: write_text(df, batch_folder(path, batch)), checkpoint, once=once
+    )
 
 
 def stream_to_topic(
@@ -100,7 +101,11 @@ def drain(stream: DataFrame, label: str, mode: str = "append") -> DataFrame:
     if mode == "append":
         stream_to_table(stream, path, checkpoint, label, once=True).awaitTermination()
         return spark.read.schema(stream.schema).parquet(path)
-    stream_by_batch(stream, path, checkpoint, mode=mode, name=label, once=True).awaitTermination()
+    stream_by_batch(
+        stream,
+        lambda df, batch: df.write.mode("overwrite").parquet(batch_folder(path, batch)),
+        checkpoint, mode, label, once=True,
+    ).awaitTermination()
     return spark.read.parquet(path)
 
 

@@ -1,6 +1,6 @@
 """Streams with keyed state and event-time timers.
 
-All four run through ``applyInPandasWithState``: Spark shuffles by key and stores the
+All run through ``applyInPandasWithState``: Spark shuffles by key and stores the
 state; a function sees one key's new rows of one micro-batch. Its memory is bounded by
 the micro-batch (limit it at the source) plus the state, and the watermark trims the
 state. Times inside the state are microseconds.
@@ -48,22 +48,41 @@ def _rows(chunks: Iterator[pd.DataFrame], columns: Sequence[str]) -> pd.DataFram
     return pd.concat(frames, ignore_index=True)[list(columns)] if frames else pd.DataFrame(columns=list(columns))
 
 
+def _keep_late(timed: DataFrame) -> DataFrame:
+    """Let late rows through to a state function that has an answer for them.
+
+    Spark drops rows behind the watermark by the event-time column it finds on them. A
+    constant one far ahead makes no row late, and being the larger of the two it does not
+    move the watermark, which is the smallest of all.
+    """
+    never = F.lit("2200-01-01").cast("timestamp")
+    return timed.withColumn("_never_late", never).withWatermark("_never_late", "0 seconds")
+
+
 def sort_by_event_time(
-    stream: DataFrame, key: str, ts: str, tie: str, delay: str
+    stream: DataFrame, key: str, ts: str, tie: str, delay: str, slot: str = "1 minute"
 ) -> DataFrame:
-    """Buffer rows per key and release them in event-time order behind the watermark.
+    """Buffer rows and release them in event-time order behind the watermark; drop late ones.
 
-    Late rows are dropped. ``position`` numbers the released rows of a key.
+    State is kept per key and time slot. Slots do not overlap, so the order of a key is the
+    order of (``slot_start``, ``position``), while a busy key spreads over many buffers and
+    a slot's state goes away once the watermark has left it.
     """
     timed = watermarked(stream, ts, delay).withColumn("_us", epoch_us(F.col(ts)))
     kept = [f for f in timed.schema.fields if f.name not in (key, ts)]
     names = [f.name for f in kept]
-    key_field = timed.schema[key]
-    output = T.StructType([key_field, *kept, T.StructField("position", T.LongType())])
+    slots = F.window(ts, slot)
+    slotted = timed.withColumns(
+        {"_slot": epoch_us(slots["start"]), "_slot_end": epoch_us(slots["end"])}
+    )
+    output = T.StructType([
+        timed.schema[key], T.StructField("_slot", T.LongType()), *kept, T.StructField("position", T.LongType()),
+    ])
     state_type = T.StructType([T.StructField("released", T.LongType()), *_arrays(kept)])
 
     def release(key_: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         watermark = _watermark_us(state)
+        slot_end = key_[2]
         if state.exists:
             released, *lists = state.get
             held = pd.DataFrame(dict(zip(names, lists)))
@@ -77,17 +96,26 @@ def sort_by_event_time(
         held = held.sort_values(["_us", tie], kind="stable", ignore_index=True)
         due = 0 if watermark is None else int((held["_us"] <= watermark).sum())
         out, held = held.iloc[:due], held.iloc[due:]
-        if len(held) or released + due:
+        over = watermark is not None and watermark >= slot_end
+        if len(held) or not over:
             state.update((released + due, *[held[n].tolist() for n in names]))
-            if len(held):
-                _set_timer(state, held["_us"].iloc[0])
+            _set_timer(state, held["_us"].iloc[0] if len(held) else slot_end)
+        elif state.exists:
+            state.remove()
         if due:
-            out = out.assign(position=np.arange(released + 1, released + due + 1))
-            out.insert(0, key, key_[0])
+            out = out.assign(position=np.arange(released + 1, released + due + 1), _slot=key_[1])
+            out[key] = key_[0]
             yield out[[f.name for f in output.fields]]
 
-    result = timed.groupBy(key).applyInPandasWithState(release, output, state_type, "append", EVENT_TIMEOUT)
-    return result.select(key, F.timestamp_micros("_us").alias(ts), *[n for n in names if n != "_us"], "position")
+    grouped = slotted.groupBy(key, "_slot", "_slot_end")
+    result = grouped.applyInPandasWithState(release, output, state_type, "append", EVENT_TIMEOUT)
+    return result.select(
+        key,
+        F.timestamp_micros("_us").alias(ts),
+        *[n for n in names if n != "_us"],
+        F.timestamp_micros("_slot").alias("slot_start"),
+        "position",
+    )
 
 
 def travel_time_stream(rides: DataFrame, grid: GridSpec, ts: str = "ts") -> DataFrame:
@@ -127,7 +155,7 @@ def travel_time_stream(rides: DataFrame, grid: GridSpec, ts: str = "ts") -> Data
 
 def asof_stream(
     trades: DataFrame, infos: DataFrame, key: str, ts: str, tie: str, payload: str,
-    delay: str, default: str = NO_INFO,
+    delay: str, default: str = NO_INFO, salts: int = 1,
 ) -> DataFrame:
     """Early as-of answers, corrected at most once when the watermark passes.
 
@@ -135,12 +163,17 @@ def asof_stream(
     watermark reaches it and the answer has changed, the new one follows (``is_final``
     true). A late trade is answered once, as final. Behind the watermark only the newest
     info is kept.
+
+    With ``salts`` > 1 the trades of a key are dealt over that many states, each of which
+    gets all infos of the key: for keys with more waiting trades than one state should hold.
     """
     columns = [key, ts, tie]
-    sides = trades.select(*columns, F.lit(None).cast("string").alias(payload), F.lit(True).alias("_trade")).unionByName(
-        infos.select(*columns, payload, F.lit(False).alias("_trade"))
-    )
-    timed = watermarked(sides, ts, delay).withColumn("_us", epoch_us(F.col(ts)))
+    dealt = F.pmod(F.xxhash64(tie), F.lit(salts)).cast("int")
+    to_all = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
+    sides = trades.select(
+        *columns, F.lit(None).cast("string").alias(payload), F.lit(True).alias("_trade"), dealt.alias("_salt")
+    ).unionByName(infos.select(*columns, payload, F.lit(False).alias("_trade"), to_all.alias("_salt")))
+    timed = _keep_late(watermarked(sides, ts, delay).withColumn("_us", epoch_us(F.col(ts))).drop(ts))
     tie_type = timed.schema[tie].dataType
     output = T.StructType([
         timed.schema[key],
@@ -212,37 +245,44 @@ def asof_stream(
             _set_timer(state, min(wait_us))
         yield from emitted
 
-    result = timed.groupBy(key).applyInPandasWithState(match, output, state_type, "append", EVENT_TIMEOUT)
+    result = timed.groupBy(key, "_salt").applyInPandasWithState(match, output, state_type, "append", EVENT_TIMEOUT)
     return result.select(key, F.timestamp_micros("_us").alias(ts), tie, payload, "is_final")
 
 
-def in_flight_stream(requests: DataFrame, responses: DataFrame, ts: str, key: str = "id") -> DataFrame:
+def in_flight_stream(
+    requests: DataFrame, responses: DataFrame, ts: str, key: str = "id", shards: int = 256
+) -> DataFrame:
     """Changes of the number of open requests: +1 when a key opens, -1 when it closes.
 
-    Keys are spread over the cluster; the size at any time is the sum of the changes.
+    Keys are spread over ``shards`` states, each a set of open keys; a closed key leaves no
+    trace. The size at any time is the sum of the changes.
     """
     closing = F.col("status").isin(FEATURE_SCORING, PROCESSING_DONE)
     events = requests.select(key, ts, F.lit(0).alias("side")).unionByName(
         responses.where(closing).select(key, ts, F.lit(1).alias("side"))
     )
-    events = events.withColumn("_us", epoch_us(F.col(ts))).drop(ts)
+    events = events.withColumns({"_us": epoch_us(F.col(ts)), "_shard": F.pmod(F.hash(key), F.lit(shards))})
     output = T.StructType([
         events.schema[key],
         T.StructField("_us", T.LongType()),
         T.StructField("side", T.IntegerType()),
         T.StructField("change", T.IntegerType()),
     ])
-
-    def track(key_: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        rows = _rows(chunks, ["_us", "side"]).sort_values(["_us", "side"], ignore_index=True)
-        now = (rows["side"] == 0).astype(int).to_numpy()
-        was = np.concatenate([[int(state.get[0]) if state.exists else 0], now[:-1]])
-        state.update((bool(now[-1]),))
-        out = rows.assign(change=now - was)
-        out.insert(0, key, key_[0])
-        yield out
-
-    result = events.groupBy(key).applyInPandasWithState(track, output, "open boolean", "append", NO_TIMEOUT)
+    state_type = T.StructType(_arrays([events.schema[key]]))
+
+    def track(_: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        rows = _rows(chunks, [key, "_us", "side"]).sort_values([key, "_us", "side"], ignore_index=True)
+        open_keys = set(state.get[0]) if state.exists else set()
+        now = rows["side"].to_numpy() == 0
+        first = (rows[key] != rows[key].shift()).to_numpy()
+        was = np.where(first, rows[key].isin(open_keys).to_numpy(), np.roll(now, 1))
+        last = np.roll(first, -1)
+        open_keys -= set(rows[key][last & ~now])
+        open_keys |= set(rows[key][last & now])
+        state.update((list(open_keys),))
+        yield rows.assign(change=now.astype("int32") - was.astype("int32"))
+
+    result = events.groupBy("_shard").applyInPandasWithState(track, output, state_type, "append", NO_TIMEOUT)
     return result.select(key, F.timestamp_micros("_us").alias(ts), "side", "change")
 
 
