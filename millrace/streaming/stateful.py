@@ -48,15 +48,14 @@ def _rows(chunks: Iterator[pd.DataFrame], columns: Sequence[str]) -> pd.DataFram
     return pd.concat(frames, ignore_index=True)[list(columns)] if frames else pd.DataFrame(columns=list(columns))
 
 
-def _keep_late(timed: DataFrame) -> DataFrame:
+def _keep_late(timed: DataFrame, ts: str) -> DataFrame:
     """Let late rows through to a state function that has an answer for them.
 
-    Spark drops rows behind the watermark by the event-time column it finds on them. A
-    constant one far ahead makes no row late, and being the larger of the two it does not
-    move the watermark, which is the smallest of all.
+    Spark drops rows behind the watermark by the event-time column it finds on them; for a
+    window that is its end. A window of a hundred years in place of the time lets every
+    row pass and leaves the watermark as it is.
     """
-    never = F.lit("2200-01-01").cast("timestamp")
-    return timed.withColumn("_never_late", never).withWatermark("_never_late", "0 seconds")
+    return timed.withColumn("_century", F.window(ts, "36500 days")).drop(ts)
 
 
 def sort_by_event_time(
@@ -173,7 +172,7 @@ def asof_stream(
     sides = trades.select(
         *columns, F.lit(None).cast("string").alias(payload), F.lit(True).alias("_trade"), dealt.alias("_salt")
     ).unionByName(infos.select(*columns, payload, F.lit(False).alias("_trade"), to_all.alias("_salt")))
-    timed = _keep_late(watermarked(sides, ts, delay).withColumn("_us", epoch_us(F.col(ts))).drop(ts))
+    timed = _keep_late(watermarked(sides, ts, delay).withColumn("_us", epoch_us(F.col(ts))), ts)
     tie_type = timed.schema[tie].dataType
     output = T.StructType([
         timed.schema[key],
