@@ -48,11 +48,15 @@ def encode_clicks(clicks: DataFrame, topic: str, keep: Iterable[str] = ()) -> Da
 
 
 def _fields(parts: Column) -> Column:
-    """The fields of one split line; ``ok`` tells whether it is well formed."""
+    """The fields of one split line; ``ok`` tells whether it is well formed.
+
+    Trailing empty fields do not count, so something must stand in the last field or after.
+    """
     raw = F.get(parts, F.lit(2))
     time = F.when(raw.rlike(r"\A[+-]?[0-9]+\z"), raw.try_cast("bigint"))
     named = [(time if f == "event_time" else F.get(parts, F.lit(i))).alias(f) for i, f in enumerate(FIELDS)]
-    return F.struct(((F.size(parts) >= len(FIELDS)) & time.isNotNull()).alias("ok"), *named)
+    complete = F.array_join(F.slice(parts, len(FIELDS), F.size(parts)), "") != ""
+    return F.struct((complete & time.isNotNull()).alias("ok"), *named)
 
 
 def _parsed(rows: DataFrame, topics: Iterable[str]) -> DataFrame:
@@ -61,8 +65,7 @@ def _parsed(rows: DataFrame, topics: Iterable[str]) -> DataFrame:
     A one-element generator holds the parse. Predicates on the fields stay above it, so a
     chain of hops evaluates each parse once instead of once per predicate that uses it.
     """
-    # Trailing empty fields do not count as fields.
-    parts = F.split(F.regexp_replace(F.decode("value", CHARSET), r"\|+\z", ""), r"\|")
+    parts = F.split(F.decode("value", CHARSET), r"\|")
     gated = rows.where(F.col("topic").isin(*topics))
     return gated.select("*", F.inline(F.transform(F.array(parts), _fields)))
 

@@ -14,12 +14,16 @@ def tokens_batch(text: Column) -> Column:
 
     Text made of separators only yields no token; the empty text yields one empty token.
     """
-    lowered = F.lower(text)
-    trimmed = F.regexp_replace(lowered, SEPARATOR + r"\z", "")
-    none = F.array().cast("array<string>")
-    return F.when((F.length(lowered) > 0) & (F.length(trimmed) == 0), none).otherwise(
-        F.split(trimmed, SEPARATOR)
-    )
+
+    def trimmed(parts: Column) -> Column:
+        last = F.size(parts)
+        # At most one empty token can stand at either end.
+        keep = F.when((last == 1) | (F.get(parts, last - 1) != ""), last)
+        keep = keep.when((last == 2) & (F.get(parts, F.lit(0)) == ""), 0).otherwise(last - 1)
+        return F.slice(parts, 1, keep)
+
+    # The one-element array binds the split text, so that it is split once.
+    return F.get(F.transform(F.array(F.split(F.lower(text), SEPARATOR)), trimmed), F.lit(0))
 
 
 def tokens_nonempty(text: Column) -> Column:

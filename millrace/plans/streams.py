@@ -88,7 +88,7 @@ def stream_request_timeout(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_event_time_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = _stream(spark, sf_dir, "events").select("user_id", "ts", "event_id")
-    ordered = stateful.sort_by_event_time(events, "user_id", "ts", "event_id", f"{LATE_DELAY} seconds", "7 days")
+    ordered = stateful.sort_by_event_time(events, "user_id", "ts", "event_id", f"{LATE_DELAY} seconds", "7 days", 32)
     return _wall_clock(drain(ordered, "stream_event_time_sort"), "ts", "slot_start")
 
 

@@ -59,59 +59,68 @@ def _keep_late(timed: DataFrame, ts: str) -> DataFrame:
 
 
 def sort_by_event_time(
-    stream: DataFrame, key: str, ts: str, tie: str, delay: str, slot: str = "1 minute"
+    stream: DataFrame, key: str, ts: str, tie: str, delay: str, slot: str = "1 minute", shards: int = 256
 ) -> DataFrame:
     """Buffer rows and release them in event-time order behind the watermark; drop late ones.
 
-    State is kept per key and time slot. Slots do not overlap, so the order of a key is the
-    order of (``slot_start``, ``position``), while a busy key spreads over many buffers and
-    a slot's state goes away once the watermark has left it.
+    There is one buffer per time slot and shard of keys. Slots do not overlap, so the order
+    of a key is the order of (``slot_start``, ``position``), while a busy key spreads over
+    the buffers of many slots. Many quiet keys share a buffer and are handled together. The
+    buffer goes away once the watermark has left its slot.
     """
     timed = watermarked(stream, ts, delay).withColumn("_us", epoch_us(F.col(ts)))
-    kept = [f for f in timed.schema.fields if f.name not in (key, ts)]
+    kept = [f for f in timed.schema.fields if f.name != ts]
     names = [f.name for f in kept]
     slots = F.window(ts, slot)
-    slotted = timed.withColumns(
-        {"_slot": epoch_us(slots["start"]), "_slot_end": epoch_us(slots["end"])}
-    )
-    output = T.StructType([
-        timed.schema[key], T.StructField("_slot", T.LongType()), *kept, T.StructField("position", T.LongType()),
+    slotted = timed.withColumns({
+        "_slot": epoch_us(slots["start"]),
+        "_slot_end": epoch_us(slots["end"]),
+        "_shard": F.pmod(F.hash(key), F.lit(shards)),
+    })
+    output = T.StructType([*kept, T.StructField("_slot", T.LongType()), T.StructField("position", T.LongType())])
+    state_type = T.StructType([
+        T.StructField("released_keys", T.ArrayType(timed.schema[key].dataType)),
+        T.StructField("released", T.ArrayType(T.LongType())),
+        *_arrays(kept),
     ])
-    state_type = T.StructType([T.StructField("released", T.LongType()), *_arrays(kept)])
 
-    def release(key_: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    def release(group: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         watermark = _watermark_us(state)
-        slot_end = key_[2]
+        _, slot_start, slot_end = group
+        released: dict = {}
+        held = None
         if state.exists:
-            released, *lists = state.get
-            held = pd.DataFrame(dict(zip(names, lists)))
-        else:
-            released, held = 0, pd.DataFrame(columns=names)
+            keys, counts, *lists = state.get
+            released = dict(zip(keys, counts))
+            held = pd.DataFrame(dict(zip(names, lists))) if lists[0] else None
         if not state.hasTimedOut:
             fresh = _rows(chunks, names)
             if watermark is not None:
                 fresh = fresh[fresh["_us"] > watermark]
-            held = pd.concat([held, fresh], ignore_index=True) if len(held) else fresh
-        held = held.sort_values(["_us", tie], kind="stable", ignore_index=True)
-        due = 0 if watermark is None else int((held["_us"] <= watermark).sum())
-        out, held = held.iloc[:due], held.iloc[due:]
-        over = watermark is not None and watermark >= slot_end
-        if len(held) or not over:
-            state.update((released + due, *[held[n].tolist() for n in names]))
-            _set_timer(state, held["_us"].iloc[0] if len(held) else slot_end)
+            held = fresh if held is None else pd.concat([held, fresh], ignore_index=True)
+        if held is None:
+            held = pd.DataFrame(columns=names)
+        held = held.sort_values([key, "_us", tie], kind="stable", ignore_index=True)
+        due = np.zeros(len(held), dtype=bool) if watermark is None else (held["_us"] <= watermark).to_numpy(bool)
+        out, held = held[due], held[~due]
+        if len(out):
+            nth = out.groupby(key, dropna=False, sort=False).cumcount() + 1
+            before = out[key].map(lambda k: released.get(k, 0))
+            out = out.assign(_slot=slot_start, position=(nth + before).astype("int64"))
+            released.update(zip(out[key], out["position"].tolist()))
+            yield out
+        if len(held) or watermark is None or watermark < slot_end:
+            state.update((list(released), list(released.values()), *[held[n].tolist() for n in names]))
+            _set_timer(state, held["_us"].min() if len(held) else slot_end)
         elif state.exists:
             state.remove()
-        if due:
-            out = out.assign(position=np.arange(released + 1, released + due + 1), _slot=key_[1])
-            out[key] = key_[0]
-            yield out[[f.name for f in output.fields]]
 
-    grouped = slotted.groupBy(key, "_slot", "_slot_end")
+    grouped = slotted.groupBy("_shard", "_slot", "_slot_end")
     result = grouped.applyInPandasWithState(release, output, state_type, "append", EVENT_TIMEOUT)
     return result.select(
         key,
         F.timestamp_micros("_us").alias(ts),
-        *[n for n in names if n != "_us"],
+        *[n for n in names if n not in (key, "_us")],
         F.timestamp_micros("_slot").alias("slot_start"),
         "position",
     )
