@@ -216,11 +216,21 @@ def running_max_label(identifier: str = "id", value: str = "max_so_far") -> Colu
     return F.concat(F.col(identifier).cast("string"), F.lit(LABEL_GAP), F.col(value).cast("string"))
 
 
-def lookup(df: DataFrame, table: DataFrame, key: str, max_broadcast_rows: int = 100_000) -> DataFrame:
-    """Left join with a lookup table of unique keys.
+def lookup(
+    df: DataFrame,
+    table: DataFrame,
+    key: str,
+    max_broadcast_rows: int = 100_000,
+    max_broadcast_bytes: int = 32 << 20,
+) -> DataFrame:
+    """Left join of a batch or a stream with a lookup table of unique keys.
 
-    The table is broadcast only after a bounded count shows that it is small; a larger one
-    is joined by a shuffle, with the adaptive skew join splitting a hot key.
+    The table is broadcast only after a look at a bounded part of it shows that it is small
+    in rows and in bytes. A larger one is joined by a shuffle, with the adaptive skew join
+    splitting a hot key.
     """
-    small = table.limit(max_broadcast_rows + 1).count() <= max_broadcast_rows
+    part = table.limit(max_broadcast_rows + 1)
+    width = F.octet_length(F.to_json(F.struct("*")))
+    rows, size = part.agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).first()
+    small = rows <= max_broadcast_rows and size <= max_broadcast_bytes
     return df.join(F.broadcast(table) if small else table, key, "left")

@@ -159,19 +159,23 @@ class Blocks:
         return F.from_json(F.lit(listed), T.ArrayType(self.cut_type))
 
     def assign(self, df: DataFrame) -> DataFrame:
-        """Add the block number: how many cut points are at or below the row (binary search)."""
+        """Add the block number: how many cut points are at or below the row (binary search).
+
+        Each probe is a projection of its own. Chained like this they stay inside generated
+        code, and none is evaluated twice.
+        """
+        placed = df.withColumn(BLOCK, F.lit(0))
         if not self.cuts:
-            return df.withColumn(BLOCK, F.lit(0))
+            return placed
         cuts = self._cut_literal()
         here = _position(df, self.keys + self.order).cast(self.cut_type)
-        top = 2 ** int(math.log2(len(self.cuts)))
-        strides = [top >> i for i in range(top.bit_length())]
-
-        def probe(found: Column, stride: Column) -> Column:
-            reached = F.get(cuts, found + stride - 1) <= here
-            return F.when(reached, found + stride).otherwise(found)
-
-        return df.withColumn(BLOCK, F.aggregate(F.array(*map(F.lit, strides)), F.lit(0), probe))
+        placed = placed.withColumn("_here", here)
+        stride = 2 ** int(math.log2(len(self.cuts)))
+        while stride:
+            reached = F.get(cuts, F.col(BLOCK) + (stride - 1)) <= F.col("_here")
+            placed = placed.withColumn(BLOCK, F.col(BLOCK) + F.when(reached, stride).otherwise(0))
+            stride //= 2
+        return placed.drop("_here")
 
     def _same_key(self, left: DataFrame, right: DataFrame) -> list[Column]:
         return [left[k].eqNullSafe(right[f"_c_{k}"]) for k in self.keys]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from millrace.functions.codec import BUSINESS_TOPIC, FEATURE_SCORING, PROCESSING_DONE, SCORED_TOPIC
 from millrace.functions.geo import EARTH_KM_PER_DEGREE
 from millrace.operators.joins import LABEL_GAP, NO_INFO
@@ -10,8 +12,6 @@ from millrace.operators.travel_time import DIRECTION_BUCKETS
 from millrace.plans.inputs import GRID, SHIPPED_BY
 from millrace.plans.queries import LATE_DELAY, PLACES_THRESHOLD, QUANTILES, SESSION_GAP
 
-import math
-
 
 def _num(value: float) -> str:
     """A DOUBLE literal (a plain one with a point would be a DECIMAL)."""
@@ -45,12 +45,12 @@ def _cell(lon: str, lat: str) -> str:
     )
 
 
-def places(days: int, closed: bool = False) -> str:
-    last = f"AND window_end_ms <= (SELECT epoch_ms(max(ts)) - 60000 FROM inside)" if closed else ""
+def places(days: int, closed: bool = False, time: str = "ts") -> str:
+    last = "AND window_end_ms <= (SELECT epoch_ms(max(ts)) - 60000 FROM inside)" if closed else ""
     return f"""
 WITH {RIDES},
 hits AS (
-  SELECT ts, is_start, CASE WHEN is_start THEN {_cell('start_lon', 'start_lat')}
+  SELECT {time} AS ts, is_start, CASE WHEN is_start THEN {_cell('start_lon', 'start_lat')}
                             ELSE {_cell('end_lon', 'end_lat')} END AS cell FROM inside),
 counted AS (
   SELECT cell, is_start, epoch_ms(date_trunc('day', ts)) + (k + 1) * {DAY_MS} AS window_end_ms, count(*) AS n
@@ -143,6 +143,7 @@ ON t.user_id = i.user_id AND t.ts >= i.ts"""
 BATCH: dict[str, str] = {
     "popular_places": places(3),
     "popular_places_tumbling": places(1),
+    "popular_places_via_topic": places(3, time="CASE WHEN is_start THEN start_time ELSE end_time END"),
     "ride_cleansing": f"WITH {RIDES} SELECT * FROM inside",
     "travel_time_prequential": TRAVEL_TIME,
     "word_count_batch": f"SELECT word, count(*) AS n FROM (SELECT {TOKENS_BATCH} AS word FROM documents) GROUP BY word",

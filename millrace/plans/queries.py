@@ -8,14 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions.codec import (
-    PRE_PROCESSING,
     REQUEST_TOPIC,
     click_text,
     decode_clicks,
     encode_clicks,
 )
+from millrace.functions.ride_codec import decode_rides, encode_rides
 from millrace.functions.text import tokens_nonempty
-from millrace.functions.times import epoch_us
 from millrace.operators.inflight import in_flight_size, open_requests
 from millrace.operators.iterate import countdown, increment_until_odd
 from millrace.operators.joins import (
@@ -87,6 +86,12 @@ def popular_places_tumbling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return popular_places(rides(spark, sf_dir), GRID, ONE_DAY, PLACES_THRESHOLD)
 
 
+def popular_places_via_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cleansing and counting as two jobs with the ride topic between them."""
+    wire = encode_rides(rides_inside(rides(spark, sf_dir), GRID))
+    return popular_places(decode_rides(wire), GRID, THREE_BY_ONE_DAY, PLACES_THRESHOLD)
+
+
 def travel_time_prequential(spark: SparkSession, sf_dir: str) -> DataFrame:
     return travel_time_predictions(rides(spark, sf_dir), GRID)
 
@@ -220,6 +225,7 @@ def iterate_countdown(spark: SparkSession, sf_dir: str) -> DataFrame:
 BATCH: dict[str, Query] = {
     "popular_places": popular_places_sliding,
     "popular_places_tumbling": popular_places_tumbling,
+    "popular_places_via_topic": popular_places_via_topic,
     "ride_cleansing": ride_cleansing,
     "travel_time_prequential": travel_time_prequential,
     "word_count_batch": word_count_batch,

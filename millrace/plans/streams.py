@@ -11,12 +11,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.operators.words import word_counts
+from millrace.functions.codec import REQUEST_TOPIC, SCORED_TOPIC, decode_clicks, encode_clicks
 from millrace.functions.text import tokens_nonempty
+from millrace.operators.joins import lookup
+from millrace.operators.status import finish_scored, score_requests
+from millrace.operators.words import word_counts
 from millrace.plans import inputs, oracle
 from millrace.plans.queries import LATE_DELAY, ONE_DAY, PLACES_THRESHOLD, SESSION_GAP, THREE_BY_ONE_DAY
+from millrace.session import scratch_dir
 from millrace.sources.readers import table_stream
-from millrace.sources.writers import drain
+from millrace.sources.writers import drain, stream_to_topic
 from millrace.streaming import builtin, stateful
 
 # How many files one micro-batch takes, so that its size does not grow with the table.
@@ -125,6 +129,26 @@ def stream_running_max(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _wall_clock(drain(best, "stream_running_max"), "ts")
 
 
+def stream_status_hops(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three streams joined by topics: requests, the first hop, the second hop."""
+    wire = encode_clicks(inputs.clicks_of(_stream(spark, sf_dir, "events")), REQUEST_TOPIC)
+    for label, hop in (("requests", None), ("scored", score_requests), ("finished", finish_scored)):
+        path, progress = scratch_dir(spark, f"stream_{label}"), scratch_dir(spark, f"stream_{label}-progress")
+        rows = hop(wire) if hop else wire
+        stream_to_topic(rows, {}, progress, "parquet", path, once=True).awaitTermination()
+        wire = table_stream(spark, path, rows.schema, FILES_PER_BATCH)
+    return decode_clicks(spark.read.schema(wire.schema).parquet(path), [SCORED_TOPIC])
+
+
+def stream_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream against a static table."""
+    customers = _stream(spark, sf_dir, "customer").select("c_custkey", F.col("c_nationkey").alias("key"))
+    nations = inputs.table(spark, sf_dir, "nation").select(
+        F.col("n_nationkey").alias("key"), F.col("n_name").alias("result")
+    )
+    return drain(lookup(customers, nations, "key"), "stream_lookup")
+
+
 STREAMS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     q.__name__: q
     for q in (
@@ -140,6 +164,8 @@ STREAMS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         stream_asof_join,
         stream_in_flight,
         stream_running_max,
+        stream_status_hops,
+        stream_lookup,
     )
 }
 
@@ -174,6 +200,8 @@ WITH first_shipments AS (
   WHERE l_shipdate >= o_orderdate GROUP BY o_orderkey)
 SELECT o_orderkey AS id, o_orderdate AS ts, 0 AS side, 1 AS change FROM orders
 UNION ALL SELECT id, ts, 1, -1 FROM first_shipments""",
+    "stream_status_hops": oracle.BATCH["status_hops"],
+    "stream_lookup": oracle.BATCH["lookup_enrich"],
     "stream_running_max": f"""
 SELECT user_id, ts, event_id, CAST(max_so_far AS DOUBLE) AS max_so_far FROM (
   SELECT *, coalesce(max({oracle.CENTS}) FILTER (event_type = 'view')

@@ -87,3 +87,19 @@ def test_checkpoints_go_to_the_configured_folder(spark, tmp_path):
     assert root == spark.conf.get("spark.checkpoint.dir", root)
     assert scratch_dir(spark, "x").startswith(root)
     assert rows(durable(spark.range(2))) == [(0,), (1,)]
+
+
+def test_ride_codec(spark):
+    from millrace.functions.ride_codec import decode_rides, encode_rides
+
+    rides = spark.sql(
+        "SELECT 1L AS ride_id, true AS is_start, timestamp'2024-01-01 00:00:00.5' AS start_time,"
+        " timestamp'2024-01-01 00:10:00' AS end_time, -73.9D AS start_lon, 40.7D AS start_lat,"
+        " 0.1D AS end_lon, 1D / 3 AS end_lat"
+    )
+    wire = encode_rides(rides)
+    got = decode_rides(wire)
+    assert rows(got.drop("ts")) == rows(rides)
+    assert rows(got.select("ts")) == rows(rides.select("start_time"))
+    bad = wire.withColumn("value", F.encode(F.lit("x,true,1,2,0,0,0,0"), "UTF-8"))
+    assert decode_rides(bad).isEmpty() and decode_rides(wire, "other").isEmpty()
