@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -90,6 +91,18 @@ def write_topic(rows: DataFrame, options: dict[str, str], format: str = "kafka",
     writer.save(path) if path else writer.save()
 
 
+@contextmanager
+def _state_partitions(spark: SparkSession) -> Iterator[None]:
+    """No more state partitions than cores: each costs a commit in every micro-batch."""
+    setting = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, str(min(int(before), spark.sparkContext.defaultParallelism)))
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
+
+
 def drain(stream: DataFrame, label: str, mode: str = "append") -> DataFrame:
     """Run a stream over all data present and return what it wrote.
 
@@ -98,15 +111,18 @@ def drain(stream: DataFrame, label: str, mode: str = "append") -> DataFrame:
     """
     spark = stream.sparkSession
     path, checkpoint = scratch_dir(spark, label), scratch_dir(spark, f"{label}-progress")
-    if mode == "append":
-        stream_to_table(stream, path, checkpoint, label, once=True).awaitTermination()
-        return spark.read.schema(stream.schema).parquet(path)
-    stream_by_batch(
-        stream,
-        lambda df, batch: df.write.mode("overwrite").parquet(batch_folder(path, batch)),
-        checkpoint, mode, label, once=True,
-    ).awaitTermination()
-    return spark.read.parquet(path)
+    with _state_partitions(spark):
+        if mode == "append":
+            query = stream_to_table(stream, path, checkpoint, label, once=True)
+        else:
+            query = stream_by_batch(
+                stream,
+                lambda df, batch: df.write.mode("overwrite").parquet(batch_folder(path, batch)),
+                checkpoint, mode, label, once=True,
+            )
+    query.awaitTermination()
+    reader = spark.read.schema(stream.schema) if mode == "append" else spark.read
+    return reader.parquet(path)
 
 
 def show_plan(df: DataFrame, mode: str = "formatted") -> None:
