@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators.joins import join_null_safe
 from millrace.operators.running import ROWS_PER_BLOCK, running, running_sum
+from millrace.session import durable
 
 # The metric prefix and names, and the reporting period.
 PREFIX = "sdp.heartbeat"
@@ -76,10 +77,11 @@ def exact_quantiles(
     """
     keys = list(keys)
     present = df.where(F.col(value).isNotNull())
-    counted = present.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
+    # Read several times below, and far smaller than the rows it counts.
+    counted = durable(present.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n")))
     ranked = running(counted, keys, [value], {"_upto": running_sum(F.col("_n"))}, rows_per_block=rows_per_block)
     # Group sizes grow with the data, so Spark's own size check picks the join.
-    sizes = present.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size"))
+    sizes = counted.groupBy(*keys).agg(F.sum("_n").alias("_size"))
     sized = join_null_safe(ranked, sizes, keys)
     picks = []
     for name, p in probs.items():

@@ -194,12 +194,23 @@ class Blocks:
         match = [_comparable(df, k).eqNullSafe(spanning[f"_k{i}"]) for i, k in enumerate(self.keys)]
         return df.join(F.broadcast(spanning), reduce(lambda a, b: a & b, match), "left_semi")
 
+    def _spread(self, df: DataFrame) -> DataFrame:
+        """As many partitions as blocks where the session would use fewer.
+
+        The window below needs this very partitioning, so the rows still move only once.
+        """
+        blocks = len(self.cuts) + 1
+        if blocks <= int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+            return df
+        return df.repartition(blocks, *self.keys, BLOCK)
+
     def running(
-        self, df: DataFrame, aggs: Mapping[str, Agg], inclusive: bool = True
+        self, df: DataFrame, aggs: Mapping[str, Agg], inclusive: bool = True, spread: bool = True
     ) -> DataFrame:
         """Append running aggregates to an assigned frame.
 
-        With ``inclusive=False`` a row sees only the rows before it.
+        With ``inclusive=False`` a row sees only the rows before it. ``spread=False`` is for a
+        frame that an earlier call has partitioned already.
         """
         taken = set(aggs) & set(df.columns)
         if taken:
@@ -231,7 +242,8 @@ class Blocks:
             )
             .where("_nth > 1")
         )
-        local_df = df.withColumns({f"_l_{name}": column for name, column in local.items()})
+        rows = self._spread(df) if spread else df
+        local_df = rows.withColumns({f"_l_{name}": column for name, column in local.items()})
         match = [local_df[BLOCK] == carry["_c_block"], *self._same_key(local_df, carry)]
         joined = local_df.join(F.broadcast(carry), reduce(lambda a, b: a & b, match), "left")
         return joined.select(

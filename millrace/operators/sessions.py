@@ -56,7 +56,7 @@ def sessions_any_skew(
     gap_us = gap_seconds * 1_000_000
     opens = F.when(epoch_us(F.col(ts)) - epoch_us(F.col("_previous")) <= gap_us, 0).otherwise(1)
     numbered = blocks.running(
-        previous.withColumn("_opens", opens), {"_session": running_sum(F.col("_opens"))}
+        previous.withColumn("_opens", opens), {"_session": running_sum(F.col("_opens"))}, spread=False
     )
     summary = _summary(F.col(ts), F.col(measure))
     return numbered.groupBy(key, "_session").agg(*summary).drop("_session")

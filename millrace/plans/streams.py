@@ -17,11 +17,11 @@ from millrace.operators.joins import lookup
 from millrace.operators.status import finish_scored, score_requests
 from millrace.operators.words import word_counts
 from millrace.plans import inputs, oracle
-from millrace.plans.queries import LATE_DELAY, ONE_DAY, PLACES_THRESHOLD, SESSION_GAP, THREE_BY_ONE_DAY
+from millrace.plans.queries import GLOBAL_ROWS, LATE_DELAY, ONE_DAY, PLACES_THRESHOLD, SESSION_GAP, THREE_BY_ONE_DAY
 from millrace.session import scratch_dir
 from millrace.sources.readers import table_stream
 from millrace.sources.writers import drain, stream_to_topic
-from millrace.streaming import builtin, stateful
+from millrace.streaming import builtin, global_order, stateful
 
 # How many files one micro-batch takes, so that its size does not grow with the table.
 FILES_PER_BATCH = 64
@@ -129,6 +129,16 @@ def stream_running_max(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _wall_clock(drain(best, "stream_running_max"), "ts")
 
 
+def stream_running_max_global(spark: SparkSession, sf_dir: str) -> DataFrame:
+    clicks = inputs.of_type(_stream(spark, sf_dir, "events"), "click", ts="ts", event_id="event_id")
+    views = inputs.of_type(_stream(spark, sf_dir, "events"), "view", ts="ts", event_id="event_id", cents=inputs.cents())
+    path, progress = scratch_dir(spark, "stream_top"), scratch_dir(spark, "stream_top-progress")
+    global_order.running_max_everywhere(
+        clicks, views, "ts", "event_id", "cents", path, progress, GLOBAL_ROWS, once=True
+    ).awaitTermination()
+    return spark.read.parquet(f"{path}/rows").drop("batch")
+
+
 def stream_status_hops(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three streams joined by topics: requests, the first hop, the second hop."""
     wire = encode_clicks(inputs.clicks_of(_stream(spark, sf_dir, "events")), REQUEST_TOPIC)
@@ -164,6 +174,7 @@ STREAMS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         stream_asof_join,
         stream_in_flight,
         stream_running_max,
+        stream_running_max_global,
         stream_status_hops,
         stream_lookup,
     )
@@ -200,6 +211,8 @@ WITH first_shipments AS (
   WHERE l_shipdate >= o_orderdate GROUP BY o_orderkey)
 SELECT o_orderkey AS id, o_orderdate AS ts, 0 AS side, 1 AS change FROM orders
 UNION ALL SELECT id, ts, 1, -1 FROM first_shipments""",
+    "stream_running_max_global": f"""
+SELECT ts, event_id, CAST(max_so_far AS DOUBLE) AS max_so_far FROM ({oracle.BATCH['running_max_enrich']})""",
     "stream_status_hops": oracle.BATCH["status_hops"],
     "stream_lookup": oracle.BATCH["lookup_enrich"],
     "stream_running_max": f"""

@@ -38,11 +38,13 @@ def running_max_everywhere(
         if number:
             tops = batch.sparkSession.read.schema("top double")
             before = tops.parquet(batch_folder(f"{path}/top", number - 1)).first().top
+        batch.persist()  # read once per pass otherwise
         lefts, rights = batch.where("_left"), batch.where("NOT _left")
         found = running_max_enrich(lefts.select(ts, tie), rights, ts, tie, value, rows_per_block=rows_per_block)
         top = F.greatest(F.col("max_so_far"), F.lit(before)).alias("max_so_far")
         found.select(ts, tie, top).write.mode("overwrite").parquet(batch_folder(f"{path}/rows", number))
         newest = rights.agg(F.greatest(F.coalesce(F.max(value), F.lit(0.0)), F.lit(before)).alias("top"))
         newest.write.mode("overwrite").parquet(batch_folder(f"{path}/top", number))
+        batch.unpersist()
 
     return stream_by_batch(tagged, write, checkpoint, once=once)
