@@ -206,7 +206,10 @@ def test_lookup(spark):
     assert sorted(rows(joins.lookup(df, table, "key")), key=repr) == sorted(want, key=repr)
     big = joins.lookup(df, table, "key", max_broadcast_rows=1)
     assert sorted(rows(big), key=repr) == sorted(want, key=repr)
-    assert "ResolvedHint" not in big._jdf.queryExecution().analyzed().toString()
+    wide = joins.lookup(df, table, "key", max_broadcast_bytes=10)
+    assert sorted(rows(wide), key=repr) == sorted(want, key=repr)
+    for plain in (big, wide):
+        assert "ResolvedHint" not in plain._jdf.queryExecution().analyzed().toString()
 
 
 def test_in_flight(spark):
