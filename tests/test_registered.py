@@ -15,8 +15,11 @@ def con():
     return check.duck(SF_DIR)
 
 
+OWN = [name for name in entry.queries() if name not in entry.LLM]
+
+
 def test_every_query_has_its_sql():
-    assert entry.queries().keys() == entry.oracle_sql().keys()
+    assert set(OWN) <= entry.oracle_sql().keys() <= entry.queries().keys()
 
 
 def test_entry(spark):
@@ -24,6 +27,6 @@ def test_entry(spark):
     assert df.columns == ["lon", "lat", "window_end_ms", "is_start", "n"] and df.count() > 0
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", OWN)
 def test_query(spark, con, name):
     assert check.compare(spark, con, SF_DIR, name) == ""
