@@ -7,8 +7,8 @@ fingerprint emits, for each mask, all values within half that radius, about 130
 of the 2,081 of the whole ball. Buckets are then linked without making pairs:
 
 * first to the least fingerprint of the bucket, verified by the bit distance;
-* buckets with a member too far from the least one are dealt out once more by the masked
-  block: a value and its one-bit variants share a place, and two members there, one of them
+* buckets with a member too far from the least one, and not yet connected as a whole by the
+  links so far, are dealt out once more by the masked block: a value and its one-bit variants share a place, and two members there, one of them
   unflipped, differ by at most 2 + 1 bits. Members with equal unmasked bits meet the same way
   within three bits of the block (one side one flip, the other two).
 
@@ -105,7 +105,7 @@ def _distance(a: Column, b: Column) -> Column:
 
 
 def ball_links(prints: DataFrame, max_bits: int = MAX_BITS, blocks: int = BLOCKS) -> DataFrame:
-    """Verified links ``(u, v)``, u > v, that connect all distinct ``fp`` within ``max_bits``.
+    """Links ``(u, v)``, u > v, whose components are those of all distinct ``fp`` linked within ``max_bits``.
 
     ``max_bits`` is at most 3, and ``blocks`` at least 2: the scheme above is for these.
     """
@@ -132,7 +132,19 @@ def ball_links(prints: DataFrame, max_bits: int = MAX_BITS, blocks: int = BLOCKS
     near = buckets.where((F.col("fp") != F.col("least")) & (F.col("bits") <= max_bits)).select(
         F.col("fp").alias("u"), F.col("least").alias("v")
     )
-    wide = buckets.where(F.col("widest") > max_bits).select("block", "same", "key", "fp")
+    # A bucket whose members the first links connect already has nothing to add.
+    so_far = components(near, "simhash-near")
+    of_bucket = Window.partitionBy("block", "key")
+    wide = (
+        buckets.where(F.col("widest") > max_bits)
+        .select("block", "same", "key", "fp")
+        .join(so_far.select(F.col("node").alias("fp"), "component"), "fp", "left")
+        .withColumn("component", F.coalesce("component", "fp"))
+        .withColumn("from", F.min("component").over(of_bucket))
+        .withColumn("to", F.max("component").over(of_bucket))
+        .where("from <> to")
+        .select("block", "same", "key", "fp")
+    )
     places = []
     for k, bits in enumerate(layout):
         inside = F.lit(_mask(bits))
@@ -153,7 +165,9 @@ def ball_links(prints: DataFrame, max_bits: int = MAX_BITS, blocks: int = BLOCKS
         .select(F.col("fp").alias("u"), "v")
     )
     return (
-        near.unionByName(met)
+        so_far.select(F.col("node").alias("u"), F.col("component").alias("v"))
+        .where("u <> v")
+        .unionByName(met)
         .select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
         .distinct()
     )
