@@ -8,11 +8,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import decontaminate, langid, pieces, pii, simhash, substrings, token_file, toxicity, winnow
+from millrace.llm import decontaminate, html_extract, langid, pieces, pii, simhash, substrings, token_file, toxicity, winnow
 from millrace.llm.common import table
 from millrace.session import scratch_dir
 
 
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = langid.LanguageModel(langid.learnable(docs)).predict(docs)
@@ -71,6 +75,7 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_html_extraction": op1_html_extraction,
     "op2_language_id": op2_language_id,
     "op3_toxicity": op3_toxicity,
     "op4_substring_dedup": op4_substring_dedup,
