@@ -33,6 +33,7 @@ ROWS = 2
 MAX_BITS = 28
 SLICE = 8 << 20
 BUCKET_WINDOWS = 1 << 19
+MARKS_HELD = 1 << 20
 BYTES_PER_ANCHOR = 32
 _SEEDS = np.array([0x51_7C_C1_B7_27_22_0A_95, 0x2545F4914F6CDD1D, 0x9FB21C651E98DF25, 0xD6E8FEB86659FD93], dtype=np.uint64)
 _SEGMENT = 16
@@ -202,14 +203,15 @@ def _candidates(batches: Iterator[pa.RecordBatch], window: int, bits: int, bucke
 
 def _group(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
     """Settle each bucket of candidates; rows come sorted by bucket. Marks pass through."""
-    at, held = None, []
+    at, held, found, waiting = None, [], [], 0
 
-    def settle():
+    def settle() -> int:
         parts = [unpack(data, "hash", "check", "doc", "nth", "start") for data in held]
         f = {k: np.concatenate([p[k] for p in parts]) for k in parts[0]}
         order = np.lexsort((f["start"], f["nth"], f["doc"], f["check"], f["hash"]))
         later = _later(order, (f["hash"], f["check"]), f["doc"], f["nth"])
-        return _marks(f["doc"][later], f["nth"][later], f["start"][later], buckets) if later.any() else None
+        found.append([f[k][later] for k in ("doc", "nth", "start")])
+        return int(later.sum())
 
     for batch in batches:
         kinds = batch.column("kind").to_numpy()
@@ -218,12 +220,15 @@ def _group(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.Recor
         own = batch.filter(pa.array(kinds == 1))
         for bucket, entries in zip(own.column("bucket").to_pylist(), own.column("entries").to_pylist()):
             if bucket != at:
-                if held and (out := settle()) is not None:
-                    yield out
+                waiting += settle() if held else 0
+                if waiting > MARKS_HELD:
+                    yield _marks(*(np.concatenate(c) for c in zip(*found)), buckets)
+                    found, waiting = [], 0
                 at, held = bucket, []
             held.append(entries)
-    if held and (out := settle()) is not None:
-        yield out
+    waiting += settle() if held else 0
+    if waiting:
+        yield _marks(*(np.concatenate(c) for c in zip(*found)), buckets)
 
 
 def covered_words(words: Words, texts: np.ndarray, starts: np.ndarray, window: int) -> np.ndarray:
@@ -301,7 +306,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, max_bits: int = MAX_BI
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     bits = int(np.clip((2 * size // BYTES_PER_ANCHOR).bit_length(), 10, max_bits))
     partitions = spread(None, docs)
-    buckets = max(8 * partitions, size // 6 // BUCKET_WINDOWS)
+    buckets = max(2 * partitions, size // 6 // BUCKET_WINDOWS)
     sketch = spark.sparkContext.broadcast(_bitmaps(rows, window, bits))
     entries = "bucket int, kind tinyint, entries binary"
     marks = (
