@@ -143,7 +143,9 @@ def ball_links(prints: DataFrame, max_bits: int = MAX_BITS, blocks: int = BLOCKS
         .withColumn("from", F.min("component").over(of_bucket))
         .withColumn("to", F.max("component").over(of_bucket))
         .where("from <> to")
-        .select("block", "same", "key", "fp")
+        .withColumn("twin_from", F.min(F.when(F.col("same"), F.col("component"))).over(of_bucket))
+        .withColumn("twin_to", F.max(F.when(F.col("same"), F.col("component"))).over(of_bucket))
+        .select("block", (F.col("same") & (F.col("twin_from") != F.col("twin_to"))).alias("twin"), "key", "fp")
     )
     places = []
     for k, bits in enumerate(layout):
@@ -151,7 +153,7 @@ def ball_links(prints: DataFrame, max_bits: int = MAX_BITS, blocks: int = BLOCKS
         own = wide.where(F.col("block") == k)
         one = own.select("block", "key", F.lit(False).alias("far"), "fp", F.posexplode(F.transform(_flips(bits), lambda f: F.col("fp").bitwiseXOR(f).bitwiseAND(inside))).alias("nth", "place"))
         places.append(one.withColumn("core", F.col("nth") == 0).drop("nth"))
-        twins = own.where("same")
+        twins = own.where("twin")
         for flips, core in ((_flips(bits), True), (_double_flips(bits), False)):
             reached = F.explode(F.transform(flips, lambda f: F.col("fp").bitwiseXOR(f).bitwiseAND(inside)))
             places.append(twins.select("block", "key", F.lit(True).alias("far"), "fp", reached.alias("place"), F.lit(core).alias("core")))
