@@ -11,6 +11,7 @@ from __future__ import annotations
 import gc
 import itertools
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -28,44 +29,83 @@ END_ID = 1
 LIMIT = 18
 BLOCK_IDS = 1 << 18
 STRIDE = 64
-REMEMBERED, LONGEST_REMEMBERED = 800_000, 40
+REMEMBERED, LONGEST_REMEMBERED = 700_000, 40
+
+
+def _byte_letters() -> dict[int, int]:
+    """The printable character that stands for each byte in byte-level vocabularies: itself, or one from 256 on."""
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in own]
+    return {**{b: b for b in own}, **{b: 256 + n for n, b in enumerate(rest)}}
+
+
+BYTE_LETTERS = _byte_letters()
+LAST_PLAIN = "\u024f"
+
+
+def plain_form(word: str) -> str | None:
+    """How the tokenizer's model sees a word of Latin letters alone: lower case, as byte letters; None for other words."""
+    if not word.isalpha() or max(word) > LAST_PLAIN:
+        return None
+    word = word.lower()
+    if word.isascii():
+        return word
+    return word.encode().decode("latin-1").translate(BYTE_LETTERS) if word.isalpha() else None
 
 
 class WordEncoder:
-    """Ids of texts by a tokenizer that never joins over ASCII white space; each distinct word is encoded once."""
+    """Ids of texts by a tokenizer that never joins over ASCII white space; each distinct word is encoded once.
+
+    Words of Latin letters alone go straight to the tokenizer's model, which spares its normaliser
+    and splitter. That both ways agree on such words is tried when the tokenizer is loaded; if
+    they do not, every word takes the whole way.
+    """
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[bytes, bytes] = {}
+        letters = [chr(c) for c in range(ord(LAST_PLAIN) + 1) if plain_form(chr(c))]
+        trial = [*letters, *(a + b for a in letters for b in "aZ\u00e9"), *(f"The{a}rest" for a in letters)]
+        whole = [e.ids for e in self.tokenizer.encode_batch_fast(trial, add_special_tokens=False)]
+        self.direct = whole == [self._by_model(plain_form(w)) for w in trial]
+
+    def _by_model(self, form: str) -> list[int]:
+        return [t.id for t in self.tokenizer.model.tokenize(form)]
 
-    def _learn(self, words: set[bytes]) -> None:
+    def _learn(self, words: list[bytes]) -> dict[bytes, bytes]:
         # A full stop or comma after a letter is a token of its own and joins with nothing, so the stem is looked up without it.
         texts = [w.decode() for w in words]
         tails = [t[-1] if t[-1] in ".," and t[-2:-1].isalpha() else "" for t in texts]
         stems = [t[:-1] if tail else t for t, tail in zip(texts, tails)]
-        fresh = list({*stems, ".", ","})
-        found = self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)
-        packed = [e.ids for e in found]
-        ends = np.cumsum([len(i) for i in packed]) * 4
-        flat = np.fromiter(itertools.chain.from_iterable(packed), dtype="<u4", count=int(ends[-1]) // 4).tobytes()
-        ids = {s: flat[a:b] for s, a, b in zip(fresh, [0, *ends.tolist()], ends.tolist())}
-        ids[""] = b""
-        self.known.update((word, ids[stem] + ids[tail]) for word, stem, tail in zip(words, stems, tails))
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [t.encode().split() for t in texts]
-        wanted = set(itertools.chain.from_iterable(cut))
-        missing = wanted.difference(self.known)
-        if len(self.known) + len(missing) > REMEMBERED:
-            self.known.clear()
-            missing = wanted
+        packed: dict[str, bytes] = {"": b""}
+        whole = []
+        for stem in {*stems, ".", ","}:
+            form = plain_form(stem) if self.direct else None
+            if form is None:
+                whole.append(stem)
+            else:
+                packed[stem] = array("I", self._by_model(form)).tobytes()
+        for stem, found in zip(whole, self.tokenizer.encode_batch_fast(whole, add_special_tokens=False)):
+            packed[stem] = array("I", found.ids).tobytes()
+        return {word: packed[stem] + packed[tail] for word, stem, tail in zip(words, stems, tails)}
+
+    def encode(self, texts: list[bytes]) -> list[bytes]:
+        """The ids of each UTF-8 text, as little-endian 32-bit numbers."""
+        cut = [t.split() for t in texts]
+        known, have, missing = self.known.get, {}, []
+        for word in set(itertools.chain.from_iterable(cut)):
+            ids = known(word)
+            if ids is None:
+                missing.append(word)
+            else:
+                have[word] = ids
         if missing:
-            self._learn(missing)
-        out = [b"".join(map(self.known.__getitem__, own)) for own in cut]
-        for word in missing:
-            if len(word) > LONGEST_REMEMBERED:
-                del self.known[word]
-        return out
+            learned = self._learn(missing)
+            have.update(learned)
+            if len(self.known) + len(learned) > REMEMBERED:
+                self.known.clear()
+            self.known.update((w, i) for w, i in learned.items() if len(w) <= LONGEST_REMEMBERED)
+        return [b"".join(map(have.__getitem__, own)) for own in cut]
 
 
 @lru_cache(maxsize=2)
@@ -79,7 +119,7 @@ def _encoded(batches: Iterator[pa.RecordBatch], name: str, end_id: int) -> Itera
     encoder, end = _encoder(SparkFiles.get(name)), np.array([end_id], dtype="<u4").tobytes()
     for batch in batches:
         for part in slices(batch, "text", 1 << 20):
-            ids = [np.frombuffer(i + end, dtype="<u4") for i in encoder.encode([t or "" for t in part.column("text").to_pylist()])]
+            ids = [np.frombuffer(i + end, dtype="<u4") for i in encoder.encode([t or b"" for t in part.column("text").cast(pa.binary()).to_pylist()])]
             # The low and high halves apart: the high ones are mostly zero and compress away.
             halves = [i.astype("<u2").tobytes() + (i >> 16).astype("<u2").tobytes() for i in ids]
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(halves, pa.binary())], names=["doc_id", "ids"])
@@ -102,8 +142,9 @@ def encoded(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> DataFrame:
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     totals = np.zeros(0, dtype=np.int64)
     for batch in batches:
-        for halves in batch.column("ids").to_pylist():
-            own = np.bincount(_ids_of(halves))
+        documents = batch.column("ids").to_pylist()
+        for first in range(0, len(documents), 256):
+            own = np.bincount(np.concatenate([_ids_of(halves) for halves in documents[first : first + 256]]))
             if len(own) > len(totals):
                 totals = np.concatenate([totals, np.zeros(len(own) - len(totals), dtype=np.int64)])
             totals[: len(own)] += own
