@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from millrace.llm.common import ship, slices
 
 MARK = "▁"
-REMEMBERED, LONGEST_REMEMBERED = 600_000, 40
+REMEMBERED, LONGEST_REMEMBERED = 500_000, 40
 
 
 class Pieces:
@@ -97,32 +97,35 @@ class Pieces:
                 out.append(self.unknown)
         return out
 
-    def learn(self, segments: set[str]) -> None:
+    def learn(self, segments: list[str]) -> dict[str, bytes]:
         """Encode new segments and check them against the library."""
-        fresh = list(segments)
-        plain = [s[1:].replace(MARK, " ") if s.startswith(MARK) else s for s in fresh]
-        for segment, theirs in zip(fresh, self.library.encode(plain, num_threads=1)):
+        plain = [s[1:].replace(MARK, " ") if s.startswith(MARK) else s for s in segments]
+        out = {}
+        for segment, theirs in zip(segments, self.library.encode(plain, num_threads=1)):
             own = self.segment_ids(segment)
             if own != theirs and segment.startswith(MARK):
                 raise ValueError(f"the library encodes {segment[:80]!r} as {theirs[:40]}, the agenda as {own[:40]}")
-            self.known[segment] = array("I", own).tobytes()
+            out[segment] = array("I", own).tobytes()
+        return out
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text, with begin and end ids."""
         cut = [self.cut.findall(t) for t in self.library.normalize(texts)] if texts else []
-        wanted = set(itertools.chain.from_iterable(cut))
-        missing = wanted.difference(self.known)
-        if len(self.known) + len(missing) > REMEMBERED:
-            self.known.clear()
-            missing = wanted
+        known, have, missing = self.known.get, {}, []
+        for segment in set(itertools.chain.from_iterable(cut)):
+            ids = known(segment)
+            if ids is None:
+                missing.append(segment)
+            else:
+                have[segment] = ids
         if missing:
-            self.learn(missing)
+            learned = self.learn(missing)
+            have.update(learned)
+            if len(self.known) + len(learned) > REMEMBERED:
+                self.known.clear()
+            self.known.update((s, i) for s, i in learned.items() if len(s) <= LONGEST_REMEMBERED)
         begin, end = (array("I", [i]).tobytes() for i in (self.library.bos_id(), self.library.eos_id()))
-        out = [np.frombuffer(b"".join([begin, *map(self.known.__getitem__, own), end]), dtype="<u4") for own in cut]
-        for segment in missing:
-            if len(segment) > LONGEST_REMEMBERED:
-                del self.known[segment]
-        return out
+        return [np.frombuffer(b"".join([begin, *map(have.__getitem__, own), end]), dtype="<u4") for own in cut]
 
 
 @lru_cache(maxsize=2)
