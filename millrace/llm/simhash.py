@@ -143,20 +143,31 @@ def ball_links(prints: DataFrame, max_bits: int = MAX_BITS, blocks: int = BLOCKS
         .withColumn("from", F.min("component").over(of_bucket))
         .withColumn("to", F.max("component").over(of_bucket))
         .where("from <> to")
+        .withColumn("size", F.count(F.lit(1)).over(Window.partitionBy("block", "key", "component")))
+        .withColumn("largest", F.max(F.struct("size", "component")).over(of_bucket)["component"])
         .withColumn("twin_from", F.min(F.when(F.col("same"), F.col("component"))).over(of_bucket))
         .withColumn("twin_to", F.max(F.when(F.col("same"), F.col("component"))).over(of_bucket))
-        .select("block", (F.col("same") & (F.col("twin_from") != F.col("twin_to"))).alias("twin"), "key", "fp")
+        .select(
+            "block",
+            (F.col("same") & (F.col("twin_from") != F.col("twin_to"))).alias("twin"),
+            # The largest component waits: the others' variants come to its members.
+            (F.col("component") == F.col("largest")).alias("waits"),
+            "key",
+            "fp",
+        )
     )
+    alone = F.array(F.lit(0).cast("bigint"))
     places = []
     for k, bits in enumerate(layout):
         inside = F.lit(_mask(bits))
         own = wide.where(F.col("block") == k)
-        one = own.select("block", "key", F.lit(False).alias("far"), "fp", F.posexplode(F.transform(_flips(bits), lambda f: F.col("fp").bitwiseXOR(f).bitwiseAND(inside))).alias("nth", "place"))
+        one = own.select("block", "key", F.lit(False).alias("far"), "fp", F.posexplode(F.transform(F.when(F.col("waits"), alone).otherwise(_flips(bits)), lambda f: F.col("fp").bitwiseXOR(f).bitwiseAND(inside))).alias("nth", "place"))
         places.append(one.withColumn("core", F.col("nth") == 0).drop("nth"))
         twins = own.where("twin")
         for flips, core in ((_flips(bits), True), (_double_flips(bits), False)):
+            own = twins if core else twins.where(~F.col("waits"))
             reached = F.explode(F.transform(flips, lambda f: F.col("fp").bitwiseXOR(f).bitwiseAND(inside)))
-            places.append(twins.select("block", "key", F.lit(True).alias("far"), "fp", reached.alias("place"), F.lit(core).alias("core")))
+            places.append(own.select("block", "key", F.lit(True).alias("far"), "fp", reached.alias("place"), F.lit(core).alias("core")))
     dealt = places[0]
     for more in places[1:]:
         dealt = dealt.unionByName(more)
