@@ -65,28 +65,37 @@ def window_join_any_skew(
 ) -> DataFrame:
     """The same pairs when a single (key, window) may be too large for one task.
 
-    Left rows of a large group are dealt over several salts and the right rows of that
-    group alone are repeated once per salt, so every pair still appears exactly once. A
-    group counts as large beyond 1/``max_hot`` of all rows at least, hence the broadcast
-    list of large groups has fewer than ``max_hot`` rows.
+    A large group becomes a grid: its left rows are dealt over the grid's rows and repeated
+    along its columns, its right rows the other way round, so every pair meets in exactly one
+    place. A side that is small there is not cut. The place of a row follows from its values,
+    so a task that runs again deals it alike. A side counts as large beyond 1/``max_hot`` of
+    its rows at least, hence the broadcast list has fewer than 2 * ``max_hot`` rows.
     """
     left_w = left.withColumn("window_start", F.window(left_ts, window)["start"])
     right_w = right.withColumn("window_start", F.window(right_ts, window)["start"])
     on = [key, "window_start"]
-    sizes = left_w.where(F.col(key).isNotNull()).groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
-    total, largest = sizes.agg(F.sum("_n"), F.max("_n")).first()
-    limit = max(rows_per_task, math.ceil((total or 0) / max_hot))
+    sizes = (
+        left_w.select(*on, F.lit(1).alias("_l"), F.lit(0).alias("_r"))
+        .unionByName(right_w.select(*on, F.lit(0).alias("_l"), F.lit(1).alias("_r")))
+        .where(F.col(key).isNotNull())
+        .groupBy(*on)
+        .agg(F.sum("_l").alias("_l"), F.sum("_r").alias("_r"))
+    )
+    lefts, rights, largest = sizes.agg(F.sum("_l"), F.sum("_r"), F.max(F.greatest("_l", "_r"))).first()
+    limit = max(rows_per_task, math.ceil(max(lefts or 0, rights or 0) / max_hot))
     if (largest or 0) <= limit:
         return left_w.join(right_w, on)
-    hot = F.broadcast(
-        sizes.where(F.col("_n") > limit).select(*on, F.ceil(F.col("_n") / limit).cast("int").alias("_salts"))
-    )
-    salts = F.coalesce("_salts", F.lit(1))
-    dealt = left_w.join(hot, on, "left").withColumn("_salt", F.floor(F.rand(7) * salts).cast("int"))
-    repeated = right_w.join(hot, on, "left").withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), salts - 1))
-    )
-    return dealt.drop("_salts").join(repeated.drop("_salts"), [*on, "_salt"]).drop("_salt")
+    cut = [F.greatest(F.lit(1), F.ceil(F.col(c) / limit)).cast("int").alias(c) for c in ("_l", "_r")]
+    hot = F.broadcast(sizes.where((F.col("_l") > limit) | (F.col("_r") > limit)).select(*on, *cut))
+
+    def placed(side: DataFrame, dealt: str, repeated: str) -> DataFrame:
+        own = F.pmod(F.xxhash64(*side.columns), F.coalesce(dealt, F.lit(1))).cast("int")
+        along = F.sequence(F.lit(0), F.coalesce(repeated, F.lit(1)) - 1)
+        joined = side.join(hot, on, "left")
+        return joined.withColumns({f"{dealt}_at": own, f"{repeated}_at": F.explode(along)}).drop("_l", "_r")
+
+    pairs = placed(left_w, "_l", "_r").join(placed(right_w, "_r", "_l"), [*on, "_l_at", "_r_at"])
+    return pairs.drop("_l_at", "_r_at")
 
 
 def _tagged(left: DataFrame, right: DataFrame, right_first: bool) -> DataFrame:
@@ -110,9 +119,10 @@ def asof_join(
     """For each left row the payload of the latest right row at or before it, per key.
 
     Both sides carry ``key``, ``ts`` and ``tie``; only the right one carries ``payload``.
-    One shuffle and one sort: rows are never multiplied, however many the candidates.
+    One shuffle and one sort: rows are never multiplied, however many the candidates. A NULL
+    key matches nothing.
     """
-    both = _tagged(left, right.select(key, ts, tie, payload), right_first=True)
+    both = _tagged(left, right.where(F.col(key).isNotNull()).select(key, ts, tie, payload), right_first=True)
     known = running(
         both, [key], [ts, "_side", tie], {"_found": running_last(F.col(payload))},
         rows_per_block=rows_per_block,
@@ -137,8 +147,10 @@ def next_at_or_after(
 
     The mirror image of the as-of join: the order runs backwards in time. Without keys
     the whole input is one group, cut into blocks like any large one. Among right rows of
-    equal time the one with the smallest ``tie`` is found.
+    equal time the one with the smallest ``tie`` is found. A NULL key matches nothing.
     """
+    for key in keys:
+        right = right.where(F.col(key).isNotNull())
     back = "_back"
     l = left.withColumns({back: -epoch_us(F.col(left_ts)), "_tie": -F.col(tie)})
     r = right.select(

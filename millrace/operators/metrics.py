@@ -17,6 +17,7 @@ REQUESTS = "requests"
 PREPROCESSING_RESPONSE = "preprocessing.response"
 PREPROCESSING_RESPONSE_TIME = "preprocessing.response.time"
 SCORING_RESPONSE = "fexnscoring.response"
+SCORING_RESPONSE_CASED = "fexNScoring.response"
 SCORING_RESPONSE_TIME = "fexnscoring.response.time"
 PERIOD = "1 minute"
 

@@ -44,12 +44,13 @@ def sessions_any_skew(
 
     The built-in session window merges all rows of a key in one task. When a key is too
     large for that, its rows are numbered by session across blocks and then aggregated
-    with a map-side partial step.
+    with a map-side partial step. Rows without a time belong to no session, as in the
+    built-in window.
     """
-    rows = events.select(key, ts, tie, measure)
+    rows = events.where(F.col(ts).isNotNull()).select(key, ts, tie, measure)
     blocks = Blocks.plan(rows, [key], [ts, tie], rows_per_block)
     if not blocks.cuts:
-        return sessions(events, key, ts, measure, gap_seconds)
+        return sessions(rows, key, ts, measure, gap_seconds)
     previous = blocks.running(
         blocks.assign(rows), {"_previous": running_max(F.col(ts))}, inclusive=False
     )

@@ -18,8 +18,7 @@ SUMS = ("n", "sx", "sy", "sxx", "sxy")
 def ride_features(rides: DataFrame, grid: GridSpec, ts: str = "ts") -> DataFrame:
     """Per ride inside the area: destination cell, direction bucket, distance, duration.
 
-    Distance is in steps of ten metres and duration in milliseconds. Both are whole
-    numbers, so sums of them are exact and do not depend on the order of addition.
+    Distance is in steps of ten metres and duration in milliseconds, both whole numbers.
     """
     ref_lat = (grid.south + grid.north) / 2
     ends = [F.col(c) for c in ("start_lon", "start_lat", "end_lon", "end_lat")]
@@ -38,6 +37,11 @@ def ride_features(rides: DataFrame, grid: GridSpec, ts: str = "ts") -> DataFrame
     )
 
 
+def exact(value: Column) -> Column:
+    """A whole number whose sums are exact at any size, and so the same for any cut points."""
+    return value.cast("decimal(28,0)")
+
+
 def least_squares_minutes(distance: Column, n: Column, sx: Column, sy: Column, sxx: Column, sxy: Column) -> Column:
     """Whole minutes on the fitted line; the mean while no line is determined, NULL before any row."""
     spread = n * sxx - sx * sx
@@ -54,23 +58,25 @@ def travel_time_predictions(
     """A prediction for each ride start, from the ride ends before it in event time.
 
     One model per (destination cell, direction bucket). A model is five running sums, so
-    training is a running aggregate and a popular destination can be cut into blocks.
+    training is a running aggregate and a popular destination can be cut into blocks. A ride
+    end without a distance or a duration trains nothing.
     """
     features = ride_features(rides, grid, ts)
     x, y = F.col("distance"), F.col("duration")
-    trains = ~F.col("is_start")
+    trains = ~F.col("is_start") & x.isNotNull() & y.isNotNull()
+    whole_x, whole_y = x.cast("bigint"), y.cast("bigint")
     fitted = running(
         features,
         ["cell", "bucket"],
         [ts, "ride_id"],
         {
             "n": running_count(F.when(trains, 1)),
-            "sx": running_sum(F.when(trains, x)),
-            "sy": running_sum(F.when(trains, y)),
-            "sxx": running_sum(F.when(trains, x * x)),
-            "sxy": running_sum(F.when(trains, x * y)),
+            "sx": running_sum(F.when(trains, exact(x))),
+            "sy": running_sum(F.when(trains, exact(y))),
+            "sxx": running_sum(F.when(trains, exact(whole_x * whole_x))),
+            "sxy": running_sum(F.when(trains, exact(whole_x * whole_y))),
         },
         rows_per_block=rows_per_block,
     )
-    minutes = least_squares_minutes(x, *[F.col(c) for c in SUMS])
+    minutes = least_squares_minutes(x, *[F.col(c).cast("double") for c in SUMS])
     return fitted.where("is_start").select("ride_id", "cell", "bucket", minutes.alias("minutes"))

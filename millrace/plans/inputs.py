@@ -14,7 +14,6 @@ from millrace.functions.times import epoch_ms, plus_us
 
 GRID = GridSpec(west=-74.05, east=-73.75, south=40.55, north=40.85, dlon=0.1, dlat=0.1)
 START_TYPES = ("click", "view")
-SHIPPED_BY = "2001-01-01"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -76,9 +75,8 @@ def shipments_of(lineitem: DataFrame) -> DataFrame:
 
 
 def first_shipments(requests: DataFrame, shipments: DataFrame) -> DataFrame:
-    """Per request the first shipment on or after its date and before the cut-off."""
-    early = shipments.where(F.col("shipped") < F.lit(SHIPPED_BY).cast("timestamp_ntz"))
-    matched = early.join(requests, "id").where(F.col("shipped") >= F.col("ts"))
+    """Per request the first shipment on or after its date."""
+    matched = shipments.join(requests, "id").where(F.col("shipped") >= F.col("ts"))
     first = matched.groupBy("id").agg(F.min("shipped").alias("ts"))
     return first.withColumn("status", F.lit(PROCESSING_DONE))
 

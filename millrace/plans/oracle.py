@@ -9,7 +9,7 @@ from millrace.functions.geo import EARTH_KM_PER_DEGREE
 from millrace.operators.joins import LABEL_GAP, NO_INFO
 from millrace.operators.metrics import PREFIX
 from millrace.operators.travel_time import DIRECTION_BUCKETS
-from millrace.plans.inputs import GRID, SHIPPED_BY
+from millrace.plans.inputs import GRID
 from millrace.plans.queries import LATE_DELAY, PLACES_THRESHOLD, QUANTILES, SESSION_GAP
 
 
@@ -45,8 +45,7 @@ def _cell(lon: str, lat: str) -> str:
     )
 
 
-def places(days: int, closed: bool = False, time: str = "ts") -> str:
-    last = "AND window_end_ms <= (SELECT epoch_ms(max(ts)) - 60000 FROM inside)" if closed else ""
+def places(days: int, time: str = "ts") -> str:
     return f"""
 WITH {RIDES},
 hits AS (
@@ -58,7 +57,7 @@ counted AS (
 SELECT CAST({W} + (cell % {COLS} + 0.5e0) * {DLON} AS REAL) AS lon,
        CAST({N} - (floor(cell / {COLS}) + 0.5e0) * {DLAT} AS REAL) AS lat,
        CAST(window_end_ms AS BIGINT) AS window_end_ms, is_start, CAST(n AS INTEGER) AS n
-FROM counted WHERE n >= {PLACES_THRESHOLD} {last}"""
+FROM counted WHERE n >= {PLACES_THRESHOLD}"""
 
 
 _EAST = _num(EARTH_KM_PER_DEGREE * math.cos(math.radians((GRID.south + GRID.north) / 2)))
@@ -128,9 +127,9 @@ SELECT customer AS key, concat_ws('|', customer, clicked_item, event_time, '{sta
        '{topic}' AS topic FROM clicks"""
 
 
-FIRST_SHIPMENTS = f"""first_shipments AS (
+FIRST_SHIPMENTS = """first_shipments AS (
   SELECT o_orderkey AS id, min(l_shipdate) AS ts FROM orders JOIN lineitem ON l_orderkey = o_orderkey
-  WHERE l_shipdate >= o_orderdate AND l_shipdate < TIMESTAMP '{SHIPPED_BY}' GROUP BY o_orderkey)"""
+  WHERE l_shipdate >= o_orderdate GROUP BY o_orderkey)"""
 
 _QUANTILES = ", ".join(f"round(quantile_cont({CENTS}, {p!r}), 4) AS {n}" for n, p in QUANTILES.items())
 

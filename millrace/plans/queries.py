@@ -57,9 +57,6 @@ PLACES_THRESHOLD = 5
 SESSION_GAP = 8 * 60 * 60
 LATE_DELAY = 40 * 60
 QUANTILES = {"p50": 0.5, "p75": 0.75, "p95": 0.95, "p98": 0.98, "p99": 0.99, "p999": 0.999}
-# Orders over the whole input are cut into blocks even on small tables. On large ones the
-# block size follows from the largest number of blocks instead.
-GLOBAL_ROWS = 4_000
 
 
 def word_count_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -103,13 +100,13 @@ def sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def late_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = arrivals_of(table(spark, sf_dir, "events"))
-    return mark_late(events, "ts", ["arrival_ts", "event_id"], LATE_DELAY, GLOBAL_ROWS)
+    return mark_late(events, "ts", ["arrival_ts", "event_id"], LATE_DELAY)
 
 
 def event_time_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = arrivals_of(table(spark, sf_dir, "events"))
     arrival = ["arrival_ts", "event_id"]
-    return sorted_on_time(events, "user_id", "ts", "event_id", arrival, LATE_DELAY, GLOBAL_ROWS)
+    return sorted_on_time(events, "user_id", "ts", "event_id", arrival, LATE_DELAY)
 
 
 def window_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -123,7 +120,7 @@ def running_max_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
     clicks = of_type(events, "click", ts="ts", event_id="event_id")
     views = of_type(events, "view", ts="ts", event_id="event_id", cents=cents())
-    best = running_max_enrich(clicks, views, "ts", "event_id", "cents", rows_per_block=GLOBAL_ROWS)
+    best = running_max_enrich(clicks, views, "ts", "event_id", "cents")
     return best.withColumn("label", running_max_label("event_id"))
 
 
@@ -146,7 +143,7 @@ def in_flight(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def in_flight_over_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     requests, responses = _requests_and_responses(spark, sf_dir)
-    return in_flight_size(requests, responses, "ts", rows_per_block=GLOBAL_ROWS)
+    return in_flight_size(requests, responses, "ts")
 
 
 def request_timeout(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -157,7 +154,7 @@ def request_timeout(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def timer_trigger(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events").select("event_id", "ts")
-    return timer_triggers(events, "ts", "event_id", "25 minutes", GLOBAL_ROWS)
+    return timer_triggers(events, "ts", "event_id", "25 minutes")
 
 
 def lookup_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:

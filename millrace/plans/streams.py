@@ -1,7 +1,7 @@
 """Registered streaming queries. Each runs over the whole table and returns what it wrote.
 
-Only finished results are written, so rows the final watermark has not passed are absent;
-the SQL alongside says the same in terms of the largest event time.
+Only finished results are written. At the end of the table a row of the far future closes the
+windows, sessions, slots and timeouts that are still open, so nothing is left behind.
 """
 
 from __future__ import annotations
@@ -14,10 +14,12 @@ from pyspark.sql import functions as F
 from millrace.functions.codec import REQUEST_TOPIC, SCORED_TOPIC, decode_clicks, encode_clicks
 from millrace.functions.text import tokens_nonempty
 from millrace.operators.joins import lookup
+from millrace.operators.places import WindowSize
+from millrace.operators.rows import rides_inside
 from millrace.operators.status import finish_scored, score_requests
 from millrace.operators.words import word_counts
 from millrace.plans import inputs, oracle
-from millrace.plans.queries import GLOBAL_ROWS, LATE_DELAY, ONE_DAY, PLACES_THRESHOLD, SESSION_GAP, THREE_BY_ONE_DAY
+from millrace.plans.queries import LATE_DELAY, ONE_DAY, PLACES_THRESHOLD, SESSION_GAP, THREE_BY_ONE_DAY
 from millrace.session import scratch_dir
 from millrace.sources.readers import table_stream
 from millrace.sources.writers import drain, stream_to_topic
@@ -38,6 +40,35 @@ def _wall_clock(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in columns})
 
 
+class _Ending:
+    """Streams that end: after the table comes a copy of one of its rows, dated far ahead.
+
+    That row moves the watermark past all others. Its own window, slot or session stays open
+    for ever, so it has no part in finished results. The date is about the last that pandas
+    can hold in nanoseconds; the tables end long before it.
+    """
+
+    DATE = "2250-01-01"
+
+    def __init__(self, spark: SparkSession, label: str):
+        self.spark, self.label, self.rows = spark, label, []
+
+    def add(self, stream: DataFrame, table: DataFrame, ts: str) -> DataFrame:
+        """``stream`` with its last row to come; ``table`` holds the same rows at rest."""
+        folder = scratch_dir(self.spark, f"{self.label}-end")
+        last = table.limit(1).withColumn(ts, F.lit(self.DATE).cast(table.schema[ts].dataType))
+        last.limit(0).write.parquet(folder)
+        self.rows.append((last, folder))
+        return stream.unionByName(table_stream(self.spark, folder, stream.schema))
+
+    def drain(self, stream: DataFrame) -> DataFrame:
+        def close() -> None:
+            for last, folder in self.rows:
+                last.write.mode("append").parquet(folder)
+
+        return drain(stream, self.label, at_end=close)
+
+
 def stream_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = word_counts(_stream(spark, sf_dir, "documents"), tokens=tokens_nonempty)
     updates = drain(counts, "stream_word_count", mode="update")
@@ -45,28 +76,36 @@ def stream_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return updates.groupBy("word").agg(F.max("n").alias("n"))
 
 
+def _places_stream(spark: SparkSession, sf_dir: str, window: WindowSize, label: str) -> DataFrame:
+    ending = _Ending(spark, label)
+    inside = rides_inside(inputs.rides(spark, sf_dir), inputs.GRID)
+    rides = ending.add(inputs.rides_of(_stream(spark, sf_dir, "events")), inside, "ts")
+    return ending.drain(builtin.popular_places_stream(rides, inputs.GRID, window, PLACES_THRESHOLD))
+
+
 def stream_popular_places(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rides = inputs.rides_of(_stream(spark, sf_dir, "events"))
-    places = builtin.popular_places_stream(rides, inputs.GRID, THREE_BY_ONE_DAY, PLACES_THRESHOLD)
-    return drain(places, "stream_popular_places")
+    return _places_stream(spark, sf_dir, THREE_BY_ONE_DAY, "stream_popular_places")
 
 
 def stream_popular_places_tumbling(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rides = inputs.rides_of(_stream(spark, sf_dir, "events"))
-    places = builtin.popular_places_stream(rides, inputs.GRID, ONE_DAY, PLACES_THRESHOLD)
-    return drain(places, "stream_popular_places_tumbling")
+    return _places_stream(spark, sf_dir, ONE_DAY, "stream_popular_places_tumbling")
 
 
 def stream_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = _stream(spark, sf_dir, "events").select("user_id", "ts", inputs.cents().alias("cents"))
+    ending, columns = _Ending(spark, "stream_sessions"), ["user_id", "ts", inputs.cents().alias("cents")]
+    events = ending.add(
+        _stream(spark, sf_dir, "events").select(*columns), inputs.table(spark, sf_dir, "events").select(*columns), "ts"
+    )
     found = builtin.sessions_stream(events, "user_id", "ts", "cents", SESSION_GAP)
-    return _wall_clock(drain(found, "stream_sessions"), "session_start", "session_end")
+    return _wall_clock(ending.drain(found), "session_start", "session_end")
 
 
 def stream_metric_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    samples = inputs.metric_samples(_stream(spark, sf_dir, "events"))
+    ending = _Ending(spark, "stream_metric_counts")
+    at_rest = inputs.metric_samples(inputs.table(spark, sf_dir, "events"))
+    samples = ending.add(inputs.metric_samples(_stream(spark, sf_dir, "events")), at_rest, "ts")
     counts = builtin.metric_counts_stream(samples, "ts", "1 minute", "40 seconds")
-    return _wall_clock(drain(counts, "stream_metric_counts"), "period_start")
+    return _wall_clock(ending.drain(counts), "period_start")
 
 
 def stream_window_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,18 +121,30 @@ def stream_window_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_request_timeout(spark: SparkSession, sf_dir: str) -> DataFrame:
-    requests = inputs.requests_of(_stream(spark, sf_dir, "orders"))
-    shipments = inputs.shipments_of(_stream(spark, sf_dir, "lineitem"))
+    """The first response of each request inside the timeout, as in batch form."""
+    ending, orders, lines = _Ending(spark, "stream_request_timeout"), "orders", "lineitem"
+    requests = ending.add(
+        inputs.requests_of(_stream(spark, sf_dir, orders)), inputs.requests_of(inputs.table(spark, sf_dir, orders)), "ts"
+    )
+    shipments = ending.add(
+        inputs.shipments_of(_stream(spark, sf_dir, lines)), inputs.shipments_of(inputs.table(spark, sf_dir, lines)), "shipped"
+    )
     found = builtin.request_timeouts_stream(
         requests, shipments, "id", "ts", "shipped", "90 days", delay="90 minutes"
     )
-    return _wall_clock(drain(found, "stream_request_timeout"), "ts", "shipped")
+    answers = _wall_clock(ending.drain(found), "ts", "shipped")
+    # The two last rows can meet each other.
+    answers = answers.where(F.col("ts") < F.lit(_Ending.DATE).cast("timestamp_ntz"))
+    return answers.groupBy("id", "ts").agg(F.min("shipped").alias("shipped"))
 
 
 def stream_event_time_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = _stream(spark, sf_dir, "events").select("user_id", "ts", "event_id")
+    ending, columns = _Ending(spark, "stream_event_time_sort"), ["user_id", "ts", "event_id"]
+    events = ending.add(
+        _stream(spark, sf_dir, "events").select(*columns), inputs.table(spark, sf_dir, "events").select(*columns), "ts"
+    )
     ordered = stateful.sort_by_event_time(events, "user_id", "ts", "event_id", f"{LATE_DELAY} seconds", "7 days", 32)
-    return _wall_clock(drain(ordered, "stream_event_time_sort"), "ts", "slot_start")
+    return _wall_clock(ending.drain(ordered), "ts", "slot_start")
 
 
 def stream_travel_time(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -134,7 +185,7 @@ def stream_running_max_global(spark: SparkSession, sf_dir: str) -> DataFrame:
     views = inputs.of_type(_stream(spark, sf_dir, "events"), "view", ts="ts", event_id="event_id", cents=inputs.cents())
     path, progress = scratch_dir(spark, "stream_top"), scratch_dir(spark, "stream_top-progress")
     global_order.running_max_everywhere(
-        clicks, views, "ts", "event_id", "cents", path, progress, GLOBAL_ROWS, once=True
+        clicks, views, "ts", "event_id", "cents", path, progress, once=True
     ).awaitTermination()
     return spark.read.parquet(f"{path}/rows").drop("batch")
 
@@ -180,29 +231,18 @@ STREAMS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
-_NEWEST = "(SELECT max(ts) FROM events)"
-
 STREAM_SQL: dict[str, str] = {
     "stream_word_count": oracle.WORDS_NONEMPTY,
-    "stream_popular_places": oracle.places(3, closed=True),
-    "stream_popular_places_tumbling": oracle.places(1, closed=True),
-    "stream_sessions": f"""
-WITH {oracle.SESSION_ROWS}
-SELECT * FROM found WHERE session_end + INTERVAL {SESSION_GAP} SECONDS <= {_NEWEST} - INTERVAL 40 SECONDS""",
-    "stream_metric_counts": f"""
-SELECT * FROM ({oracle.BATCH['metric_counts']})
-WHERE period_start + INTERVAL 1 MINUTE <= {_NEWEST} - INTERVAL 40 SECONDS""",
+    "stream_popular_places": oracle.BATCH["popular_places"],
+    "stream_popular_places_tumbling": oracle.BATCH["popular_places_tumbling"],
+    "stream_sessions": oracle.BATCH["sessions"],
+    "stream_metric_counts": oracle.BATCH["metric_counts"],
     "stream_window_join": oracle.BATCH["window_join"],
-    "stream_request_timeout": """
-SELECT o_orderkey AS id, o_orderdate AS ts, l_shipdate AS shipped
-FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey
- AND l_shipdate BETWEEN o_orderdate AND o_orderdate + INTERVAL 90 DAYS
-WHERE l_shipdate IS NOT NULL OR o_orderdate + INTERVAL 90 DAYS <
-  least((SELECT max(o_orderdate) FROM orders), (SELECT max(l_shipdate) FROM lineitem)) - INTERVAL 90 MINUTES""",
-    "stream_event_time_sort": f"""
+    "stream_request_timeout": oracle.BATCH["request_timeout"],
+    "stream_event_time_sort": """
 SELECT user_id, ts, event_id, slot_start,
        row_number() OVER (PARTITION BY user_id, slot_start ORDER BY ts, event_id) AS position
-FROM (SELECT *, time_bucket(INTERVAL 7 DAYS, ts, TIMESTAMP '1970-01-01') AS slot_start FROM events) WHERE ts <= date_trunc('milliseconds', {_NEWEST}) - INTERVAL {LATE_DELAY} SECONDS""",
+FROM (SELECT *, time_bucket(INTERVAL 7 DAYS, ts, TIMESTAMP '1970-01-01') AS slot_start FROM events)""",
     "stream_travel_time": oracle.TRAVEL_TIME,
     "stream_asof_join": f"SELECT *, false AS is_final FROM ({oracle.ASOF})",
     "stream_in_flight": """

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,6 +30,27 @@ def local_session(cpus: int | str = 8, app: str = "millrace", **conf: str) -> Sp
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give this package to the workers, which need it to load functions defined in it. Once per application."""
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    # addPyFile serves the file from the driver, so the driver's own folder does.
+    path = os.path.join(tempfile.mkdtemp(), "millrace_package.zip")
+    with zipfile.ZipFile(path, "w") as out:
+        for folder, _, files in os.walk(root):
+            for name in files:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    out.write(full, os.path.relpath(full, os.path.dirname(root)))
+    spark.sparkContext.addPyFile(path)
+    _SHIPPED.add(app)
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 

@@ -11,7 +11,8 @@ from pyspark.sql import types as T
 
 from millrace import schemas
 
-# The consumer group and poll cap of the click jobs, the ride disorder.
+# The consumer group and poll cap of the click jobs, for those who ask for them; the
+# ride disorder.
 CONSUMER_GROUP = "test-group1"
 POLL_CAP = 50
 RIDE_DISORDER = "60 seconds"
@@ -74,11 +75,15 @@ def table_stream(
 def topic_options(
     topics: Iterable[str],
     servers: str,
-    group: str | None = CONSUMER_GROUP,
-    poll_cap: int | None = POLL_CAP,
+    group: str | None = None,
+    poll_cap: int | None = None,
     earliest: bool = False,
 ) -> dict[str, str]:
-    """Reader options for one topic or several."""
+    """Reader options for one topic or several.
+
+    Queries that share a ``group`` may each get a part of a topic, so the default is a group of
+    its own for every query.
+    """
     options = {"kafka.bootstrap.servers": servers, "subscribe": ",".join(topics)}
     if group:
         options["kafka.group.id"] = group

@@ -2,27 +2,20 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from millrace.session import scratch_dir
+from millrace.session import scratch_dir, ship
 
 # Fixed value: progress is saved once per second.
 CHECKPOINT_INTERVAL = "1 second"
 
 
-def print_rows(df: DataFrame, name: str = "printer sink", rows: int = 20) -> StreamingQuery | None:
-    """Show some rows of a batch, or print each micro-batch of a stream."""
-    if df.isStreaming:
-        return df.writeStream.format("console").queryName(name).outputMode("update").start()
-    df.show(rows, truncate=False)
-    return None
-
-
 def as_text(df: DataFrame) -> DataFrame:
     """Each row as one delimited line."""
     return df.select(F.to_csv(F.struct("*")).alias("value"))
@@ -34,6 +27,32 @@ def write_text(df: DataFrame, path: str, single_file: bool = False) -> None:
     (lines.coalesce(1) if single_file else lines).write.mode("overwrite").text(path)
 
 
+def _print_lines(rows: Iterator[Row]) -> None:
+    for row in rows:
+        print(row.value)
+    sys.stdout.flush()
+
+
+def print_rows(df: DataFrame, name: str = "printer sink", rows: int | None = None) -> StreamingQuery | None:
+    """Print every row of a batch, or of each micro-batch of a stream, as one delimited line.
+
+    The tasks print to the output of their own executors, so nothing passes through the
+    driver. With ``rows`` the driver shows that many of a batch or micro-batch instead.
+    """
+
+    def put(part: DataFrame, _: int = 0) -> None:
+        if rows is None:
+            ship(part.sparkSession)
+            as_text(part).foreachPartition(_print_lines)
+        else:
+            part.show(rows, truncate=False)
+
+    if df.isStreaming:
+        return df.writeStream.queryName(name).outputMode("update").foreachBatch(put).start()
+    put(df)
+    return None
+
+
 def _writer(stream: DataFrame, checkpoint: str, name: str | None, mode: str, once: bool, interval: str):
     writer = stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
     if name:
@@ -103,24 +122,37 @@ def _state_partitions(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(setting, before)
 
 
-def drain(stream: DataFrame, label: str, mode: str = "append") -> DataFrame:
+def drain(
+    stream: DataFrame, label: str, mode: str = "append", at_end: Callable[[], None] | None = None
+) -> DataFrame:
     """Run a stream over all data present and return what it wrote.
 
+    ``at_end`` is called once all of it has been taken; what it adds to the sources is run
+    from the same progress. That is how a bounded input closes what is still open.
+
     With ``append`` these are the final rows. With ``update`` each row also carries its
     ``batch``; the row of the highest batch is the current one of its key.
     """
     spark = stream.sparkSession
+    ship(spark)
     path, checkpoint = scratch_dir(spark, label), scratch_dir(spark, f"{label}-progress")
-    with _state_partitions(spark):
-        if mode == "append":
-            query = stream_to_table(stream, path, checkpoint, label, once=True)
-        else:
-            query = stream_by_batch(
-                stream,
-                lambda df, batch: df.write.mode("overwrite").parquet(batch_folder(path, batch)),
-                checkpoint, mode, label, once=True,
-            )
-    query.awaitTermination()
+
+    def run() -> None:
+        with _state_partitions(spark):
+            if mode == "append":
+                query = stream_to_table(stream, path, checkpoint, label, once=True)
+            else:
+                query = stream_by_batch(
+                    stream,
+                    lambda df, batch: df.write.mode("overwrite").parquet(batch_folder(path, batch)),
+                    checkpoint, mode, label, once=True,
+                )
+        query.awaitTermination()
+
+    run()
+    if at_end:
+        at_end()
+        run()
     reader = spark.read.schema(stream.schema) if mode == "append" else spark.read
     return reader.parquet(path)
 

@@ -9,6 +9,7 @@ state. Times inside the state are microseconds.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator, Sequence
+from decimal import Decimal
 
 import numpy as np
 import pandas as pd
@@ -133,17 +134,22 @@ def travel_time_stream(rides: DataFrame, grid: GridSpec, ts: str = "ts") -> Data
     """
     features = ride_features(rides, grid, ts).withColumn("_us", epoch_us(F.col(ts)))
     output = "ride_id bigint, cell int, bucket int, minutes int"
-    state_type = "n double, sx double, sy double, sxx double, sxy double"
+    state_type = "n decimal(38,0), sx decimal(38,0), sy decimal(38,0), sxx decimal(38,0), sxy decimal(38,0)"
 
     def learn(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         rows = _rows(chunks, ["ride_id", "_us", "is_start", "distance", "duration"])
         rows = rows.sort_values(["_us", "ride_id"], ignore_index=True)
         start = rows["is_start"].to_numpy(dtype=bool)
         x, y = rows["distance"].to_numpy(float), rows["duration"].to_numpy(float)
-        terms = np.vstack([np.ones_like(x), x, y, x * x, x * y]) * ~start
-        known = np.array(state.get if state.exists else (0.0,) * 5)[:, None] + terms.cumsum(axis=1)
-        state.update(tuple(float(v) for v in known[:, -1]))
-        n, sx, sy, sxx, sxy = known[:, start]
+        trains = ~start & ~np.isnan(x) & ~np.isnan(y)
+        # Python's whole numbers: sums stay exact at any size.
+        whole_x, whole_y = (np.where(trains, v, 0).astype("int64").astype(object) for v in (x, y))
+        ones = trains.astype("int64").astype(object)
+        terms = np.vstack([ones, whole_x, whole_y, whole_x * whole_x, whole_x * whole_y])
+        before = [int(v) for v in state.get] if state.exists else [0] * 5
+        known = np.array(before, dtype=object)[:, None] + terms.cumsum(axis=1)
+        state.update(tuple(Decimal(v) for v in known[:, -1]))
+        n, sx, sy, sxx, sxy = known[:, start].astype(float)
         spread = n * sxx - sx * sx
         with np.errstate(divide="ignore", invalid="ignore"):
             slope = np.where(spread != 0, (n * sxy - sx * sy) / spread, 0.0)

@@ -1,5 +1,6 @@
 """Sources and sinks."""
 
+import time
 import gzip
 
 from pyspark.sql import functions as F
@@ -47,7 +48,8 @@ def test_topics_through_files(spark, tmp_path):
         writers.write_topic(codec.encode_clicks(clicks, topic), {}, "parquet", folder)
     options = readers.topic_options(["T", "U"], "broker:9092", earliest=True)
     assert options["subscribe"] == "T,U" and options["startingOffsets"] == "earliest"
-    assert options["kafka.group.id"] == "test-group1" and options["kafka.max.poll.records"] == "50"
+    asked = readers.topic_options(["T"], "broker:9092", readers.CONSUMER_GROUP, readers.POLL_CAP)
+    assert asked["kafka.group.id"] == "test-group1" and asked["kafka.max.poll.records"] == "50"
     batch = readers.topic_rows(spark, options, "parquet", path=folder, streaming=False)
     assert batch.columns == schemas.TOPIC_ROW.names and batch.count() == 4
     stream = readers.topic_rows(spark, options, "parquet", path=folder)
@@ -72,12 +74,18 @@ def test_arrival_time(spark, tmp_path):
     assert got.first().arrival_ts is not None
 
 
-def test_print_plan_and_names(spark, capsys):
+def test_print_plan_and_names(spark, capfd):
     df = writers.named(spark.range(2), "two rows")
     assert spark.sparkContext.getLocalProperty("spark.job.description") == "two rows"
-    writers.print_rows(df)
+    writers.print_rows(spark.range(1000, 1050))
+    printed, until = "", time.time() + 10  # the workers' output arrives in its own time
+    while time.time() < until and not all(str(i) in printed for i in range(1000, 1050)):
+        printed += "".join(capfd.readouterr())
+        time.sleep(0.1)
+    assert all(str(i) in printed for i in range(1000, 1050))
+    writers.print_rows(df, rows=2)
     writers.show_plan(df)
-    shown = capsys.readouterr().out
+    shown = capfd.readouterr().out
     assert "| 0" in shown or "|0" in shown
     assert "Physical Plan" in shown
 
