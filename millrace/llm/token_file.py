@@ -29,7 +29,7 @@ END_ID = 1
 LIMIT = 18
 BLOCK_IDS = 1 << 18
 STRIDE = 64
-REMEMBERED, LONGEST_REMEMBERED = 700_000, 40
+REMEMBERED, LONGEST_REMEMBERED = 500_000, 40
 
 
 def _byte_letters() -> dict[int, int]:
@@ -41,6 +41,8 @@ def _byte_letters() -> dict[int, int]:
 
 BYTE_LETTERS = _byte_letters()
 LAST_PLAIN = "\u024f"
+# Signs that are never part of a letter token, a contraction or a special token.
+_SIGNS = "!\"#$%&()*+,-./:;=?@[\\]^_`{}~"
 
 
 def plain_form(word: str) -> str | None:
@@ -63,49 +65,68 @@ class WordEncoder:
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
+        self.model._resize_cache(0)  # each word comes once, so what the model would remember is only in the way
         self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
         letters = [chr(c) for c in range(ord(LAST_PLAIN) + 1) if plain_form(chr(c))]
         trial = [*letters, *(a + b for a in letters for b in "aZ\u00e9"), *(f"The{a}rest" for a in letters)]
-        whole = [e.ids for e in self.tokenizer.encode_batch_fast(trial, add_special_tokens=False)]
-        self.direct = whole == [self._by_model(plain_form(w)) for w in trial]
+        self.direct = self._whole(trial) == [self._by_model(plain_form(w)) for w in trial]
+        # The same for a run of signs after a letter: it is encoded on its own.
+        ends = [a + b for a in _SIGNS for b in ("", *_SIGNS)]
+        apart = [a + b for a, b in zip(self._whole(["\u00e9a"] * len(ends)), self._whole(ends))]
+        self.signs_apart = self._whole(["\u00e9a" + e for e in ends]) == apart
+        self.tails: dict[str, bytes] = {"": b""}
+
+    def _whole(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _by_model(self, form: str) -> list[int]:
-        return [t.id for t in self.tokenizer.model.tokenize(form)]
+        return [t.id for t in self.model.tokenize(form)]
 
     def _learn(self, words: list[bytes]) -> dict[bytes, bytes]:
-        # A full stop or comma after a letter is a token of its own and joins with nothing, so the stem is looked up without it.
-        texts = [w.decode() for w in words]
-        tails = [t[-1] if t[-1] in ".," and t[-2:-1].isalpha() else "" for t in texts]
-        stems = [t[:-1] if tail else t for t, tail in zip(texts, tails)]
-        packed: dict[str, bytes] = {"": b""}
-        whole = []
-        for stem in {*stems, ".", ","}:
-            form = plain_form(stem) if self.direct else None
+        # Many words are another one with signs at its end: the stem is looked up once.
+        out, stems, whole = {}, {}, []
+        for word in words:
+            text = word.decode()
+            stem = text.rstrip(_SIGNS) if self.signs_apart else text
+            form = plain_form(stem) if self.direct and stem else None
             if form is None:
-                whole.append(stem)
-            else:
-                packed[stem] = array("I", self._by_model(form)).tobytes()
-        for stem, found in zip(whole, self.tokenizer.encode_batch_fast(whole, add_special_tokens=False)):
-            packed[stem] = array("I", found.ids).tobytes()
-        return {word: packed[stem] + packed[tail] for word, stem, tail in zip(words, stems, tails)}
+                whole.append((word, text))
+                continue
+            ids = stems.get(form)
+            if ids is None:
+                ids = stems[form] = array("I", self._by_model(form)).tobytes()
+            if len(stem) < len(text):
+                ids += self._tail(text[len(stem) :])
+            out[word] = ids
+        for (word, _), ids in zip(whole, self._whole([text for _, text in whole])):
+            out[word] = array("I", ids).tobytes()
+        return out
+
+    def _tail(self, signs: str) -> bytes:
+        ids = self.tails.get(signs)
+        if ids is None:
+            ids = array("I", self._whole([signs])[0]).tobytes()
+            if len(signs) <= 3:  # so there are few
+                self.tails[signs] = ids
+        return ids
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """The ids of each UTF-8 text, as little-endian 32-bit numbers."""
         cut = [t.split() for t in texts]
-        known, have, missing = self.known.get, {}, []
-        for word in set(itertools.chain.from_iterable(cut)):
-            ids = known(word)
-            if ids is None:
-                missing.append(word)
-            else:
-                have[word] = ids
-        if missing:
-            learned = self._learn(missing)
-            have.update(learned)
-            if len(self.known) + len(learned) > REMEMBERED:
-                self.known.clear()
-            self.known.update((w, i) for w, i in learned.items() if len(w) <= LONGEST_REMEMBERED)
-        return [b"".join(map(have.__getitem__, own)) for own in cut]
+        known = self.known
+        found = [list(map(known.get, own)) for own in cut]
+        missing = {w for own, ids in zip(cut, found) for w, i in zip(own, ids) if i is None}
+        again = {w: self.older[w] for w in missing if w in self.older}
+        known.update(again)
+        known.update(self._learn([w for w in missing if w not in again]))
+        out = [b"".join([known[w] if i is None else i for w, i in zip(own, ids)]) for own, ids in zip(cut, found)]
+        for word in [w for w in missing if len(w) > LONGEST_REMEMBERED]:
+            del known[word]
+        if len(known) > REMEMBERED:
+            self.known, self.older = {}, known  # what is still in use comes back from there
+        return out
 
 
 @lru_cache(maxsize=2)
