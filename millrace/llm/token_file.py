@@ -115,13 +115,13 @@ class WordEncoder:
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """The ids of each UTF-8 text, as little-endian 32-bit numbers."""
         cut = [t.split() for t in texts]
-        known = self.known
-        found = [list(map(known.get, own)) for own in cut]
-        missing = {w for own, ids in zip(cut, found) for w, i in zip(own, ids) if i is None}
+        known, missing = self.known, set()
+        for own in cut:
+            missing.update(itertools.filterfalse(known.__contains__, own))
         again = {w: self.older[w] for w in missing if w in self.older}
         known.update(again)
         known.update(self._learn([w for w in missing if w not in again]))
-        out = [b"".join([known[w] if i is None else i for w, i in zip(own, ids)]) for own, ids in zip(cut, found)]
+        out = [b"".join(map(known.__getitem__, own)) for own in cut]
         for word in [w for w in missing if len(w) > LONGEST_REMEMBERED]:
             del known[word]
         if len(known) > REMEMBERED:
