@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-import zipfile
 from collections.abc import Iterator
 
 import numpy as np
@@ -13,41 +10,34 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import millrace
-from millrace.session import scratch_dir
+from millrace.session import scratch_dir, ship  # noqa: F401
 
 SLICE_BYTES = 4 << 20
-_SHIPPED: dict[str, str] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def ship(spark: SparkSession) -> None:
-    """Give the package to the workers, which need it to load functions defined in it. Once per application."""
-    app = spark.sparkContext.applicationId
-    if app in _SHIPPED:
-        return
-    root = os.path.dirname(os.path.abspath(millrace.__file__))
-    # addPyFile serves the file from the driver, so the driver's own folder does.
-    path = os.path.join(tempfile.mkdtemp(), "millrace_package.zip")
-    with zipfile.ZipFile(path, "w") as out:
-        for folder, _, files in os.walk(root):
-            for name in files:
-                if name.endswith(".py"):
-                    full = os.path.join(folder, name)
-                    out.write(full, os.path.relpath(full, os.path.dirname(root)))
-    spark.sparkContext.addPyFile(path)
-    _SHIPPED[app] = path
-
-
 def written(df: DataFrame, label: str) -> DataFrame:
     """The rows as a table in the shared folder: lineage ends here, and lost executors take nothing along."""
     spark = df.sparkSession
     path = scratch_dir(spark, label)
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_at = path
+    return out
+
+
+def forget(*frames: DataFrame) -> None:
+    """Delete the tables behind frames of ``written`` that nothing reads any more."""
+    for df in frames:
+        drop_folder(df.sparkSession, df.written_at)
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def id_crc(doc_id: Column | str = "doc_id") -> Column:
