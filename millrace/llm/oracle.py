@@ -27,4 +27,57 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN t USING (doc_id)
 """
 
-SQL: dict[str, str] = {"op4_substring_dedup": OP4, "op5_benchmark_decontamination": OP5}
+OP12 = r"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+s AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM w),
+f AS (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*)::HUGEINT AS f
+      FROM s, (SELECT unnest(range(1, 6)) AS k) WHERE i + k - 1 <= len(w) GROUP BY ALL),
+t AS (SELECT lang, sum(f)::HUGEINT AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE k >= 2 AND f >= 100),
+u AS (SELECT lang, k, phrase, a, w, unnest(range(1, k)) AS cut FROM c),
+x AS (SELECT u.lang, u.phrase, u.k, u.a, l.f AS l, r.f AS r, n, cut, (1000 * u.a * n) // (l.f * r.f) AS score
+      FROM u JOIN f l ON l.lang = u.lang AND l.phrase = array_to_string(w[1:cut], ' ')
+      JOIN f r ON r.lang = u.lang AND r.phrase = array_to_string(w[cut + 1:u.k], ' ') JOIN t ON t.lang = u.lang),
+m AS (SELECT * FROM x QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+v AS (SELECT * FROM m WHERE NOT EXISTS (SELECT 1 FROM c WHERE c.lang = m.lang AND c.k > m.k AND 100 * c.a >= 100 * m.a
+      AND contains(' ' || c.phrase || ' ', ' ' || m.phrase || ' ')))
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l,
+       r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score
+FROM v QUALIFY rank <= 2000
+"""
+
+
+def _crc_table() -> str:
+    """The 256 steps of the reflected polynomial EDB88320, as an SQL list."""
+    table = list(range(256))
+    for _ in range(8):
+        table = [c >> 1 ^ (0xEDB88320 if c & 1 else 0) for c in table]
+    return "[" + ", ".join(f"{c}::UINTEGER" for c in table) + "]"
+
+
+def crc32(octets: str) -> str:
+    """SQL for the unsigned crc32 of bytes that a column has in hexadecimal."""
+    numbers = f"list_transform(range(0, len({octets}) // 2), lambda i: ('0x' || {octets}[2 * i + 1:2 * i + 2])::UINTEGER)"
+    steps = f"list_reduce(list_prepend(4294967295::UINTEGER, {numbers}), lambda c, x: xor(c >> 8, ({_crc_table()})[(xor(c, x) & 255) + 1]))"
+    return f"xor({steps}, 4294967295::UINTEGER)::BIGINT"
+
+
+OP13 = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, md5(coalesce(text, '')) || md5(coalesce(doc_id::VARCHAR, '')) AS key, strlen(coalesce(text, ''))::BIGINT + 8 AS size FROM documents),
+b AS (SELECT key, sum(size) AS bytes FROM d GROUP BY key UNION ALL SELECT '~', 0),
+c AS (SELECT key, coalesce(sum(bytes) OVER (ORDER BY key ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM b),
+s AS (SELECT i, key AS splitter FROM c, (SELECT unnest(range(1, 24)) AS i), (SELECT sum(size) AS total FROM d)
+      QUALIFY row_number() OVER (PARTITION BY i ORDER BY abs(24 * below - i * total), below) = 1),
+p AS (SELECT doc_id, hex(encode(text)) AS octets, key, size, (SELECT count(*) FROM s WHERE s.splitter <= d.key)::INTEGER AS shard FROM d)
+SELECT doc_id, size, {crc32("octets")} AS text_crc32, 'bytes' AS law, shard,
+       row_number() OVER (PARTITION BY shard ORDER BY key) - 1 AS slot, NULL::INTEGER AS grown_shard
+FROM p
+"""
+
+SQL: dict[str, str] = {
+    "op4_substring_dedup": OP4,
+    "op5_benchmark_decontamination": OP5,
+    "op12_phrase_collocations": OP12,
+    "op13_sharding": OP13,
+}

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import decontaminate, html_extract, langid, pieces, pii, simhash, substrings, token_file, toxicity, winnow
+from millrace.llm import collocations, conversations, decontaminate, html_extract, langid, pieces, pii, sharding, simhash, substrings, token_file, toxicity, winnow
 from millrace.llm.common import table
 from millrace.session import scratch_dir
 
@@ -74,6 +74,28 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    return conversations.audit(conversations.damaged(rows), rows.select("conv_id"))
+
+
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    dealt = sharding.shards(table(spark, sf_dir, "documents"), 24)
+    return dealt.select(
+        "doc_id",
+        "size",
+        F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"),
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_extraction": op1_html_extraction,
     "op2_language_id": op2_language_id,
@@ -85,4 +107,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_document_fingerprints": op8_document_fingerprints,
     "op9_token_ids": op9_token_ids,
     "op10_sentencepiece": op10_sentencepiece,
+    "op11_conversation_repair": op11_conversation_repair,
+    "op12_phrase_collocations": op12_phrase_collocations,
+    "op13_sharding": op13_sharding,
 }
