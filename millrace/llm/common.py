@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +42,21 @@ def drop_folder(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
+@contextmanager
+def uncollected() -> Iterator[None]:
+    """Without garbage collection: what is remembered stays, and walking it again and again costs more than the work.
+
+    The worker that runs the next task has it back.
+    """
+    gc.freeze()
+    gc.disable()
+    try:
+        yield
+    finally:
+        gc.enable()
+        gc.unfreeze()
+
+
 def id_crc(doc_id: Column | str = "doc_id") -> Column:
     """crc32 of the id as text; NULL for a NULL id."""
     column = F.col(doc_id) if isinstance(doc_id, str) else doc_id

@@ -116,7 +116,11 @@ def _predict(batches: Iterator[pa.RecordBatch], model) -> Iterator[pa.RecordBatc
 
 
 class LanguageModel:
-    """Fitted on ``docs(doc_id, text, lang)``; rows with NULL id, text or lang are not learned from."""
+    """Fitted on ``docs(doc_id, text, lang)``; rows with NULL id, text or lang are not learned from.
+
+    Frequencies are of all rows, repeated ones included; the sample has one row per id, the least by text and
+    lang. From an empty table nothing is learned, and every text is `und`.
+    """
 
     def __init__(self, docs: DataFrame, sample: int = SAMPLE):
         spark = docs.sparkSession
@@ -132,10 +136,12 @@ class LanguageModel:
             for r in found:
                 frequency[r.cell] = r.n
             idf = np.log((1 + total) / (1 + frequency)) + 1
-            chosen = first_by_hash(rows.select("doc_id"), sample).withColumnRenamed("doc_id", "chosen")
+            chosen = first_by_hash(rows.select("doc_id").distinct(), sample).withColumnRenamed("doc_id", "chosen")
             one = (
                 rows.join(F.broadcast(chosen), F.col("doc_id") == F.col("chosen"))
-                .drop("chosen")
+                .groupBy("doc_id")
+                .agg(F.min(F.struct("text", "lang")).alias("first"))
+                .select("doc_id", "first.text", "first.lang")
                 .repartition(1)
                 .sortWithinPartitions(F.xxhash64("doc_id"), "doc_id", "text")
                 .mapInArrow(lambda b: _train(b, idf, classes), "weights binary, heat double")

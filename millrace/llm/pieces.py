@@ -6,13 +6,13 @@ segment), so segments can be merged one by one, and each distinct one once. The
 score is merged first, the leftmost of equals; pairs that a merge has made stale are
 skipped when they come up. What no piece covers becomes bytes.
 
-Every segment that is merged anew is also encoded by the library, in the same Arrow batch;
-a difference stops the job.
+Every segment that is merged anew is also encoded by the library, in the same Arrow batch, behind another
+word where the library would not see it alone (a mark at the end of a text). Texts with a segment on
+which both differ, or that cannot be checked, get the library's ids of the whole text.
 """
 
 from __future__ import annotations
 
-import gc
 import heapq
 import itertools
 import re
@@ -26,10 +26,91 @@ import sentencepiece
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 
-from millrace.llm.common import ship, slices
+from millrace.llm.common import ship, slices, uncollected
 
 MARK = "▁"
-REMEMBERED, LONGEST_REMEMBERED = 500_000, 40
+REMEMBERED, LONGEST_REMEMBERED = 300_000, 40
+SHORT = 64
+
+
+class PairTable:
+    """All pairs of symbols that make a piece, for the agendas of many segments at once.
+
+    Each segment's agenda is the run of its neighbours' orders. In a round every segment takes its best pair,
+    the leftmost of equals, and the two pairs beside it are looked up anew; segments without a pair are done.
+    """
+
+    def __init__(self, ids: dict[str, int], order: dict[str, float]):
+        self.size = max(ids.values(), default=0) + 2
+        self.of_char = np.full(0x110000, -1, dtype=np.int64)
+        for piece, i in ids.items():
+            if len(piece) == 1:
+                self.of_char[ord(piece)] = i
+        found = {}
+        for piece in ids:
+            for k in range(1, len(piece)):
+                left, right = ids.get(piece[:k]), ids.get(piece[k:])
+                if left is not None and right is not None:
+                    found[left * self.size + right] = piece
+        self.keys = np.array(sorted(found), dtype=np.int64)
+        pieces = [found[k] for k in self.keys.tolist()]
+        self.none = 1 << 40
+        ranks = {o: n for n, o in enumerate(sorted(set(order.values())))}
+        self.made = np.array([ids[p] for p in pieces] + [0], dtype=np.int64)
+        self.rank = np.array([ranks[order[p]] for p in pieces], dtype=np.int64)
+
+    def _looked_up(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        if not len(self.keys):
+            return np.full(len(left), self.none), np.zeros(len(left), dtype=np.int64)
+        key = left * self.size + right
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        return np.where(self.keys[at] == key, self.rank[at], self.none), self.made[at]
+
+    def merged(self, segments: list[str]) -> dict[str, bytes]:
+        """The ids of each segment whose characters are all pieces."""
+        lengths = np.fromiter(map(len, segments), dtype=np.int64, count=len(segments))
+        if not lengths.sum():
+            return {}
+        symbols = self.of_char[np.frombuffer("".join(segments).encode("utf-32-le", "surrogatepass"), dtype="<u4")]
+        whole = np.minimum.reduceat(symbols, np.cumsum(lengths) - lengths) >= 0
+        owner = np.repeat(np.arange(len(segments)), lengths)
+        keep = whole[owner]
+        symbols, owner = symbols[keep], owner[keep]
+        order, made = self._looked_up(symbols, np.append(symbols[1:], 0))
+        order[np.flatnonzero(owner[1:] != owner[:-1])] = self.none
+        order[-1:] = self.none
+        done: list[tuple[np.ndarray, np.ndarray]] = []
+        while len(symbols):
+            heads = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
+            sizes = np.diff(np.append(heads, len(owner)))
+            best = np.minimum.reduceat(order, heads)
+            ended = best == self.none
+            if ended.any():
+                over = np.repeat(ended, sizes)
+                done.append((owner[over], symbols[over]))
+                symbols, owner, order, made = (c[~over] for c in (symbols, owner, order, made))
+                best, sizes = best[~ended], sizes[~ended]
+                if not len(symbols):
+                    break
+            hits = np.flatnonzero(order == np.repeat(best, sizes))
+            first = hits[np.concatenate([[True], owner[hits][1:] != owner[hits][:-1]])]
+            symbols[first] = made[first]
+            order[first], made[first] = order[first + 1], made[first + 1]
+            stay = np.ones(len(symbols), dtype=bool)
+            stay[first + 1] = False
+            symbols, owner, order, made = (c[stay] for c in (symbols, owner, order, made))
+            first -= np.arange(len(first))  # one symbol has gone from each segment before
+            left = first[(first > 0) & (owner[first - 1] == owner[first])] - 1
+            right = first[first + 1 < len(owner)]
+            right = right[owner[right + 1] == owner[right]]
+            for at in (left, right):
+                order[at], made[at] = self._looked_up(symbols[at], symbols[at + 1])
+        owner, symbols = (np.concatenate(c) for c in zip(*done)) if done else (owner, symbols)
+        by_owner = np.argsort(owner, kind="stable")
+        owner, data = owner[by_owner], symbols[by_owner].astype("<u4").tobytes()
+        edges = np.searchsorted(owner, np.arange(len(segments) + 1)) * 4
+        ends = edges.tolist()
+        return {s: data[a:b] for s, a, b, w in zip(segments, ends, ends[1:], whole.tolist()) if w}
 
 
 class Pieces:
@@ -44,7 +125,12 @@ class Pieces:
         self.has_bytes, self.unknown = sp.is_byte(self.bytes[0]), sp.unk_id()
         crossing = any(re.search(f"[^{MARK}]{MARK}", piece) for piece in self.ids)
         self.cut = re.compile("(?s).+" if crossing else f"{MARK}*[^{MARK}]+|{MARK}+")
+        # What the library puts before a text.
+        self.prefix = MARK if sp.normalize("a").startswith(MARK) else ""
+        self.before_bytes = array("I", sp.encode("a")).tobytes()
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.table = None if self.unused else PairTable(self.ids, self.order)
 
     def merge(self, segment: str) -> list[str]:
         """The segment's symbols after all merges."""
@@ -97,35 +183,55 @@ class Pieces:
                 out.append(self.unknown)
         return out
 
-    def learn(self, segments: list[str]) -> dict[str, bytes]:
-        """Encode new segments and check them against the library."""
-        plain = [s[1:].replace(MARK, " ") if s.startswith(MARK) else s for s in segments]
+    def learn(self, segments: list[str]) -> dict[str, bytes | None]:
+        """The ids of new segments; None where the library's differ or cannot be told."""
+        shown = []
+        for segment in segments:
+            plain = segment.removeprefix(self.prefix)
+            # Spaces alone are nothing to the library, so they stand behind a word.
+            alone = plain.strip(MARK) != ""
+            shown.append((plain if alone else f"a{segment}").replace(MARK, " "))
+        quick = self.table.merged([s for s in segments if len(s) <= SHORT]) if self.table else {}
         out = {}
-        for segment, theirs in zip(segments, self.library.encode(plain, num_threads=1)):
-            own = self.segment_ids(segment)
-            if own != theirs and segment.startswith(MARK):
-                raise ValueError(f"the library encodes {segment[:80]!r} as {theirs[:40]}, the agenda as {own[:40]}")
-            out[segment] = array("I", own).tobytes()
+        for segment, theirs in zip(segments, self.library.encode(shown, num_threads=1)):
+            own = quick.get(segment)
+            if own is None:
+                own = array("I", self.segment_ids(segment)).tobytes()
+            if segment.strip(MARK) == "":
+                own_shown = self.before_bytes + own
+            else:
+                own_shown = own
+            out[segment] = own if segment.startswith(self.prefix) and own_shown == array("I", theirs).tobytes() else None
         return out
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text, with begin and end ids."""
         cut = [self.cut.findall(t) for t in self.library.normalize(texts)] if texts else []
-        known, have, missing = self.known.get, {}, []
+        known, have, missing = self.known, {}, []
         for segment in set(itertools.chain.from_iterable(cut)):
-            ids = known(segment)
-            if ids is None:
-                missing.append(segment)
+            if segment in known:
+                have[segment] = known[segment]
+            elif segment in self.older:
+                have[segment] = known[segment] = self.older[segment]
             else:
-                have[segment] = ids
+                missing.append(segment)
+        doubtful = None in have.values()
         if missing:
             learned = self.learn(missing)
             have.update(learned)
-            if len(self.known) + len(learned) > REMEMBERED:
-                self.known.clear()
-            self.known.update((s, i) for s, i in learned.items() if len(s) <= LONGEST_REMEMBERED)
+            doubtful = doubtful or None in learned.values()
+            known.update((s, i) for s, i in learned.items() if len(s) <= LONGEST_REMEMBERED)
+        if len(known) > REMEMBERED:
+            self.known, self.older = {}, known  # what is still in use comes back from there
         begin, end = (array("I", [i]).tobytes() for i in (self.library.bos_id(), self.library.eos_id()))
-        return [np.frombuffer(b"".join([begin, *map(have.__getitem__, own), end]), dtype="<u4") for own in cut]
+        out = []
+        for text, own in zip(texts, cut):
+            if doubtful and any(have[s] is None for s in own):
+                ids = array("I", self.library.encode(text)).tobytes()
+            else:
+                ids = b"".join(map(have.__getitem__, own))
+            out.append(np.frombuffer(begin + ids + end, dtype="<u4"))
+        return out
 
 
 @lru_cache(maxsize=2)
@@ -134,22 +240,21 @@ def _loaded(path: str) -> Pieces:
 
 
 def _encoded(batches: Iterator[pa.RecordBatch], name: str) -> Iterator[pa.RecordBatch]:
-    gc.freeze()  # what is remembered stays; walking it again and again would cost more than the merges
-    gc.disable()
     pieces = _loaded(SparkFiles.get(name))
-    for batch in batches:
-        for part in slices(batch, "text", 1 << 20):
-            ids = pieces.encode([t or "" for t in part.column("text").to_pylist()])
-            texts = pieces.library.decode([i.tolist() for i in ids], num_threads=1)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    part.column("doc_id"),
-                    pa.array([len(i) for i in ids], pa.int64()),
-                    pa.array([i.tobytes() for i in ids], pa.binary()),
-                    pa.array(texts, pa.string()),
-                ],
-                names=["doc_id", "n_tokens", "ids", "decoded"],
-            )
+    with uncollected():
+        for batch in batches:
+            for part in slices(batch, "text", 1 << 20):
+                ids = pieces.encode([t or "" for t in part.column("text").to_pylist()])
+                texts = pieces.library.decode([i.tolist() for i in ids], num_threads=1)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column("doc_id"),
+                        pa.array([len(i) for i in ids], pa.int64()),
+                        pa.array([i.tobytes() for i in ids], pa.binary()),
+                        pa.array(texts, pa.string()),
+                    ],
+                    names=["doc_id", "n_tokens", "ids", "decoded"],
+                )
 
 
 def encode_and_decode(docs: DataFrame, model: str) -> DataFrame:

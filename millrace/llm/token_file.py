@@ -8,7 +8,6 @@ block are decoded side by side through one table lookup per id.
 
 from __future__ import annotations
 
-import gc
 import itertools
 import zlib
 from array import array
@@ -22,13 +21,14 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from millrace.llm.common import ship, slices, spread
+from millrace.llm.common import drop_folder, ship, slices, spread, uncollected
 from millrace.session import scratch_dir
 
 END_ID = 1
 LIMIT = 18
 BLOCK_IDS = 1 << 18
 STRIDE = 64
+STARTS = 1 << 18
 REMEMBERED, LONGEST_REMEMBERED = 500_000, 40
 
 
@@ -60,7 +60,8 @@ class WordEncoder:
 
     Words of Latin letters alone go straight to the tokenizer's model, which spares its normaliser
     and splitter. That both ways agree on such words is tried when the tokenizer is loaded; if
-    they do not, every word takes the whole way.
+    they do not, every word takes the whole way. So is that white space joins nothing; if it does, texts
+    are encoded whole.
     """
 
     def __init__(self, path: str):
@@ -77,6 +78,12 @@ class WordEncoder:
         apart = [a + b for a, b in zip(self._whole(["\u00e9a"] * len(ends)), self._whole(ends))]
         self.signs_apart = self._whole(["\u00e9a" + e for e in ends]) == apart
         self.tails: dict[str, bytes] = {"": b""}
+        words = ["a", "Zebra", "\u00e9t\u00e9", "don't", "42", "x9.", "...", "<b>", "\u65e5\u672c"]
+        pairs = [(a, gap, b) for a in words for b in words for gap in (" ", "  ", "\t", "\n", "\r\n", "\x0b", "\x0c", " \n ")]
+        alone = dict(zip(words, self._whole(words)))
+        joined = self._whole([a + gap + b for a, gap, b in pairs])
+        padded = self._whole([gap + a + gap for a, gap, _ in pairs])
+        self.apart = all(ids == alone[a] + alone[b] and pad == alone[a] for (a, _, b), ids, pad in zip(pairs, joined, padded))
 
     def _whole(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -114,6 +121,8 @@ class WordEncoder:
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """The ids of each UTF-8 text, as little-endian 32-bit numbers."""
+        if not self.apart:
+            return [array("I", ids).tobytes() for ids in self._whole([t.decode() for t in texts])]
         cut = [t.split() for t in texts]
         known, missing = self.known, set()
         for own in cut:
@@ -135,15 +144,27 @@ def _encoder(path: str) -> WordEncoder:
 
 
 def _encoded(batches: Iterator[pa.RecordBatch], name: str, end_id: int) -> Iterator[pa.RecordBatch]:
-    gc.freeze()  # what is remembered stays; walking it again and again would cost more than the encoding
-    gc.disable()
     encoder, end = _encoder(SparkFiles.get(name)), np.array([end_id], dtype="<u4").tobytes()
-    for batch in batches:
-        for part in slices(batch, "text", 1 << 20):
-            ids = [np.frombuffer(i + end, dtype="<u4") for i in encoder.encode([t or b"" for t in part.column("text").cast(pa.binary()).to_pylist()])]
-            # The low and high halves apart: the high ones are mostly zero and compress away.
-            halves = [i.astype("<u2").tobytes() + (i >> 16).astype("<u2").tobytes() for i in ids]
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(halves, pa.binary())], names=["doc_id", "ids"])
+    totals, kind = np.zeros(0, dtype=np.int64), None
+    with uncollected():
+        for batch in batches:
+            for part in slices(batch, "text", 1 << 20):
+                ids = [np.frombuffer(i + end, dtype="<u4") for i in encoder.encode([t or b"" for t in part.column("text").cast(pa.binary()).to_pylist()])]
+                own = np.bincount(np.concatenate(ids))
+                if len(own) > len(totals):
+                    totals = np.concatenate([totals, np.zeros(len(own) - len(totals), dtype=np.int64)])
+                totals[: len(own)] += own
+                # The low and high halves apart: the high ones are mostly zero and compress away.
+                halves = [i.astype("<u2").tobytes() + (i >> 16).astype("<u2").tobytes() for i in ids]
+                kind = part.schema.field("doc_id").type
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), pa.array(halves, pa.binary()), pa.nulls(len(halves), pa.binary()), pa.nulls(len(halves), pa.binary())],
+                    names=["doc_id", "ids", "used", "counts"],
+                )
+    used = np.flatnonzero(totals)
+    if len(used):
+        row = [pa.nulls(1, kind), pa.nulls(1, pa.binary()), pa.array([used.astype("<i8").tobytes()]), pa.array([totals[used].astype("<i8").tobytes()])]
+        yield pa.RecordBatch.from_arrays(row, names=["doc_id", "ids", "used", "counts"])
 
 
 def _ids_of(halves: bytes) -> np.ndarray:
@@ -152,25 +173,24 @@ def _ids_of(halves: bytes) -> np.ndarray:
 
 
 def encoded(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> DataFrame:
-    """``(doc_id, ids)``: the ids of each text with the end id, as two planes of 16-bit halves."""
+    """``(doc_id, ids)``: the ids of each text with the end id, as two planes of 16-bit halves.
+
+    NULL is an empty text; repeated rows repeat; an empty table gives no rows. Each task adds a row without
+    ids that has the ids it ``used`` and their ``counts``.
+    """
     spark = docs.sparkSession
     ship(spark)
     spark.sparkContext.addFile(tokenizer)
     name, kind = tokenizer.rstrip("/").rsplit("/", 1)[-1], docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(lambda b: _encoded(b, name, end_id), f"doc_id {kind}, ids binary")
+    return docs.select("doc_id", "text").mapInArrow(
+        lambda b: _encoded(b, name, end_id), f"doc_id {kind}, ids binary, used binary, counts binary"
+    )
 
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    totals = np.zeros(0, dtype=np.int64)
     for batch in batches:
-        documents = batch.column("ids").to_pylist()
-        for first in range(0, len(documents), 256):
-            own = np.bincount(np.concatenate([_ids_of(halves) for halves in documents[first : first + 256]]))
-            if len(own) > len(totals):
-                totals = np.concatenate([totals, np.zeros(len(own) - len(totals), dtype=np.int64)])
-            totals[: len(own)] += own
-    used = np.flatnonzero(totals)
-    yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(totals[used])], names=["id", "n"])
+        for row in zip(*(batch.column(c).to_pylist() for c in ("used", "counts"))):
+            yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(c, dtype="<i8")) for c in row], names=["id", "n"])
 
 
 def limited_lengths(counts: np.ndarray, limit: int) -> np.ndarray:
@@ -294,8 +314,9 @@ def write_tokens(docs: DataFrame, tokenizer: str, path: str, end_id: int = END_I
     spark = docs.sparkSession
     kept = scratch_dir(spark, "token-ids")
     encoded(docs, tokenizer, end_id).write.option("compression", "zstd").parquet(kept)
-    ids = spark.read.parquet(kept)
-    counts = ids.mapInArrow(_counts, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
+    both = spark.read.parquet(kept)
+    ids = both.where("ids is not null").select("doc_id", "ids")
+    counts = both.where("ids is null").select("used", "counts").mapInArrow(_counts, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
     # One row per id of the vocabulary at most.
     rows = counts.collect()
     found = np.array([r.id for r in rows], dtype=np.int64)
@@ -311,6 +332,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, path: str, end_id: int = END_I
         .write.option("compression", "uncompressed")
         .parquet(f"{path}/blocks")
     )
+    drop_folder(spark, kept)
 
 
 def _decoded(batches: Iterator[pa.RecordBatch], book: Codebook) -> Iterator[pa.RecordBatch]:
@@ -337,16 +359,21 @@ def _decoded(batches: Iterator[pa.RecordBatch], book: Codebook) -> Iterator[pa.R
 
 
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
-    """``(doc_id, start, n_tokens, ids_crc32, ids)`` of every document in a file set."""
+    """``(doc_id, start, n_tokens, ids_crc32, ids)`` of every document in a file set.
+
+    Documents without text have the end id alone; an empty file set gives no rows. The starts of the blocks
+    are broadcast up to ``STARTS`` blocks, beyond which they meet the blocks in a shuffle.
+    """
     ship(spark)
     rows = spark.read.parquet(f"{path}/codebook").collect()
     limit = rows[0].max_length if rows else 1
     book = Codebook(np.array([r.id for r in rows], dtype=np.int64), np.array([r.length for r in rows], dtype=np.int64), limit)
     blocks = spark.read.parquet(f"{path}/blocks")
-    parts = blocks.groupBy("part").agg(F.sum("n_ids").alias("n"))
+    parts = blocks.groupBy("part").agg(F.sum("n_ids").alias("n"), F.count(F.lit(1)).alias("blocks"))
     # One row per written partition; the starts of blocks within a partition follow by a window.
-    before, at = {}, 0
+    before, before_blocks, at = {}, {}, 0
     for row in sorted(parts.collect(), key=lambda r: r.part):
+        before_blocks[row.part] = row.blocks
         before[row.part], at = at, at + row.n
     starts = spark.createDataFrame(list(before.items()), "part int, base bigint")
     earlier = Window.partitionBy("part").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
@@ -355,6 +382,8 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
         .join(starts, "part")
         .select("part", "block", (F.col("base") + F.coalesce(F.sum("n_ids").over(earlier), F.lit(0))).alias("start"))
     )
+    if sum(before_blocks.values()) <= STARTS:
+        placed = F.broadcast(placed)
     kind = blocks.schema["doc_ids"].dataType.elementType.simpleString()
     return blocks.join(placed, ["part", "block"]).mapInArrow(
         lambda b: _decoded(b, book), f"doc_id {kind}, start bigint, n_tokens bigint, ids_crc32 bigint, ids binary"

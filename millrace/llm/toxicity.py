@@ -87,13 +87,20 @@ def learnable(labels: DataFrame) -> DataFrame:
 
 
 class ToxicityModel:
-    """Fitted on ``docs(doc_id, text)`` and the label rows of ``learnable``. NULL is an empty text."""
+    """Fitted on ``docs(doc_id, text)`` and the label rows of ``learnable``.
+
+    NULL is an empty text. Labels without a document, or with a NULL id, are not used; of documents that
+    share an id each is learned from, the first by text in the sample. With no labels of both kinds, as with empty tables, nothing is learned
+    and every text scores one half.
+    """
 
     def __init__(self, docs: DataFrame, labels: DataFrame, sample: int = SAMPLE):
         spark = docs.sparkSession
         ship(spark)
         texts = docs.select("doc_id", "text")
         labels = labels.select("doc_id", "toxic")
+        # Only labels whose document is there count, also in the sample.
+        labels = labels.join(docs.select("doc_id").distinct(), "doc_id", "left_semi")
         sizes = {r.toxic: r.n for r in labels.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
         weights, bias = np.zeros(1 << BITS, dtype=np.float32), 0.0
         if sizes.get(0) and sizes.get(1):
@@ -113,7 +120,8 @@ class ToxicityModel:
             chosen = half[0].unionByName(half[1]).withColumnRenamed("doc_id", "chosen")
             one = (
                 texts.join(F.broadcast(chosen), F.col("doc_id") == F.col("chosen"))
-                .select("doc_id", "text", "toxic")
+                .groupBy("doc_id", "toxic")
+                .agg(F.min("text").alias("text"))
                 .repartition(1)
                 .sortWithinPartitions("doc_id", "text")
                 .mapInArrow(lambda b: _train(b, ratios), "weights binary, bias double")
