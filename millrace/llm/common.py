@@ -42,6 +42,21 @@ def drop_folder(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
+BROADCAST_ROWS = 1 << 22
+
+
+def numbered(docs: DataFrame) -> tuple[DataFrame, str]:
+    """A written copy whose rows have a number each, and the number's column; what is decided on rows is told by it."""
+    name = free_name(docs, "row_number")
+    return written(docs.withColumn(name, F.monotonically_increasing_id()), "numbered"), name
+
+
+def without(rows: DataFrame, gone: DataFrame, key: str, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``rows`` but for those whose ``key`` is in ``gone``; texts stay where they are while ``gone`` is small enough to broadcast."""
+    few = gone.limit(broadcast_rows + 1).count() <= broadcast_rows
+    return rows.join(F.broadcast(gone) if few else gone, key, "left_anti").drop(key)
+
+
 @contextmanager
 def uncollected() -> Iterator[None]:
     """Without garbage collection: what is remembered stays, and walking it again and again costs more than the work.

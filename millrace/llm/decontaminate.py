@@ -1,9 +1,10 @@
 """Benchmark decontamination with column functions only: n-gram windows against a hash set.
 
-The windows of the benchmark are few and of checked number. Up to ``max_literals`` they become
-a constant hash set inside the scan's filter, so every executor has it and no window row is
-made; beyond, the documents' windows are rows that meet them in a join. Hits are then
-verified word for word.
+The number of the benchmark's windows is checked. Up to ``max_literals`` they become a constant hash
+set inside the scan's filter, so every executor has it and no window row is made; up to
+``max_broadcast`` they are broadcast as a table of hashes that the documents' window hashes are
+looked up in, without a shuffle; beyond, both sides' hashes meet in a shuffle. Texts stay where
+they are. Hits are then verified word for word.
 """
 
 from __future__ import annotations
@@ -13,11 +14,13 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import free_name, written
+from millrace.llm.common import numbered, without, written
 
 WORD_BREAK = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WINDOW = 10
 MAX_LITERALS = 50_000
+# 16 bytes each.
+MAX_BROADCAST = 1 << 23
 
 
 def words_of(text: Column) -> Column:
@@ -64,11 +67,15 @@ def item_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     return out.withColumnRenamed("window_words", "words").distinct()
 
 
-def find_hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_literals: int = MAX_LITERALS) -> tuple[DataFrame, DataFrame]:
-    """``(row, doc_id, n_words)`` of every document, and the verified hits ``(row, at, width, item_id)``."""
+def find_hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_literals: int = MAX_LITERALS, max_broadcast: int = MAX_BROADCAST) -> tuple[DataFrame, DataFrame]:
+    """``(row, doc_id, n_words)`` of every document, and the verified hits ``(row, at, width, item_id)``.
+
+    ``docs`` may have a ``row`` that numbers its rows; else they are numbered here.
+    """
     items = written(item_windows(benchmark, window), "decontaminate-items")
     sizes = {r.width: r.n for r in items.groupBy("width").agg(F.count_distinct("hash").alias("n")).collect()}
-    tokens = _tokenised(docs.select("doc_id", "text")).withColumn("row", F.monotonically_increasing_id())
+    row = F.col("row") if "row" in docs.columns else F.monotonically_increasing_id()
+    tokens = _tokenised(docs.select("doc_id", "text", row.alias("row")))
     found = F.array().cast("array<struct<at:int,width:int,words:string>>")
     literal = sum(sizes.values()) <= max_literals
     for width in sorted(sizes) if literal else []:
@@ -81,15 +88,22 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_l
         candidates = scanned.select("row", F.inline("found"))
     else:
         # Row numbers must not change when the scan is repeated, so the tokens are written.
-        tokens = written(tokens, "decontaminate-tokens")
+        tokens = written(tokens.drop("text"), "decontaminate-tokens")
         scanned = tokens.select("row", "doc_id", F.size("words").cast("bigint").alias("n_words"))
-        candidates = None
+        met = None
         for width in sorted(sizes):
             known = items.where(F.col("width") == width).select("hash").distinct()
-            every = tokens.select("row", "words", "hashes", F.explode(_starts(width, "hashes")).alias("at"))
-            every = every.select("row", "at", F.lit(width).alias("width"), _window_words(F.col("at"), width).alias("words"), _hash_at(F.col("at"), width, "hashes").alias("hash"))
-            met = every.join(known, "hash", "left_semi").drop("hash")
-            candidates = met if candidates is None else candidates.unionByName(met)
+            every = tokens.select("row", "hashes", F.explode(_starts(width, "hashes")).alias("at"))
+            every = every.select("row", "at", F.lit(width).alias("width"), _hash_at(F.col("at"), width, "hashes").alias("hash"))
+            own = every.join(F.broadcast(known) if sizes[width] <= max_broadcast else known, "hash", "left_semi").drop("hash")
+            met = own if met is None else met.unionByName(own)
+        if met is None:
+            met = tokens.select("row", F.lit(0).alias("at"), F.lit(0).alias("width")).limit(0)
+        # Few rows have hits; only these meet their words again.
+        places = met.groupBy("row").agg(F.collect_set(F.struct("at", "width")).alias("places"))
+        candidates = tokens.select("row", F.col("words").alias("all")).join(places, "row").select("row", "all", F.inline("places"))
+        found_words = F.array_join(F.transform(F.sequence(F.col("at"), F.col("at") + F.col("width") - 1), lambda j: F.get("all", j)), " ")
+        candidates = candidates.select("row", "at", "width", found_words.alias("words"))
     hits = candidates.join(items.select("item_id", "width", "words"), ["width", "words"]).select("row", "at", "width", "item_id")
     return scanned.select("row", "doc_id", "n_words"), written(hits, "decontaminate-hits")
 
@@ -105,14 +119,16 @@ def _named(places: Column, width: int) -> Column:
     return F.transform(places, lambda at: F.struct(at.alias("at"), F.lit(width).alias("width"), _window_words(at, width).alias("words")))
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_literals: int = MAX_LITERALS) -> DataFrame:
+def contamination(
+    docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_literals: int = MAX_LITERALS, max_broadcast: int = MAX_BROADCAST
+) -> DataFrame:
     """``(doc_id, n_words, n_hit, items, contaminated)`` for every row of ``docs``.
 
     ``items`` lists the item ids, as sorted text. NULL and empty texts have no words. A repeated
     row is judged like the first, repeated item ids are one item, and items with NULL id or
     text take no part. Empty tables give no rows or no hits.
     """
-    scanned, hits = find_hits(docs, benchmark, window, max_literals)
+    scanned, hits = find_hits(docs.select("doc_id", "text"), benchmark, window, max_literals, max_broadcast)
     places = hits.select("row", "at", "width").distinct().select("row", F.explode(F.expr("sequence(at, at + width - 1)")).alias("place"))
     covered = places.distinct().groupBy("row").agg(F.count(F.lit(1)).alias("n_hit"))
     items = hits.select("row", F.col("item_id").cast("string").alias("item")).distinct()
@@ -131,12 +147,12 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, m
     )
 
 
-def remove_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
+def remove_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_literals: int = MAX_LITERALS) -> DataFrame:
     """The documents without those that hold a benchmark passage.
 
-    The decision travels by doc_id: rows that share an id with a contaminated one go with it,
-    and rows with NULL id share one.
+    Every row is judged by its own text, whatever its id; NULL texts stay. An empty table, or a
+    benchmark without words, changes nothing. All columns are kept.
     """
-    hit = free_name(docs, "hit_id")
-    flags = contamination(docs, benchmark, window).where("contaminated").select(F.col("doc_id").alias(hit)).distinct()
-    return docs.join(flags, docs["doc_id"].eqNullSafe(flags[hit]), "left_anti")
+    rows, row = numbered(docs)
+    _, hits = find_hits(rows.select("doc_id", "text", F.col(row).alias("row")), benchmark, window, max_literals)
+    return without(rows, hits.select(F.col("row").alias(row)).distinct(), row)

@@ -1,17 +1,20 @@
-"""Main text of web pages: the markup's own structure, and a suffix array per host.
-
-1. A tolerant reader cuts a page into blocks of text. Scripts, styles and the like are no text;
-   what stands in menus, headers, footers, sidebars, notices, adverts, forms or comments, by element
-   or by the words of its class, id or role, is marked as such; what stands in an article element
-   is marked as the article.
-2. The token streams of a host's pages are put one after the other and their suffixes are
-   sorted. Runs of at least ``MIN_TOKENS`` tokens that occur on at least ``MIN_PAGES`` distinct
-   pages are boilerplate; a token they cover goes, the unique runs between them stay.
-3. Where a page has an article element, its text is the page's text, and a run there is never
-   cut: passages that articles share are not boilerplate.
-
-A host's pages are dealt out in groups of about ``GROUP_PAGES``, so a host with a third of all
-pages is many groups, and each still shows its templates.
+"""Main text of web pages: the markup's structure as a first guess, and what a host's pages share.
+
+1. A tolerant reader cuts a page into blocks of text. Scripts, styles and the like are no text. What stands
+   in menus, headers, footers, sidebars, notices, adverts, forms or comments, by element or by its
+   class, id or role, goes, also within an article and also if it is an article element itself.
+   Of the rest, blocks in an article element are the page's text if there are any, else those in a main
+   element, else all.
+2. The token streams of all pages of a host are searched for runs that distinct pages share. Of a page without an article element,
+   tokens in a run of ``MIN_TOKENS`` or more that at least ``MIN_PAGES`` pages of the host have are
+   boilerplate, and the unique runs between them stay. In an article element only whole blocks go, that
+   consist of runs on half of the host's pages or more, of ``MANY_PAGES`` at least; and none if less
+   than half of the article were left, because then the pages are copies.
+
+The suffix array of a host with a third of all pages does not fit into one task. So its groups of equal
+run beginnings are counted instead: every run of ``MIN_TOKENS`` tokens is hashed with its host,
+count-min sketches find those that may repeat, and these are counted over all pages. A longer repeated
+run is covered by its parts. No result depends on how pages are dealt out, and no page is shuffled.
 """
 
 from __future__ import annotations
@@ -22,225 +25,399 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import ship, slices
+from millrace.llm.common import ship, slices, spread, written
+from millrace.llm.substrings import _SEGMENT, ROWS, _merge, cells
+from millrace.llm.words import Words, mix, scan, window_hashes
 
-MIN_TOKENS, MIN_PAGES, GROUP_PAGES = 6, 3, 64
+MIN_TOKENS, MIN_PAGES = 6, 3
+MANY_PAGES, MANY_SHARE = 8, 2
+MAX_BITS = 28
+BROADCAST_RUNS = 1 << 23
 
-SILENT = frozenset("script style noscript template head title svg math iframe object canvas audio video select textarea option".split())
+SILENT = frozenset("script style noscript template title svg math iframe object canvas audio video select textarea".split())
 ASIDE = frozenset("nav header footer aside form button dialog menu".split())
 ASIDE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert form menu menubar".split())
 ASIDE_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments cookie cookies consent "
     "footer header masthead menu nav navbar navigation newsletter notice popup promo promoted related share sharing sidebar "
-    "social sponsor sponsored subscribe toolbar widget disqus respond signup modal".split()
+    "social sponsor sponsored subscribe toolbar widget disqus respond signup modal teaser teasers".split()
 )
+# Words that say where or how, and nothing about what: "main-nav" is a menu, "menu-cuisine" need not be.
+PLAIN_WORDS = frozenset(
+    "site main top left right bottom upper lower primary secondary global local page list item items box area container wrapper wrap "
+    "section block inner outer bar link links slot unit form panel group thread small large mobile desktop sticky fixed".split()
+)
+WHOLE_PAGE = frozenset("html body main".split())
 INLINE = frozenset("a abbr b bdi bdo cite code data dfn em font i ins del kbd mark q s samp small span strong sub sup time tt u var wbr label img".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
-_ATTRIBUTE = re.compile(r"([A-Za-z_:][-A-Za-z0-9_:.]*)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)")
+# Every alternative starts differently and is never given back, so a tag is read once. A quoted value may hold ">".
+_TAG = re.compile(
+    r"<!--(?:(?s:.)*?-->|(?s:.)*)|<!\[CDATA\[(?:(?s:.)*?\]\]>|(?s:.)*)|<[!?][^>]*+>?|</?[A-Za-z](?:[^>=]|=\s*+(?:\"[^\"]*+\"|'[^']*+')|=)*+(?:>|\Z)"
+)
+_NAME = re.compile(r"<(/?)([A-Za-z][^\s/>]*)")
+_ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*+=\s*+(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
+_HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 _SPACE = re.compile(r"\s+")
-_SPLIT_CASE = re.compile(r"(?<=[a-z])(?=[A-Z])|[^A-Za-z]+")
+_PARTS = re.compile(r"(?<=[a-z])(?=[A-Z])|[^A-Za-z]+")
 
-OTHER, ARTICLE, DROPPED = 0, 1, 2
+OTHER, MAIN, ARTICLE = 0, 1, 2
 
 
-def _is_aside(name: str, attributes: dict[str, str]) -> bool:
-    if name in ASIDE or "hidden" in attributes or attributes.get("role", "").lower() in ASIDE_ROLES:
-        return True
-    words = _SPLIT_CASE.split(attributes.get("class", "") + " " + attributes.get("id", ""))
-    return any(w.lower() in ASIDE_WORDS for w in words)
+def _aside_name(token: str) -> bool:
+    """Does a class or id say that this is no main text? Each of its words must, or be a plain one."""
+    words = [w.lower() for w in _PARTS.split(token) if w]
+    return any(w in ASIDE_WORDS for w in words) and all(w in ASIDE_WORDS or w in PLAIN_WORDS for w in words)
 
 
-def _is_article(name: str, attributes: dict[str, str]) -> bool:
-    return name == "article" or attributes.get("itemprop", "").lower() == "articlebody"
+def _kind_of(name: str, tag: str) -> tuple[bool, bool, int]:
+    """(goes by element, goes by its names, mark) of an opening tag."""
+    mark = ARTICLE if name == "article" else MAIN if name == "main" else OTHER
+    if " " not in tag and "\n" not in tag and "\t" not in tag:
+        return name in ASIDE, False, mark
+    attributes = {k.lower(): v.strip("\"'") for k, v in _ATTRIBUTE.findall(tag[1 + len(name) : -1])}
+    if attributes.get("itemprop", "").lower() == "articlebody":
+        mark = ARTICLE
+    role = attributes.get("role", "").lower()
+    if role == "main":
+        mark = max(mark, MAIN)
+    if name in WHOLE_PAGE:
+        return False, False, mark
+    by_element = name in ASIDE or "hidden" in attributes or bool(_HIDDEN.search(attributes.get("style", "")))
+    names = attributes.get("class", "").split() + attributes.get("id", "").split()
+    return by_element, role in ASIDE_ROLES or any(map(_aside_name, names)), mark
 
 
-def blocks_of(page: str | None) -> list[tuple[int, str]]:
-    """The page's blocks in order, as (mark, text); the text has its references decoded and single spaces.
+def _closed(tags: list[tuple[bool, str, int]]) -> dict[int, int]:
+    """For each opening tag with an end tag of its own: the place of that in the list.
 
-    An element left open ends with its parent's end, or when an article begins; one of a dropped
-    kind is closed by the end tag of its own name only.
+    An end tag closes the last open element of its name and all that were opened in it.
     """
-    out: list[tuple[int, str]] = []
-    if not page:
-        return out
-    held: list[str] = []
-    aside: tuple[str, int] | None = None  # the dropped element's name, and how deep its name is nested
-    article: tuple[str, int] | None = None
-    at, end = 0, len(page)
+    out, stack, open_ = {}, [], {}
+    for i, (closing, name, _) in enumerate(tags):
+        if not closing:
+            stack.append(i)
+            open_[name] = open_.get(name, 0) + 1
+        elif open_.get(name):
+            while True:
+                top = stack.pop()
+                open_[tags[top][1]] -= 1
+                if tags[top][1] == name:
+                    out[top] = i
+                    break
+    return out
 
-    def flush():
-        text = _SPACE.sub(" ", html.unescape("".join(held))).strip()
-        held.clear()
-        if text:
-            out.append((DROPPED if aside else ARTICLE if article else OTHER, text))
 
+def _read(page: str) -> tuple[list[tuple[int, str]], list[tuple[bool, str, int]], dict[int, tuple]]:
+    """The pieces of text, each before the tag of its number; the tags that stand for elements; what opening tags say."""
+    pieces, tags, kinds, at, end = [], [], {}, 0, len(page)
     while at < end:
-        tag = _TAG.search(page, at)
-        held.append(page[at : tag.start() if tag else end])
-        if not tag:
+        found = _TAG.search(page, at)
+        pieces.append((len(tags), page[at : found.start() if found else end]))
+        if not found:
             break
-        at = tag.end()
-        if tag[0].startswith("<![CDATA["):
+        at, tag = found.end(), found[0]
+        head = _NAME.match(tag)
+        if not head:
             continue
-        name = (tag[2] or "").lower()
-        if not name:
-            continue
-        closing = bool(tag[1])
+        if not tag.endswith(">"):
+            break  # the page ends within a tag
+        closing, name = bool(head[1]), head[2].lower()
         if name in SILENT and not closing:
-            flush()
-            close = re.compile(rf"</{re.escape(name)}\s*>|\Z" if name != "head" else r"</head\s*>|(?=<body[\s>])|\Z", re.I).search(page, at)
-            at = close.end()
+            close = re.compile(rf"</{re.escape(name)}\s*+>", re.I).search(page, at)
+            at = close.end() if close else end
+            tags.append((True, "", len(tags)))
             continue
-        if name not in INLINE or name in ("br", "hr"):
-            flush()
         if name in VOID:
+            tags.append((True, "" if name in INLINE and name != "br" else "br", len(tags)))
             continue
+        if not closing:
+            kinds[len(tags)] = _kind_of(name, tag)
+        tags.append((closing, name, len(tags)))
+    return pieces, tags, kinds
+
+
+def blocks_of(page: str | None) -> list[tuple[int, str]]:
+    """The blocks that may be main text, in order, as (mark, text); references decoded, single spaces.
+
+    What stands in a dropped element goes. One without an end tag ends with its parent, or where an
+    article or main element begins. If nothing were left, class and id names are not believed.
+    """
+    if not page:
+        return []
+    pieces, tags, kinds = _read(page)
+    closed = _closed(tags)
+    for trust in (True, False):
+        out = _blocks(pieces, tags, kinds, closed, trust)
+        if out or not any(by_name for _, by_name, _ in kinds.values()):
+            break
+    return out
+
+
+def _blocks(pieces, tags, kinds, closed, trust: bool) -> list[tuple[int, str]]:
+    out: list[tuple[int, str]] = []
+    held: list[str] = []
+    # Open elements that matter, as (name, number, dropped, mark); others only count.
+    stack: list[tuple[str, int, bool, int]] = []
+    open_: dict[str, int] = {}
+    drops, marks = 0, [OTHER]
+
+    def flush():
+        text = _SPACE.sub(" ", html.unescape("".join(held))).strip() if held else ""
+        held.clear()
+        if text and not drops:
+            out.append((marks[-1], text))
+
+    def pop():
+        nonlocal drops
+        if stack[-1][2]:
+            flush()
+        name, _, dropped, _ = stack.pop()
+        open_[name] -= 1
+        drops -= dropped
+        marks.pop()
+
+    at = 0
+    for i, (closing, name, _) in enumerate(tags):
+        while at < len(pieces) and pieces[at][0] <= i:
+            held.append(pieces[at][1])
+            at += 1
+        if name not in INLINE:
+            flush()
         if closing:
-            if aside and name == aside[0]:
-                flush()
-                aside = (name, aside[1] - 1) if aside[1] > 1 else None
-            elif article and not aside and name == article[0]:
-                flush()
-                article = (name, article[1] - 1) if article[1] > 1 else None
+            if open_.get(name):
+                while stack[-1][0] != name:
+                    pop()
+                pop()
             continue
-        attributes = {k.lower(): v.strip("\"'") for k, v in _ATTRIBUTE.findall(tag[3])} if tag[3].strip() else {}
-        starts_article = _is_article(name, attributes)
-        if starts_article and not article:
-            flush()
-            # An article does not stand in a menu; what was open there had lost its end.
-            aside, article = None, (name, 1)
-        elif aside:
-            if name == aside[0]:
-                aside = (name, aside[1] + 1)
-        elif _is_aside(name, attributes):
+        by_element, by_name, mark = kinds[i]
+        dropped = by_element or (trust and by_name)
+        if name in INLINE and not dropped:
+            continue
+        if dropped and name in INLINE:
             flush()
-            aside = (name, 1)
-        elif article and name == article[0]:
-            article = (name, article[1] + 1)
+        if mark != OTHER and not dropped and drops:
+            # Whatever was opened and never closed has ended here.
+            while drops and any(d and n not in closed for _, n, d, _ in stack):
+                pop()
+        stack.append((name, i, dropped, mark))
+        open_[name] = open_.get(name, 0) + 1
+        drops += dropped
+        marks.append(max(mark, marks[-1]))
+    while at < len(pieces):
+        held.append(pieces[at][1])
+        at += 1
     flush()
     return out
 
 
-def repeated_cover(tokens: np.ndarray, owner: np.ndarray, length: int = MIN_TOKENS, pages: int = MIN_PAGES) -> np.ndarray:
-    """Which tokens lie in a run of ``length`` or more that at least ``pages`` distinct owners share.
+def chosen_blocks(page: str | None) -> tuple[bool, list[str]]:
+    """Is it an article, and the texts of the blocks that stay by markup."""
+    blocks = blocks_of(page)
+    best = max((mark for mark, _ in blocks), default=OTHER)
+    return best == ARTICLE, [text for mark, text in blocks if mark == best]
 
-    ``tokens`` are numbers from zero, ``owner`` is sorted. Suffixes are sorted by prefix doubling up
-    to ``length`` tokens: neighbours that agree so far are one run, and a longer run is
-    covered by its parts.
-    """
-    n = len(tokens)
-    covered = np.zeros(n, dtype=bool)
-    if n < length:
-        return covered
-    # A mark of its own after each page's tokens keeps runs within pages.
-    rank, depth = tokens.astype(np.int64) + 1, 1
-    left = np.searchsorted(owner, owner, side="right") - np.arange(n)
-    order = np.argsort(rank, kind="stable")
-    while True:
-        step = min(depth, length - depth)
-        if not step:
-            break
-        second = np.zeros(n, dtype=np.int64)
-        second[: n - step] = np.where(left[: n - step] > step, rank[step:], 0)
-        order = np.lexsort((second, rank))
-        new = np.concatenate([[0], np.cumsum((rank[order][1:] != rank[order][:-1]) | (second[order][1:] != second[order][:-1]))])
-        rank = np.empty(n, dtype=np.int64)
-        rank[order] = new + 1
-        depth += step
-    whole = order[left[order] >= length]
-    if not len(whole):
-        return covered
-    group = np.concatenate([[0], np.cumsum(rank[whole][1:] != rank[whole][:-1])])
-    pairs = np.unique(np.stack([group, owner[whole]], axis=1), axis=0)
-    shared = np.bincount(pairs[:, 0], minlength=group[-1] + 1) >= pages
-    starts = whole[shared[group]]
-    change = np.zeros(n + 1, dtype=np.int64)
-    np.add.at(change, starts, 1)
-    np.add.at(change, starts + length, -1)
-    return np.cumsum(change[:-1]) > 0
-
-
-def main_texts(pages: list[list[tuple[int, str]]]) -> list[str]:
-    """The main text of each page of one host."""
-    numbers: dict[str, int] = {}
-    tokens, owner, kept = [], [], []
-    for i, blocks in enumerate(pages):
-        has_article = any(mark == ARTICLE for mark, _ in blocks)
-        words = [(mark, text.split(" ")) for mark, text in blocks]
-        kept.append((has_article, words))
-        for _, own in words:
-            tokens += [numbers.setdefault(w, len(numbers)) for w in own]
-            owner += [i] * len(own)
-    covered = repeated_cover(np.array(tokens, dtype=np.int64), np.array(owner, dtype=np.int64))
-    out, at = [], 0
-    for has_article, words in kept:
-        parts = []
-        for mark, own in words:
-            if mark == ARTICLE:
-                parts += own
-            elif mark == OTHER and not has_article:
-                parts += [w for w, gone in zip(own, covered[at : at + len(own)].tolist()) if not gone]
-            at += len(own)
-        out.append(" ".join(parts))
-    return out
+
+_PARSED = "page_id {kind}, url string, host bigint, article boolean, sizes array<int>, text string"
 
 
 def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in slices(batch, "html"):
-            blocks = [blocks_of(h) for h in part.column("html").to_pylist()]
-            marks = pa.array([[m for m, _ in b] for b in blocks], pa.list_(pa.int8()))
-            texts = pa.array([[t for _, t in b] for b in blocks], pa.list_(pa.string()))
-            yield pa.RecordBatch.from_arrays([part.column("page_id"), part.column("url"), marks, texts], names=["page_id", "url", "marks", "texts"])
+            found = [chosen_blocks(h) for h in part.column("html").to_pylist()]
+            columns = [
+                pa.array([a for a, _ in found], pa.bool_()),
+                pa.array([[t.count(" ") + 1 for t in texts] for _, texts in found], pa.list_(pa.int32())),
+                pa.array([" ".join(texts) for _, texts in found], pa.string()),
+            ]
+            yield pa.RecordBatch.from_arrays([*(part.column(c) for c in ("page_id", "url", "host")), *columns], names=["page_id", "url", "host", "article", "sizes", "text"])
+
+
+def _runs(part: pa.RecordBatch, length: int) -> tuple[Words, np.ndarray, np.ndarray, np.ndarray]:
+    """The words of the pages, and of each run within a page its place, hash with the host, and page."""
+    words = scan(part.column("text"))
+    hashes, owner = window_hashes(words.hashes(), length), words.owner()
+    places = np.flatnonzero(owner[: len(hashes)] == owner[length - 1 : length - 1 + len(hashes)])
+    pages = owner[places]
+    hosts = mix(part.column("host").to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64))
+    return words, places, mix(hashes[places] ^ hosts[pages]), pages
+
+
+def _on_pages(hashes: np.ndarray, pages: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each distinct hash and on how many pages it is."""
+    if not len(hashes):
+        return hashes, np.zeros(0, dtype=np.int64)
+    order = np.lexsort((pages, hashes))
+    h, p = hashes[order], pages[order]
+    new = np.concatenate([[True], (h[1:] != h[:-1]) | (p[1:] != p[:-1])])
+    return np.unique(h[new], return_counts=True)
+
+
+def _sketch(batches: Iterator[pa.RecordBatch], length: int, bits: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for part in slices(batch, "text"):
+            _, _, hashes, pages = _runs(part, length)
+            found, counts = _on_pages(hashes, pages)
+            rows = []
+            for row in range(ROWS):
+                cell = cells(found, row, bits)
+                order = np.argsort(cell, kind="stable")
+                cell, first = np.unique(cell[order], return_index=True)
+                many = np.add.reduceat(counts[order], first) > 1 if len(first) else np.zeros(0, dtype=bool)
+                segments, starts = np.unique(cell >> _SEGMENT, return_index=True)
+                for segment, a, b in zip(segments.tolist(), starts.tolist(), [*starts[1:].tolist(), len(cell)]):
+                    low = (cell[a:b] & 0xFFFF).astype("<u2")
+                    rows.append((row, segment, low.tobytes(), low[many[a:b]].tobytes()))
+            if rows:
+                kinds = (pa.int32(), pa.int32(), pa.binary(), pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=["row", "segment", "seen", "twice"])
+
+
+def _candidates(batches: Iterator[pa.RecordBatch], length: int, bits: int, sketch) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for part in slices(batch, "text", 16 << 20):
+            _, _, hashes, pages = _runs(part, length)
+            for row in range(ROWS):
+                cell = cells(hashes, row, bits)
+                hit = (sketch.value[row][cell >> 3] >> (cell & 7).astype(np.uint8)) & 1 > 0
+                hashes, pages = hashes[hit], pages[hit]
+            found, counts = _on_pages(hashes, pages)
+            yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(counts.astype(np.int64))], names=["run", "n"])
+
+
+def repeated_runs(parsed: DataFrame, length: int, pages: int, max_bits: int = MAX_BITS) -> DataFrame:
+    """``(run, n)``: hashes of runs with their host, and the number of its pages that have them, from ``pages`` on."""
+    spark = parsed.sparkSession
+    rows = parsed.select("host", "text")
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    bits = int(np.clip((size // 2).bit_length(), 16, max_bits))
+    merged = (
+        rows.mapInArrow(lambda b: _sketch(b, length, bits), "row int, segment int, seen binary, twice binary")
+        .repartition(spread(None, parsed), "row", "segment")
+        .sortWithinPartitions("row", "segment")
+        .mapInArrow(_merge, "row int, segment int, bitmap binary")
+    )
+    # One bit a cell, 64 MB at most.
+    bitmaps = np.zeros((ROWS, (1 << bits) // 8), dtype=np.uint8)
+    for row, segment, bitmap in merged.toLocalIterator():
+        bitmaps[row, segment * len(bitmap) : (segment + 1) * len(bitmap)] = np.frombuffer(bitmap, dtype=np.uint8)
+    sketch = spark.sparkContext.broadcast(bitmaps)
+    found = rows.mapInArrow(lambda b: _candidates(b, length, bits, sketch), "run bigint, n bigint")
+    return found.groupBy("run").agg(F.sum("n").alias("n")).where(F.col("n") >= pages)
+
+
+def _bits(covered: np.ndarray, first: np.ndarray) -> list[bytes]:
+    return [np.packbits(covered[a:b]).tobytes() for a, b in zip(first[:-1].tolist(), first[1:].tolist())]
+
+
+def _covered(part: pa.RecordBatch, length: int, runs: np.ndarray, counts: np.ndarray) -> tuple[Words, np.ndarray]:
+    """Which words lie in a known run; of an article, in one that is on enough of its host's pages."""
+    words, places, hashes, pages = _runs(part, length)
+    change = np.zeros(len(words.starts) + 1, dtype=np.int64)
+    if len(runs):
+        at = np.minimum(np.searchsorted(runs, hashes), len(runs) - 1)
+        least = part.column("least").to_numpy(zero_copy_only=False)
+        hit = places[(runs[at] == hashes) & (counts[at] >= least[pages])]
+        np.add.at(change, hit, 1)
+        np.add.at(change, hit + length, -1)
+    return words, np.cumsum(change[:-1]) > 0
+
+
+def _kept(text: str, article: bool, sizes: list[int], covered: np.ndarray) -> str:
+    """The page's text without boilerplate."""
+    if not covered.any():
+        return text
+    if not article:
+        return " ".join(w for w, gone in zip(text.split(" "), covered.tolist()) if not gone)
+    ends = np.cumsum(sizes)
+    whole = np.minimum.reduceat(covered, ends - sizes)
+    stays = np.repeat(~whole, sizes)
+    if 2 * stays.sum() < len(stays):
+        return text
+    return " ".join(w for w, here in zip(text.split(" "), stays.tolist()) if here)
+
+
+def _result(part: pa.RecordBatch, texts: list[str]) -> pa.RecordBatch:
+    columns = [part.column("page_id"), part.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())]
+    return pa.RecordBatch.from_arrays(columns, names=["page_id", "url", "text", "n_chars"])
+
+
+def _extracted(batches: Iterator[pa.RecordBatch], length: int, shared) -> Iterator[pa.RecordBatch]:
+    runs, counts = shared.value
+    for batch in batches:
+        for part in slices(batch, "text"):
+            words, covered = _covered(part, length, runs, counts)
+            rows = zip(*(part.column(c).to_pylist() for c in ("text", "article", "sizes")), words.first[:-1].tolist(), words.first[1:].tolist())
+            yield _result(part, [_kept(t, a, s, covered[i:j]) for t, a, s, i, j in rows])
 
 
-def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows come sorted by host and group; one group is in memory at a time."""
-    at, held = None, []
+def _marked(batches: Iterator[pa.RecordBatch], length: int, shared) -> Iterator[pa.RecordBatch]:
+    """``(row, bits)`` of the pages that the given runs cover a part of."""
+    runs, counts = shared.value
+    for batch in batches:
+        for part in slices(batch, "text"):
+            words, covered = _covered(part, length, runs, counts)
+            rows = [(r, b) for r, b in zip(part.column("row").to_pylist(), _bits(covered, words.first)) if any(b)]
+            yield pa.RecordBatch.from_arrays([pa.array([r for r, _ in rows], pa.int64()), pa.array([b for _, b in rows], pa.binary())], names=["row", "bits"])
 
-    def done(kind):
-        texts = main_texts([list(zip(marks, parts)) for *_, marks, parts in held])
-        columns = [[r[0] for r in held], [r[1] for r in held], texts, [len(t) for t in texts]]
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (kind, pa.string(), pa.string(), pa.int64()))], names=["page_id", "url", "text", "n_chars"])
 
-    kind = None
+def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        kind = batch.schema.field("page_id").type
-        for host, group, *row in zip(*(batch.column(c).to_pylist() for c in ("host", "nth", "page_id", "url", "marks", "texts"))):
-            if (host, group) != at:
-                if held:
-                    yield done(kind)
-                at, held = (host, group), []
-            held.append(row)
-    if held:
-        yield done(kind)
-
-
-def host_of(url):
+        texts = []
+        for text, article, sizes, all_bits in zip(*(batch.column(c).to_pylist() for c in ("text", "article", "sizes", "bits"))):
+            covered = np.zeros(sum(sizes), dtype=bool)
+            for bits in all_bits or []:
+                covered |= np.unpackbits(np.frombuffer(bits, dtype=np.uint8))[: len(covered)].astype(bool)
+            texts.append(_kept(text, article, sizes, covered))
+        yield _result(batch, texts)
+
+
+def host_of(url: Column) -> Column:
     return F.lower(F.coalesce(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1), F.lit("")))
 
 
-def extract(pages: DataFrame, group_pages: int = GROUP_PAGES) -> DataFrame:
+def _arrays(runs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    found = runs.toArrow()
+    run, n = (found.column(c).to_numpy() for c in ("run", "n"))
+    order = np.argsort(run.view(np.uint64))
+    return run.view(np.uint64)[order], n[order]
+
+
+def extract(pages: DataFrame, min_tokens: int = MIN_TOKENS, min_pages: int = MIN_PAGES, broadcast_runs: int = BROADCAST_RUNS) -> DataFrame:
     """``(page_id, url, text, n_chars)`` for every row of ``pages(page_id, url, html)``.
 
     NULL or empty html gives an empty text. Pages without a url are one host. Repeated rows are
     pages of their own; further columns are not looked at; an empty table gives no rows.
+
+    The repeated runs are broadcast, 12 bytes each, up to ``broadcast_runs``; more than that are
+    taken in slices, each of which marks the pages, and the marks meet the pages in a shuffle.
     """
-    ship(pages.sparkSession)
-    rows = pages.select("page_id", "url", "html")
+    spark = pages.sparkSession
+    ship(spark)
+    rows = pages.select("page_id", "url", F.xxhash64(host_of(F.col("url"))).alias("host"), "html")
     kind = rows.schema["page_id"].dataType.simpleString()
-    sizes = rows.select(host_of(F.col("url")).alias("host")).groupBy("host").agg(F.ceil(F.count(F.lit(1)) / group_pages).alias("groups"))
-    parsed = rows.mapInArrow(_parsed, f"page_id {kind}, url string, marks array<tinyint>, texts array<string>")
-    return (
-        parsed.withColumn("host", host_of(F.col("url")))
-        .join(sizes, "host")
-        .withColumn("nth", F.pmod(F.xxhash64("page_id", "url"), F.col("groups")))
-        .repartition("host", "nth")
-        .sortWithinPartitions("host", "nth", F.xxhash64("page_id", "url"))
-        .select("host", "nth", "page_id", "url", "marks", "texts")
-        .mapInArrow(_extracted, f"page_id {kind}, url string, text string, n_chars bigint")
+    parsed = written(
+        rows.mapInArrow(_parsed, _PARSED.format(kind=kind)).withColumn("row", F.monotonically_increasing_id()), "pages-parsed"
     )
+    hosts = parsed.groupBy("host").agg(F.count(F.lit(1)).alias("pages")).where(F.col("pages") >= MANY_PAGES)
+    few = hosts.limit(broadcast_runs + 1).count() <= broadcast_runs
+    runs = written(repeated_runs(parsed, min_tokens, min_pages), "pages-runs")
+    # How many pages must have a run. No number is enough for an article on a host of few pages.
+    half = F.ceil(F.col("pages") / MANY_SHARE)
+    least = F.when(~F.col("article"), F.lit(min_pages)).otherwise(F.coalesce(F.greatest(half, F.lit(min_pages)), F.lit((1 << 62))))
+    known = parsed.join(F.broadcast(hosts) if few else hosts, "host", "left").withColumn("least", least.cast("bigint"))
+    out = f"page_id {kind}, url string, text string, n_chars bigint"
+    n = runs.count()
+    if n <= broadcast_runs:
+        shared = spark.sparkContext.broadcast(_arrays(runs))
+        return known.mapInArrow(lambda b: _extracted(b, min_tokens, shared), out)
+    marks = None
+    slices_ = -(-n // broadcast_runs)
+    for k in range(slices_):
+        shared = spark.sparkContext.broadcast(_arrays(runs.where(F.pmod(F.xxhash64("run"), F.lit(slices_)) == k)))
+        own = written(known.mapInArrow(lambda b, s=shared: _marked(b, min_tokens, s), "row bigint, bits binary"), "pages-marks")
+        marks = own if marks is None else marks.unionByName(own)
+    marks = marks.groupBy("row").agg(F.collect_list("bits").alias("bits"))
+    return known.join(marks, "row", "left").select("page_id", "url", "text", "article", "sizes", "bits").mapInArrow(_merged, out)

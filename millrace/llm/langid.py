@@ -21,6 +21,7 @@ ORDERS, BITS = (1, 2, 3), 16
 SAMPLE = 6_000
 EPOCHS, ALPHA, BETA, L1, L2 = 3, 0.5, 1.0, 0.02, 0.01
 UNKNOWN = "und"
+MIN_SCORE = 0.3
 
 
 def counts_of(text: str) -> tuple[np.ndarray, np.ndarray]:
@@ -165,16 +166,19 @@ def learnable(docs: DataFrame) -> DataFrame:
     return docs.where(id_crc() % 4 != 2)
 
 
-def keep_identified(docs: DataFrame, model: LanguageModel) -> DataFrame:
-    """The rows whose text has a language the model knows; NULL texts and texts without letters go.
+def keep_identified(docs: DataFrame, model: LanguageModel, languages: list[str] | None = None, min_score: float = MIN_SCORE) -> DataFrame:
+    """The rows whose text is in one of ``languages`` (None: any that the model knows) with ``min_score`` or more.
 
-    The decision is made row by row beside the row itself, so no other column matters.
+    NULL texts and texts without letters are in none and go. The decision is made row by row beside
+    the row itself, so no other column matters; an empty table stays empty.
     """
-    shared = model.shared
+    shared, wanted = model.shared, set(model.classes if languages is None else languages)
 
     def keep(batches):
         for batch in batches:
-            known = pa.chunked_array([b.column("lang_pred") for b in _predict([batch.select(["doc_id", "text"])], shared)], pa.string())
-            yield batch.filter(pa.array([n != UNKNOWN for n in known.to_pylist()], pa.bool_()))
+            own: list[bool] = []
+            for found in _predict([batch.select(["doc_id", "text"])], shared):
+                own += [n in wanted and s >= min_score for n, s in zip(found.column("lang_pred").to_pylist(), found.column("score").to_pylist())]
+            yield batch.filter(pa.array(own, pa.bool_()))
 
     return docs.mapInArrow(keep, docs.schema)

@@ -120,12 +120,17 @@ def find(text: str) -> dict[str, list[Span]]:
                 if 9 <= len(m.group().translate(_NO_DIGITS)) <= 15:
                     out["phone"].append(m.span())
         elif kind in ("url", "www"):
-            start, end = at, _url_end(text, at + size)
+            start = at
+            if start < done["url"]:
+                continue
             while kind == "url" and start > max(done["url"], at - 20) and text[start - 1] in _SCHEME:
                 start -= 1
-            if start >= done["url"] and end > at + size and (start < at if kind == "url" else not text[max(at - 1, 0) : at].isalnum()):
-                out["url"].append((start, end))
-                done["url"] = end
+            # The run is read only where a span may start, and then it is done.
+            if start < at if kind == "url" else not text[max(at - 1, 0) : at].isalnum():
+                end = _url_end(text, at + size)
+                if end > at + size:
+                    out["url"].append((start, end))
+                    done["url"] = end
         elif m := (_IBAN if kind == "iban" else _TOKEN).match(text, last + 1):
             good = iban_valid(m[1]) if kind == "iban" else any(c.isdigit() for c in m[1])
             if good and m.start(1) >= done[kind]:

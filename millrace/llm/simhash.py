@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import free_name, ship, slices, written
+from millrace.llm.common import numbered, ship, slices, spread, without, written
 from millrace.llm.components import components
 from millrace.llm.words import joined, scan
 
@@ -60,15 +60,15 @@ def _fingerprints(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.
                 hashes = np.array([digest(data[a:b], SEED) for a, b in zip(starts, ends)], dtype=np.uint64)
                 prints.append(fingerprint_of(hashes))
             signed = np.array(prints, dtype=np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(signed)], names=["doc_id", "fp"])
+            rest = [n for n in part.schema.names if n != "text"]
+            yield part.select(rest).append_column("fp", pa.array(signed))
 
 
-def fingerprints(docs: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
-    """``(doc_id, fp)``: the 64-bit fingerprint as a signed number. NULL text has no words."""
+def fingerprints(docs: DataFrame, words: int = SHINGLE_WORDS, *more: str) -> DataFrame:
+    """``(doc_id, *more, fp)``: the 64-bit fingerprint as a signed number. NULL text has no words."""
     ship(docs.sparkSession)
-    return docs.select("doc_id", "text").mapInArrow(
-        lambda batches: _fingerprints(batches, words), f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, fp bigint"
-    )
+    fields = "".join(f"{c} {docs.schema[c].dataType.simpleString()}, " for c in ("doc_id", *more))
+    return docs.select("doc_id", *more, "text").mapInArrow(lambda batches: _fingerprints(batches, words), f"{fields}fp bigint")
 
 
 def block_bits(blocks: int) -> list[range]:
@@ -114,7 +114,8 @@ def ball_links(prints: DataFrame, max_bits: int = MAX_BITS, blocks: int = BLOCKS
     layout = block_bits(blocks)
     # The masked bits of a key are set to the number of the mask, which tells the masks apart.
     keyed = F.concat(*[_masked_keys(k, bits) for k, bits in enumerate(layout)])
-    spread_out = prints.select("fp", F.posexplode(keyed).alias("nth", "key"))
+    # A fingerprint becomes some hundred keys, so the few bytes that come in are dealt out first.
+    spread_out = prints.repartition(spread(None, prints), "fp").select("fp", F.posexplode(keyed).alias("nth", "key"))
     bounds = np.cumsum([0] + [65 - len(bits) for bits in layout]).tolist()
     block = sum((F.when(F.col("nth") >= edge, 1).otherwise(0) for edge in bounds[1:-1]), F.lit(0))
     of_bucket = Window.partitionBy("block", "key")
@@ -186,6 +187,15 @@ def ball_links(prints: DataFrame, max_bits: int = MAX_BITS, blocks: int = BLOCKS
     )
 
 
+def _components(prints: DataFrame, max_bits: int, blocks: int) -> DataFrame:
+    """``(fp, component)`` of every fingerprint, with the least ``doc_id`` that has it."""
+    distinct = prints.groupBy("fp").agg(F.min("doc_id").alias("least_doc"))
+    nodes = components(ball_links(distinct.select("fp"), max_bits, blocks), "simhash-components")
+    return distinct.join(nodes.withColumnRenamed("node", "fp"), "fp", "left").select(
+        "fp", "least_doc", F.coalesce("component", "fp").alias("component")
+    )
+
+
 def near_groups(docs: DataFrame, words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS, blocks: int = BLOCKS) -> DataFrame:
     """``(doc_id, fp, component_id)`` for every row: the least doc_id its fingerprint reaches.
 
@@ -194,24 +204,23 @@ def near_groups(docs: DataFrame, words: int = SHINGLE_WORDS, max_bits: int = MAX
     id unless no member has an id. An empty table gives no rows.
     """
     prints = written(fingerprints(docs, words), "simhash-prints")
-    distinct = prints.groupBy("fp").agg(F.min("doc_id").alias("least_doc"))
-    nodes = components(ball_links(distinct.select("fp"), max_bits, blocks), "simhash-components")
-    grouped = distinct.join(nodes.withColumnRenamed("node", "fp"), "fp", "left").select(
-        "fp", "least_doc", F.coalesce("component", "fp").alias("component")
-    )
+    grouped = _components(prints, max_bits, blocks)
     roots = grouped.groupBy("component").agg(F.min("least_doc").alias("component_id"))
     labels = written(grouped.join(roots, "component").select("fp", "component_id"), "simhash-labels")
     return prints.join(labels, "fp").select("doc_id", "fp", "component_id")
 
 
-def keep_one_per_group(docs: DataFrame, words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
-    """The documents without near copies: of each group the row with the least doc_id stays.
+def keep_one_per_group(docs: DataFrame, words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS, blocks: int = BLOCKS) -> DataFrame:
+    """The documents without near copies: of each group one row stays, that of the least doc_id.
 
-    Of rows that repeat that id the first by text stays. Rows without an id are kept.
+    Groups are of texts: rows that share an id are in as many groups as their texts. NULL ids come after all
+    others, and of a group's rows with one id the first in the table stays. So every group keeps exactly one row, also
+    the group of texts without words. An empty table stays empty; all columns are kept.
     """
-    groups = near_groups(docs, words, max_bits)
-    keep = groups.where("doc_id = component_id").select("doc_id").distinct()
-    nth = free_name(docs, "nth")
-    first = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), "text")
-    kept = docs.join(keep, "doc_id", "left_semi").withColumn(nth, F.row_number().over(first))
-    return kept.where(F.col(nth) == 1).drop(nth).unionByName(docs.where("doc_id is null"))
+    rows, row = numbered(docs)
+    prints = written(fingerprints(rows, words, row).withColumnRenamed(row, "row"), "simhash-prints")
+    labels = written(_components(prints, max_bits, blocks).select("fp", "component"), "simhash-labels")
+    members = prints.join(labels, "fp").select("component", F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row").alias("member"))
+    firsts = members.groupBy("component").agg(F.min("member").alias("first"))
+    gone = written(members.join(firsts, "component").where("member.row <> first.row").select(F.col("member.row").alias(row)), "simhash-gone")
+    return without(rows, gone, row)

@@ -1,7 +1,10 @@
 """The text operators against brute force, exact round trips and held-out accuracy, on small fixtures."""
 
 import hashlib
+import heapq
+import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -14,7 +17,7 @@ from tokenizers import Tokenizer
 
 import __spark_entry__ as entry
 import check
-from millrace.llm import decontaminate, html_extract, pii, simhash, substrings, token_file, toxicity, winnow
+from millrace.llm import decontaminate, langid, pieces, pii, simhash, substrings, token_file, toxicity, winnow
 from millrace.llm.components import components
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -52,8 +55,10 @@ def test_against_sql(spark, name):
 
 def test_decontamination_beyond_the_literal_bound(spark, docs):
     items = spark.read.parquet(f"{SF_DIR}/benchmark.parquet")
-    few, many = (decontaminate.contamination(docs, items, max_literals=n).orderBy("doc_id").collect() for n in (50_000, 0))
-    assert few == many and any(r.contaminated for r in few)
+    few, many, more = (
+        decontaminate.contamination(docs, items, max_literals=n, max_broadcast=m).orderBy("doc_id").collect() for n, m in ((50_000, 0), (0, 1 << 20), (0, 0))
+    )
+    assert few == many == more and any(r.contaminated for r in few)
 
 
 def brute_groups(prints, bits):
@@ -189,27 +194,184 @@ def test_language_and_toxicity(spark, docs):
     assert all(0 <= r.score <= 1 and r.predicted == (r.score >= toxicity.THRESHOLD) for r in scores.values())
 
 
-def test_pages():
-    page = "<nav>Menu</nav><div class='ad'>Buy<article><h1>T &amp; U</h1><p>one<br>two <b>three<p>four<aside>x</aside></article><footer>f"
-    assert html_extract.main_texts([html_extract.blocks_of(page)]) == ["T & U one two three four"]
-    shared = "<p>all rights of this site are kept</p>"
-    pages = [html_extract.blocks_of(f"<p>own text number {i}</p>{shared}") for i in range(4)]
-    assert html_extract.main_texts(pages) == [f"own text number {i}" for i in range(4)]
-    assert html_extract.blocks_of(None) == []
+def counted(rows):
+    return sorted(rows, key=repr)
+
+
+def removed(rows, width):
+    """``(doc_id, n_words, n_removed)``: a window goes that starts earlier too; rows of one id are not earlier than each other."""
+    cut = [(-1 if i is None else i, k, re.findall(r"[^\x20\x09-\x0D]+", t or "")) for k, (i, t) in enumerate(rows)]
+    first = {}
+    for i, _, words in cut:
+        for j in range(len(words) - width + 1):
+            window = tuple(words[j : j + width])
+            first[window] = min(i, first.get(window, i))
+    out = []
+    for i, k, words in cut:
+        gone, seen = set(), set()
+        for j in range(len(words) - width + 1):
+            window = tuple(words[j : j + width])
+            if first[window] < i or window in seen:
+                gone |= set(range(j, j + width))
+            seen.add(window)
+        out.append((rows[k][0], len(words), len(gone)))
+    return out
 
 
 @pytest.mark.parametrize("empty", [False, True])
 def test_odd_rows(spark, odd, empty):
     rows = odd.limit(0) if empty else odd
-    n = 0 if empty else len(ODD)
+    told = [] if empty else ODD
+    n = len(told)
     items = spark.createDataFrame([(1, "a b c"), (None, "x x"), (2, None), (3, "")], "item_id bigint, text string")
-    assert substrings.remove_repeats(rows).count() == n
-    assert decontaminate.contamination(rows, items).where("contaminated").count() == (0 if empty else 4)
-    assert simhash.near_groups(rows).count() == n
-    assert pii.personal_data(rows).count() == n and pii.mask_personal_data(rows).columns == rows.columns
-    assert winnow.fingerprints(rows).count() == n
-    pages = rows.select(F.col("doc_id").alias("page_id"), F.col("lang").alias("url"), F.col("text").alias("html"), "hash")
-    assert html_extract.extract(pages).count() == n
+    got = substrings.remove_repeats(rows).collect()
+    assert counted((r.doc_id, r.n_words, r.n_removed) for r in got) == counted(removed(told, 20))
+    hits = decontaminate.contamination(rows, items).collect()
+    assert counted((r.doc_id, r.n_hit) for r in hits if r.contaminated) == counted((i, 3) for i, t in told if t == "a b c")
+    groups = simhash.near_groups(rows).collect()
+    assert len(groups) == n and {r.component_id for r in groups if r.fp == 0} <= {1}
+    assert counted((r.doc_id, r.spans) for r in pii.personal_data(rows).collect()) == counted((i, "") for i, _ in told)
+    assert pii.mask_personal_data(rows).columns == rows.columns
+    got = winnow.fingerprints(rows).collect()
+    assert counted((r.doc_id, r.n_chars) for r in got) == counted((i, len(t or "")) for i, t in told)
+
+
+@pytest.mark.parametrize("empty", [False, True])
+def test_odd_rows_of_models_and_tokens(spark, odd, empty, tmp_path):
+    rows = odd.limit(0) if empty else odd
+    told = [] if empty else ODD
+    nothing = langid.LanguageModel(rows).predict(rows).collect()  # no row has a language
+    assert counted((r.doc_id, r.lang_pred, r.score) for r in nothing) == counted((i, "und", 0.0) for i, _ in told)
+    taught = langid.LanguageModel(odd.withColumn("lang", F.lit("en"))).predict(rows).collect()
+    assert counted((r.doc_id, r.lang_pred) for r in taught) == counted((i, "en" if any(map(str.isalpha, t or "")) else "und") for i, t in told)
+    labels = spark.createDataFrame([(4, 1), (5, 0), (9, 0), (77, 1), (None, 1)], "doc_id bigint, toxic int")
+    scores = toxicity.ToxicityModel(rows, labels).score(rows).collect()
+    assert counted(r.doc_id for r in scores) == counted(i for i, _ in told) and all(0 <= r.score <= 1 for r in scores)
+    alone = toxicity.ToxicityModel(rows, labels.where("doc_id = 77")).score(rows).collect()
+    assert {r.score for r in alone} <= {0.5}
+    sp = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    got = pieces.encode_and_decode(rows, public_tokenizers.path("piece_bpe_32k.model")).collect()
+    want = [(i, sp.encode(t or "", add_bos=True, add_eos=True)) for i, t in told]
+    assert counted((r.doc_id, np.frombuffer(r.ids, dtype="<u4").tolist(), r.decoded) for r in got) == counted((i, ids, sp.decode(ids)) for i, ids in want)
+    path = public_tokenizers.path("word_bpe_49k.json")
+    tokenizer, folder = Tokenizer.from_file(path), str(tmp_path / "tokens")
+    token_file.write_tokens(rows, path, folder)
+    got = token_file.read_tokens(spark, folder).collect()
+    want = counted((i, tokenizer.encode(t or "", add_special_tokens=False).ids + [1]) for i, t in told)
+    assert counted((r.doc_id, np.frombuffer(r.ids, dtype="<u4").tolist()) for r in got) == want
+    assert sorted(r.start for r in got) == (np.cumsum([0] + [r.n_tokens for r in sorted(got, key=lambda r: r.start)])[:-1].tolist() if got else [])
+
+
+def test_pieces_equal_the_library():
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    sp, own, rng = sentencepiece.SentencePieceProcessor(model_file=path), pieces.Pieces(path), random.Random(3)
+    parts = [*"ab e.\n\t \u2581\u00e91\u65e5\U0001f642,", "the ", "  ", "ing", "<s>", "\ufb01", "\u200b"]
+    texts = ["a ", " \t\n ", "x " * 3000, "", " ", "\u2581", "a\u2581b", "\x00", "word" * 400]
+    texts += ["".join(rng.choice(parts) for _ in range(rng.randint(0, 25))) + rng.choice(["", " ", "  "]) for _ in range(20_000)]
+    for at in range(0, len(texts), 4000):
+        some = texts[at : at + 4000]
+        for text, ids in zip(some, own.encode(some)):
+            assert ids.tolist() == sp.encode(text, add_bos=True, add_eos=True), repr(text)
+    assert None not in own.known.values()
+
+
+def test_texts_with_doubtful_segments_take_the_library_s_ids(monkeypatch):
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    sp, own = sentencepiece.SentencePieceProcessor(model_file=path), pieces.Pieces(path)
+    monkeypatch.setattr(own.table, "merged", lambda segments: {s: b"\0\0\0\0" for s in segments if "wrong" in s})
+    texts = ["all is right", "this is wrong here", "wrong "]
+    for _ in range(2):
+        assert [i.tolist() for i in own.encode(texts)] == [sp.encode(t, add_bos=True, add_eos=True) for t in texts]
+
+
+def test_whole_texts_where_white_space_joins(monkeypatch):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    encoder, tokenizer = token_file.WordEncoder(path), Tokenizer.from_file(path)
+    assert encoder.apart
+    monkeypatch.setattr(encoder, "apart", False)
+    texts = ["Some words, two  spaces\n", ""]
+    assert [np.frombuffer(i, dtype="<u4").tolist() for i in encoder.encode([t.encode() for t in texts])] == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_each_group_keeps_one_row(spark):
+    near = "one two three four five six seven eight nine ten eleven twelve " * 20
+    rows = [(5, near), (5, "quite another text " * 9), (6, near), (6, near), (None, near), (None, "alone " * 30), (None, "alone " * 30), (7, None), (8, ""), (9, "third text here " * 8)]
+    docs = spark.createDataFrame([(i, t, k) for k, (i, t) in enumerate(rows)], "doc_id bigint, text string, row bigint").repartition(3)
+    kept = simhash.keep_one_per_group(docs)
+    assert kept.columns == docs.columns
+    got = counted((r.doc_id, r.text) for r in kept.collect())
+    assert got == counted([(5, near), (5, "quite another text " * 9), (None, "alone " * 30), (7, None), (9, "third text here " * 8)])
+    assert simhash.keep_one_per_group(docs.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("literals", [50_000, 0])
+def test_only_rows_with_a_passage_go(spark, literals):
+    items = spark.createDataFrame([(1, "the passage of the test")], "item_id bigint, text string")
+    rows = [(None, "here is the passage of the test"), (None, "clean"), (4, "The PASSAGE of the test."), (4, "clean too"), (5, None), (6, "")]
+    docs = spark.createDataFrame([(i, t, k) for k, (i, t) in enumerate(rows)], "doc_id bigint, text string, row bigint")
+    kept = decontaminate.remove_contaminated(docs, items, max_literals=literals)
+    assert kept.columns == docs.columns and sorted(r.row for r in kept.collect()) == [1, 3, 4, 5]
+    assert decontaminate.remove_contaminated(docs.limit(0), items).collect() == []
+    assert decontaminate.remove_contaminated(docs, items.limit(0), max_literals=literals).count() == 6
+
+
+def test_language_stage_uses_its_prediction(spark, docs):
+    model = langid.LanguageModel(langid.learnable(docs))
+    found = {r.doc_id: r for r in model.predict(docs).collect()}
+    kept = {r.doc_id for r in langid.keep_identified(docs, model, ["de", "fr"], 0.9).collect()}
+    assert kept == {i for i, r in found.items() if r.lang_pred in ("de", "fr") and r.score >= 0.9} and kept
+    assert langid.keep_identified(docs.limit(0), model).collect() == []
+
+
+def test_toxic_texts_held_out(spark):
+    larger = "/root/testdata/sf0.01"
+    labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{larger}/labels.parquet").collect()}
+    held = [r for r in entry.queries()["op3_toxicity"](spark, larger).collect() if r.held_out and labels.get(r.doc_id) is not None]
+    assert all(zlib.crc32(str(r.doc_id).encode()) % 3 == 1 for r in held)
+    assert sum(r.predicted == labels[r.doc_id] for r in held) >= 0.9 * len(held)
+
+
+def test_log_count_ratios_and_ftrl_are_the_plain_ones():
+    rng = np.random.default_rng(0)
+    model, size = langid.Ftrl(5, 2), 5
+    z, n = np.zeros((size, 2)), np.zeros((size, 2))
+    for _ in range(200):
+        cells, label = np.sort(rng.choice(size, 3, replace=False)), int(rng.integers(2))
+        values = rng.random(3)
+        model.step(cells, values, label)
+        w = {c: [0.0 if abs(z[c, k]) <= langid.L1 else -(z[c, k] - np.sign(z[c, k]) * langid.L1) / ((langid.BETA + n[c, k] ** 0.5) / langid.ALPHA + langid.L2) for k in (0, 1)] for c in cells}
+        logits = [sum(w[c][k] * v for c, v in zip(cells, values)) for k in (0, 1)]
+        p = np.exp(logits) / np.exp(logits).sum()
+        for c, v in zip(cells, values):
+            for k in (0, 1):
+                g = (p[k] - (k == label)) * v
+                z[c, k] += g - ((n[c, k] + g * g) ** 0.5 - n[c, k] ** 0.5) / langid.ALPHA * w[c][k]
+                n[c, k] += g * g
+    assert np.allclose(model.z, z) and np.allclose(model.n, n)
+
+
+def test_code_lengths_are_optimal():
+    def huffman(counts):
+        heap = [(int(c), i, 0) for i, c in enumerate(counts)]
+        heapq.heapify(heap)
+        total = 0
+        while len(heap) > 1:
+            a, b = heapq.heappop(heap), heapq.heappop(heap)
+            total += a[0] + b[0]
+            heapq.heappush(heap, (a[0] + b[0], a[1], 0))
+        return total
+
+    rng = np.random.default_rng(2)
+    for n in (2, 3, 17, 200):
+        counts = rng.integers(1, 1000, n)
+        assert int((token_file.limited_lengths(counts, 18) * counts).sum()) == huffman(counts)
+
+
+def test_many_urls_take_linear_time():
+    for junk in ("www.", "a://", "://", "awww.", "a@", "token "):
+        began = time.process_time()
+        pii.find(junk * 40_000)
+        assert time.process_time() - began < 5
 
 
 def test_pipeline(spark, docs):
