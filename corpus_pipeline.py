@@ -14,12 +14,12 @@ from millrace.llm.common import table, written
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows without a language the model knows go: NULL texts and texts without a letter."""
+    """Rows in none of the languages the model knows go: a score under 0.3, NULL texts and texts without a letter."""
     return langid.keep_identified(docs, langid.LanguageModel(langid.learnable(docs)))
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the least id stays."""
+    """Of each group of near copies one row stays, that of the least id."""
     return simhash.keep_one_per_group(docs)
 
 
