@@ -13,8 +13,9 @@
 
 The suffix array of a host with a third of all pages does not fit into one task. So its groups of equal
 run beginnings are counted instead: every run of ``MIN_TOKENS`` tokens is hashed with its host,
-count-min sketches find those that may repeat, and these are counted over all pages. A longer repeated
-run is covered by its parts. No result depends on how pages are dealt out, and no page is shuffled.
+count-min sketches of the runs' anchors find those that may repeat, and these are counted over all
+pages. A longer repeated run is covered by its parts. No result depends on how pages are dealt out,
+and no page is shuffled or written: pages are parsed anew in each of the three readings.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm.common import ship, slices, spread, written
 from millrace.llm.substrings import _SEGMENT, ROWS, _merge, cells
-from millrace.llm.words import Words, mix, scan, window_hashes
+from millrace.llm.words import Words, mix, scan, sliding_min, window_hashes
 
 MIN_TOKENS, MIN_PAGES = 6, 3
 MANY_PAGES, MANY_SHARE = 8, 2
@@ -235,14 +236,19 @@ def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([*(part.column(c) for c in ("page_id", "url", "host")), *columns], names=["page_id", "url", "host", "article", "sizes", "text"])
 
 
-def _runs(part: pa.RecordBatch, length: int) -> tuple[Words, np.ndarray, np.ndarray, np.ndarray]:
-    """The words of the pages, and of each run within a page its place, hash with the host, and page."""
-    words = scan(part.column("text"))
-    hashes, owner = window_hashes(words.hashes(), length), words.owner()
+def _runs(part: pa.RecordBatch, length: int) -> tuple[Words, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The words of the pages, and of each run within a page its place, hash with the host, anchor and page.
+
+    Its anchor is the least hash of the shorter runs in it: equal runs have one, and neighbours share it.
+    """
+    words, short = scan(part.column("text")), max(1, length // 2)
+    of_words, owner = words.hashes(), words.owner()
+    hosts = mix(part.column("host").to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64))
+    hashes, parts = window_hashes(of_words, length), window_hashes(of_words, short)
+    anchors = sliding_min(mix(parts ^ hosts[owner[: len(parts)]]), length - short + 1)
     places = np.flatnonzero(owner[: len(hashes)] == owner[length - 1 : length - 1 + len(hashes)])
     pages = owner[places]
-    hosts = mix(part.column("host").to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64))
-    return words, places, mix(hashes[places] ^ hosts[pages]), pages
+    return words, places, mix(hashes[places] ^ hosts[pages]), anchors[places], pages
 
 
 def _on_pages(hashes: np.ndarray, pages: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -258,8 +264,8 @@ def _on_pages(hashes: np.ndarray, pages: np.ndarray) -> tuple[np.ndarray, np.nda
 def _sketch(batches: Iterator[pa.RecordBatch], length: int, bits: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in slices(batch, "text"):
-            _, _, hashes, pages = _runs(part, length)
-            found, counts = _on_pages(hashes, pages)
+            *_, anchors, pages = _runs(part, length)
+            found, counts = _on_pages(anchors, pages)
             rows = []
             for row in range(ROWS):
                 cell = cells(found, row, bits)
@@ -278,21 +284,23 @@ def _sketch(batches: Iterator[pa.RecordBatch], length: int, bits: int) -> Iterat
 def _candidates(batches: Iterator[pa.RecordBatch], length: int, bits: int, sketch) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in slices(batch, "text", 16 << 20):
-            _, _, hashes, pages = _runs(part, length)
+            _, _, hashes, anchors, pages = _runs(part, length)
             for row in range(ROWS):
-                cell = cells(hashes, row, bits)
+                cell = cells(anchors, row, bits)
                 hit = (sketch.value[row][cell >> 3] >> (cell & 7).astype(np.uint8)) & 1 > 0
-                hashes, pages = hashes[hit], pages[hit]
+                hashes, anchors, pages = hashes[hit], anchors[hit], pages[hit]
             found, counts = _on_pages(hashes, pages)
             yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(counts.astype(np.int64))], names=["run", "n"])
 
 
-def repeated_runs(parsed: DataFrame, length: int, pages: int, max_bits: int = MAX_BITS) -> DataFrame:
-    """``(run, n)``: hashes of runs with their host, and the number of its pages that have them, from ``pages`` on."""
+def repeated_runs(parsed: DataFrame, size: int, length: int, pages: int, max_bits: int = MAX_BITS) -> DataFrame:
+    """``(run, n)``: hashes of runs with their host, and the number of its pages that have them, from ``pages`` on.
+
+    ``size`` is about the bytes of all texts.
+    """
     spark = parsed.sparkSession
     rows = parsed.select("host", "text")
-    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    bits = int(np.clip((size // 2).bit_length(), 16, max_bits))
+    bits = int(np.clip((size // 4).bit_length(), 16, max_bits))
     merged = (
         rows.mapInArrow(lambda b: _sketch(b, length, bits), "row int, segment int, seen binary, twice binary")
         .repartition(spread(None, parsed), "row", "segment")
@@ -314,7 +322,7 @@ def _bits(covered: np.ndarray, first: np.ndarray) -> list[bytes]:
 
 def _covered(part: pa.RecordBatch, length: int, runs: np.ndarray, counts: np.ndarray) -> tuple[Words, np.ndarray]:
     """Which words lie in a known run; of an article, in one that is on enough of its host's pages."""
-    words, places, hashes, pages = _runs(part, length)
+    words, places, hashes, _, pages = _runs(part, length)
     change = np.zeros(len(words.starts) + 1, dtype=np.int64)
     if len(runs):
         at = np.minimum(np.searchsorted(runs, hashes), len(runs) - 1)
@@ -398,18 +406,19 @@ def extract(pages: DataFrame, min_tokens: int = MIN_TOKENS, min_pages: int = MIN
     ship(spark)
     rows = pages.select("page_id", "url", F.xxhash64(host_of(F.col("url"))).alias("host"), "html")
     kind = rows.schema["page_id"].dataType.simpleString()
-    parsed = written(
-        rows.mapInArrow(_parsed, _PARSED.format(kind=kind)).withColumn("row", F.monotonically_increasing_id()), "pages-parsed"
-    )
-    hosts = parsed.groupBy("host").agg(F.count(F.lit(1)).alias("pages")).where(F.col("pages") >= MANY_PAGES)
+    size = rows.agg(F.sum(F.octet_length("html"))).first()[0] or 0
+    parsed = rows.mapInArrow(_parsed, _PARSED.format(kind=kind))
+    hosts = rows.groupBy("host").agg(F.count(F.lit(1)).alias("pages")).where(F.col("pages") >= MANY_PAGES)
     few = hosts.limit(broadcast_runs + 1).count() <= broadcast_runs
-    runs = written(repeated_runs(parsed, min_tokens, min_pages), "pages-runs")
+    runs = written(repeated_runs(parsed, size, min_tokens, min_pages), "pages-runs")
+    n = runs.count()
+    if n > broadcast_runs:
+        parsed = written(parsed.withColumn("row", F.monotonically_increasing_id()), "pages-parsed")
     # How many pages must have a run. No number is enough for an article on a host of few pages.
     half = F.ceil(F.col("pages") / MANY_SHARE)
     least = F.when(~F.col("article"), F.lit(min_pages)).otherwise(F.coalesce(F.greatest(half, F.lit(min_pages)), F.lit((1 << 62))))
     known = parsed.join(F.broadcast(hosts) if few else hosts, "host", "left").withColumn("least", least.cast("bigint"))
     out = f"page_id {kind}, url string, text string, n_chars bigint"
-    n = runs.count()
     if n <= broadcast_runs:
         shared = spark.sparkContext.broadcast(_arrays(runs))
         return known.mapInArrow(lambda b: _extracted(b, min_tokens, shared), out)
