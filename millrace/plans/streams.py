@@ -1,7 +1,7 @@
 """Registered streaming queries. Each runs over the whole table and returns what it wrote.
 
-Only finished results are written. At the end of the table a row of the far future closes the
-windows, sessions, slots and timeouts that are still open, so nothing is left behind.
+Only finished results are written. Tables are replayed in event-time order, so results do not depend on
+how they lie in files, and a closing row ends the windows, sessions, slots and timeouts that are still open.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.codec import REQUEST_TOPIC, SCORED_TOPIC, decode_clicks, encode_clicks
 from millrace.functions.text import tokens_nonempty
+from millrace.functions.times import plus_us
 from millrace.operators.joins import lookup
 from millrace.operators.places import WindowSize
 from millrace.operators.rows import rides_inside
@@ -22,8 +23,9 @@ from millrace.plans import inputs, oracle
 from millrace.plans.queries import LATE_DELAY, ONE_DAY, PLACES_THRESHOLD, SESSION_GAP, THREE_BY_ONE_DAY
 from millrace.session import scratch_dir
 from millrace.sources.readers import table_stream
+from millrace.sources.replay import replayed
 from millrace.sources.writers import drain, stream_to_topic
-from millrace.streaming import builtin, global_order, stateful
+from millrace.streaming import builtin, global_order, ordered, stateful
 
 # How many files one micro-batch takes, so that its size does not grow with the table.
 FILES_PER_BATCH = 64
@@ -40,33 +42,9 @@ def _wall_clock(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in columns})
 
 
-class _Ending:
-    """Streams that end: after the table comes a copy of one of its rows, dated far ahead.
-
-    That row moves the watermark past all others. Its own window, slot or session stays open
-    for ever, so it has no part in finished results. The date is about the last that pandas
-    can hold in nanoseconds; the tables end long before it.
-    """
-
-    DATE = "2250-01-01"
-
-    def __init__(self, spark: SparkSession, label: str):
-        self.spark, self.label, self.rows = spark, label, []
-
-    def add(self, stream: DataFrame, table: DataFrame, ts: str) -> DataFrame:
-        """``stream`` with its last row to come; ``table`` holds the same rows at rest."""
-        folder = scratch_dir(self.spark, f"{self.label}-end")
-        last = table.limit(1).withColumn(ts, F.lit(self.DATE).cast(table.schema[ts].dataType))
-        last.limit(0).write.parquet(folder)
-        self.rows.append((last, folder))
-        return stream.unionByName(table_stream(self.spark, folder, stream.schema))
-
-    def drain(self, stream: DataFrame) -> DataFrame:
-        def close() -> None:
-            for last, folder in self.rows:
-                last.write.mode("append").parquet(folder)
-
-        return drain(stream, self.label, at_end=close)
+def _replayed(rows: DataFrame, ts: str, label: str, close_after: str | None = None, **more) -> DataFrame:
+    """Rows in event-time order, however the table lies in files, with a row that closes what is open at the end."""
+    return replayed(rows, ts, label, close_after, max_files=FILES_PER_BATCH, **more)
 
 
 def stream_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,10 +55,9 @@ def stream_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _places_stream(spark: SparkSession, sf_dir: str, window: WindowSize, label: str) -> DataFrame:
-    ending = _Ending(spark, label)
     inside = rides_inside(inputs.rides(spark, sf_dir), inputs.GRID)
-    rides = ending.add(inputs.rides_of(_stream(spark, sf_dir, "events")), inside, "ts")
-    return ending.drain(builtin.popular_places_stream(rides, inputs.GRID, window, PLACES_THRESHOLD))
+    rides = _replayed(inside, "ts", label, "10 days")
+    return drain(builtin.popular_places_stream(rides, inputs.GRID, window, PLACES_THRESHOLD), label)
 
 
 def stream_popular_places(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -92,20 +69,16 @@ def stream_popular_places_tumbling(spark: SparkSession, sf_dir: str) -> DataFram
 
 
 def stream_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ending, columns = _Ending(spark, "stream_sessions"), ["user_id", "ts", inputs.cents().alias("cents")]
-    events = ending.add(
-        _stream(spark, sf_dir, "events").select(*columns), inputs.table(spark, sf_dir, "events").select(*columns), "ts"
-    )
+    rows = inputs.table(spark, sf_dir, "events").select("user_id", "ts", inputs.cents().alias("cents"))
+    events = _replayed(rows, "ts", "stream_sessions", "10 days")
     found = builtin.sessions_stream(events, "user_id", "ts", "cents", SESSION_GAP)
-    return _wall_clock(ending.drain(found), "session_start", "session_end")
+    return _wall_clock(drain(found, "stream_sessions"), "session_start", "session_end")
 
 
 def stream_metric_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ending = _Ending(spark, "stream_metric_counts")
-    at_rest = inputs.metric_samples(inputs.table(spark, sf_dir, "events"))
-    samples = ending.add(inputs.metric_samples(_stream(spark, sf_dir, "events")), at_rest, "ts")
+    samples = _replayed(inputs.metric_samples(inputs.table(spark, sf_dir, "events")), "ts", "stream_metric_counts", "1 day")
     counts = builtin.metric_counts_stream(samples, "ts", "1 minute", "40 seconds")
-    return _wall_clock(ending.drain(counts), "period_start")
+    return _wall_clock(drain(counts, "stream_metric_counts"), "period_start")
 
 
 def stream_window_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -122,45 +95,60 @@ def stream_window_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_request_timeout(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first response of each request inside the timeout, as in batch form."""
-    ending, orders, lines = _Ending(spark, "stream_request_timeout"), "orders", "lineitem"
-    requests = ending.add(
-        inputs.requests_of(_stream(spark, sf_dir, orders)), inputs.requests_of(inputs.table(spark, sf_dir, orders)), "ts"
-    )
-    shipments = ending.add(
-        inputs.shipments_of(_stream(spark, sf_dir, lines)), inputs.shipments_of(inputs.table(spark, sf_dir, lines)), "shipped"
-    )
+    # The closing rows have no id, so they meet nothing.
+    ends = {"close_after": "200 days", "blank": ["id"]}
+    requests = _replayed(inputs.requests_of(inputs.table(spark, sf_dir, "orders")), "ts", "stream_requests", **ends)
+    shipments = _replayed(inputs.shipments_of(inputs.table(spark, sf_dir, "lineitem")), "shipped", "stream_shipments", **ends)
     found = builtin.request_timeouts_stream(
         requests, shipments, "id", "ts", "shipped", "90 days", delay="90 minutes"
     )
-    answers = _wall_clock(ending.drain(found), "ts", "shipped")
-    # The two last rows can meet each other.
-    answers = answers.where(F.col("ts") < F.lit(_Ending.DATE).cast("timestamp_ntz"))
+    answers = _wall_clock(drain(found, "stream_request_timeout"), "ts", "shipped")
     return answers.groupBy("id", "ts").agg(F.min("shipped").alias("shipped"))
 
 
 def stream_event_time_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ending, columns = _Ending(spark, "stream_event_time_sort"), ["user_id", "ts", "event_id"]
-    events = ending.add(
-        _stream(spark, sf_dir, "events").select(*columns), inputs.table(spark, sf_dir, "events").select(*columns), "ts"
-    )
-    ordered = stateful.sort_by_event_time(events, "user_id", "ts", "event_id", f"{LATE_DELAY} seconds", "7 days", 32)
-    return _wall_clock(ending.drain(ordered), "ts", "slot_start")
+    rows = inputs.table(spark, sf_dir, "events").select("user_id", "ts", "event_id")
+    events = _replayed(rows, "ts", "stream_event_time_sort", "30 days")
+    sorted_rows = stateful.sort_by_event_time(events, "user_id", "ts", "event_id", f"{LATE_DELAY} seconds", "7 days", 32)
+    return _wall_clock(drain(sorted_rows, "stream_event_time_sort"), "ts", "slot_start")
 
 
 def stream_travel_time(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rides = inputs.rides_of(_stream(spark, sf_dir, "events"))
-    return drain(stateful.travel_time_stream(rides, inputs.GRID), "stream_travel_time")
+    """Rides arrive out of order by up to two hours; the model is trained and asked in event order."""
+    arriving = _arriving(inputs.rides(spark, sf_dir), "ride_id")
+    rides = _replayed(arriving, "arrival_ts", "stream_travel_time", "60 days", times=["ts"])
+    found = ordered.travel_time_stream(rides, inputs.GRID, "2 hours", 7 * 24 * 3600)
+    return drain(found, "stream_travel_time", rocksdb=True)
 
 
-def stream_asof_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _arriving(rows: DataFrame, number: str) -> DataFrame:
+    """When each row arrives: up to two hours after its time."""
+    return rows.withColumn("arrival_ts", plus_us(F.col("ts"), (F.col(number) * 7919 % 7200) * 1_000_000))
+
+
+def _trades_and_infos(events: DataFrame) -> tuple[DataFrame, DataFrame]:
     keyed = {"user_id": "user_id", "ts": "ts", "event_id": "event_id"}
     info = F.concat(F.lit("signup "), F.col("event_id").cast("string"))
-    trades = inputs.of_type(_stream(spark, sf_dir, "events"), "purchase", **keyed)
-    infos = inputs.of_type(_stream(spark, sf_dir, "events"), "signup", **keyed, info=info)
+    return inputs.of_type(events, "purchase", **keyed), inputs.of_type(events, "signup", **keyed, info=info)
+
+
+def stream_asof_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Early answers; in event order there is nothing to correct."""
+    events = _replayed(inputs.table(spark, sf_dir, "events"), "ts", "stream_asof_join")
+    trades, infos = _trades_and_infos(events)
     answers = stateful.asof_stream(trades, infos, "user_id", "ts", "event_id", "info", "1 hour")
     return _wall_clock(drain(answers, "stream_asof_join"), "ts")
 
 
+def stream_asof_final(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The final answers where trades and infos arrive out of order by up to two hours."""
+    rows = inputs.table(spark, sf_dir, "events").where(F.col("event_type").isin("purchase", "signup"))
+    events = _replayed(_arriving(rows, "event_id"), "arrival_ts", "stream_asof_final", "60 days", times=["ts"])
+    trades, infos = _trades_and_infos(events)
+    answers = ordered.asof_refined_stream(trades, infos, "user_id", "ts", "event_id", "info", "2 hours", 7 * 24 * 3600)
+    return _wall_clock(drain(answers, "stream_asof_final", rocksdb=True), "ts").where("is_final")
+
+
 def stream_in_flight(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders open when placed; each shipment answers, and only the first one after closes."""
     requests = inputs.requests_of(_stream(spark, sf_dir, "orders"))
@@ -172,17 +160,32 @@ def stream_in_flight(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _wall_clock(changes, "ts").where("change <> 0")
 
 
-def stream_running_max(spark: SparkSession, sf_dir: str) -> DataFrame:
+def stream_in_flight_size(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The number of open orders after each order and each first shipment, over the whole stream."""
+    requests = inputs.requests_of(inputs.table(spark, sf_dir, "orders"))
+    first = inputs.first_shipments(requests, inputs.shipments_of(inputs.table(spark, sf_dir, "lineitem")))
+    both = requests.withColumn("status", F.lit(inputs.PRE_PROCESSING)).unionByName(first)
+    path, progress = scratch_dir(spark, "stream_open"), scratch_dir(spark, "stream_open-progress")
+    events = _replayed(both, "ts", "stream_in_flight_size")
+    asked, answered = events.where(F.col("status") == inputs.PRE_PROCESSING), events.where(F.col("status") == inputs.PROCESSING_DONE)
+    global_order.in_flight_size_everywhere(asked.drop("status"), answered, "ts", path, progress, once=True).awaitTermination()
+    return _wall_clock(spark.read.parquet(f"{path}/rows").drop("batch"), "ts")
+
+
+def _clicks_and_views(spark: SparkSession, sf_dir: str, label: str) -> tuple[DataFrame, DataFrame]:
     keyed = {"user_id": "user_id", "ts": "ts", "event_id": "event_id"}
-    clicks = inputs.of_type(_stream(spark, sf_dir, "events"), "click", **keyed)
-    views = inputs.of_type(_stream(spark, sf_dir, "events"), "view", **keyed, cents=inputs.cents())
+    events = _replayed(inputs.table(spark, sf_dir, "events"), "ts", label)
+    return inputs.of_type(events, "click", **keyed), inputs.of_type(events, "view", **keyed, cents=inputs.cents())
+
+
+def stream_running_max(spark: SparkSession, sf_dir: str) -> DataFrame:
+    clicks, views = _clicks_and_views(spark, sf_dir, "stream_running_max")
     best = stateful.running_max_stream(clicks, views, "user_id", "ts", "event_id", "cents")
     return _wall_clock(drain(best, "stream_running_max"), "ts")
 
 
 def stream_running_max_global(spark: SparkSession, sf_dir: str) -> DataFrame:
-    clicks = inputs.of_type(_stream(spark, sf_dir, "events"), "click", ts="ts", event_id="event_id")
-    views = inputs.of_type(_stream(spark, sf_dir, "events"), "view", ts="ts", event_id="event_id", cents=inputs.cents())
+    clicks, views = _clicks_and_views(spark, sf_dir, "stream_running_max_global")
     path, progress = scratch_dir(spark, "stream_top"), scratch_dir(spark, "stream_top-progress")
     global_order.running_max_everywhere(
         clicks, views, "ts", "event_id", "cents", path, progress, once=True
@@ -223,7 +226,9 @@ STREAMS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         stream_event_time_sort,
         stream_travel_time,
         stream_asof_join,
+        stream_asof_final,
         stream_in_flight,
+        stream_in_flight_size,
         stream_running_max,
         stream_running_max_global,
         stream_status_hops,
@@ -245,6 +250,8 @@ SELECT user_id, ts, event_id, slot_start,
 FROM (SELECT *, time_bucket(INTERVAL 7 DAYS, ts, TIMESTAMP '1970-01-01') AS slot_start FROM events)""",
     "stream_travel_time": oracle.TRAVEL_TIME,
     "stream_asof_join": f"SELECT *, false AS is_final FROM ({oracle.ASOF})",
+    "stream_asof_final": f"SELECT *, true AS is_final FROM ({oracle.ASOF})",
+    "stream_in_flight_size": oracle.BATCH["in_flight_size"],
     "stream_in_flight": """
 WITH first_shipments AS (
   SELECT o_orderkey AS id, min(l_shipdate) AS ts FROM orders JOIN lineitem ON l_orderkey = o_orderkey

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Callable, Iterator
-from contextlib import contextmanager
+from contextlib import contextmanager, nullcontext
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -122,13 +122,25 @@ def _state_partitions(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(setting, before)
 
 
-def drain(
-    stream: DataFrame, label: str, mode: str = "append", at_end: Callable[[], None] | None = None
-) -> DataFrame:
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+@contextmanager
+def with_rocksdb(spark: SparkSession) -> Iterator[None]:
+    """The state store that ``transformWithState`` needs, for queries started inside."""
+    setting = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, ROCKSDB)
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
+
+
+def drain(stream: DataFrame, label: str, mode: str = "append", rocksdb: bool = False) -> DataFrame:
     """Run a stream over all data present and return what it wrote.
 
-    ``at_end`` is called once all of it has been taken; what it adds to the sources is run
-    from the same progress. That is how a bounded input closes what is still open.
+    What is still open at the end of the input stays open; ``sources.replay`` can close it.
 
     With ``append`` these are the final rows. With ``update`` each row also carries its
     ``batch``; the row of the highest batch is the current one of its key.
@@ -136,23 +148,16 @@ def drain(
     spark = stream.sparkSession
     ship(spark)
     path, checkpoint = scratch_dir(spark, label), scratch_dir(spark, f"{label}-progress")
-
-    def run() -> None:
-        with _state_partitions(spark):
-            if mode == "append":
-                query = stream_to_table(stream, path, checkpoint, label, once=True)
-            else:
-                query = stream_by_batch(
-                    stream,
-                    lambda df, batch: df.write.mode("overwrite").parquet(batch_folder(path, batch)),
-                    checkpoint, mode, label, once=True,
-                )
+    with _state_partitions(spark), with_rocksdb(spark) if rocksdb else nullcontext():
+        if mode == "append":
+            query = stream_to_table(stream, path, checkpoint, label, once=True)
+        else:
+            query = stream_by_batch(
+                stream,
+                lambda df, batch: df.write.mode("overwrite").parquet(batch_folder(path, batch)),
+                checkpoint, mode, label, once=True,
+            )
         query.awaitTermination()
-
-    run()
-    if at_end:
-        at_end()
-        run()
     reader = spark.read.schema(stream.schema) if mode == "append" else spark.read
     return reader.parquet(path)
 

@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from millrace.operators.joins import running_max_enrich
-from millrace.operators.running import ROWS_PER_BLOCK
+from millrace.operators.running import ROWS_PER_BLOCK, running, running_sum
+from millrace.session import ship
 from millrace.sources.writers import batch_folder, stream_by_batch
+from millrace.streaming.stateful import in_flight_stream
 
 
 def running_max_everywhere(
@@ -29,6 +31,7 @@ def running_max_everywhere(
     what its predecessor left and replaces its own output. Results are below ``rows`` and
     the numbers below ``top``.
     """
+    ship(left.sparkSession)
     tagged = left.select(ts, tie, F.lit(None).cast("double").alias(value), F.lit(True).alias("_left")).unionByName(
         right.select(ts, tie, F.col(value).cast("double").alias(value), F.lit(False).alias("_left"))
     )
@@ -48,3 +51,38 @@ def running_max_everywhere(
         batch.unpersist()
 
     return stream_by_batch(tagged, write, checkpoint, once=once)
+
+
+def in_flight_size_everywhere(
+    requests: DataFrame,
+    responses: DataFrame,
+    ts: str,
+    path: str,
+    checkpoint: str,
+    key: str = "id",
+    rows_per_block: int = ROWS_PER_BLOCK,
+    expire_after: str | None = None,
+    once: bool = False,
+) -> StreamingQuery:
+    """How many requests are open after each one that opens or closes, over the whole stream.
+
+    The keyed state tells what each row changes. The sizes are a running sum of the changes over the
+    blocks of a micro-batch, on top of one number that is committed under the batch's number, as above. Micro-batches
+    must come in event-time order, both sides together, as ``sources.replay`` lays them out. Results
+    ``(ts, side, key, change, in_flight)`` are below ``rows``.
+    """
+    changes = in_flight_stream(requests, responses, ts, key, expire_after=expire_after).where("change <> 0")
+
+    def write(batch: DataFrame, number: int) -> None:
+        before = 0
+        if number:
+            before = batch.sparkSession.read.schema("size bigint").parquet(batch_folder(f"{path}/size", number - 1)).first().size
+        batch.persist()  # read once per pass otherwise
+        sized = running(batch, [], [ts, "side", key], {"in_flight": running_sum(F.col("change"))}, rows_per_block=rows_per_block)
+        size = (F.col("in_flight") + F.lit(before)).cast("bigint").alias("in_flight")
+        sized.select(ts, "side", key, "change", size).write.mode("overwrite").parquet(batch_folder(f"{path}/rows", number))
+        after = batch.agg((F.coalesce(F.sum("change"), F.lit(0)) + F.lit(before)).cast("bigint").alias("size"))
+        after.write.mode("overwrite").parquet(batch_folder(f"{path}/size", number))
+        batch.unpersist()
+
+    return stream_by_batch(changes, write, checkpoint, once=once)

@@ -9,20 +9,18 @@ state. Times inside the state are microseconds.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator, Sequence
-from decimal import Decimal
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, GroupedData, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from millrace.functions.codec import FEATURE_SCORING, PROCESSING_DONE
-from millrace.functions.geo import GridSpec
 from millrace.functions.times import epoch_us
 from millrace.operators.joins import NO_INFO
-from millrace.operators.travel_time import ride_features
+from millrace.session import ship
 from millrace.streaming.builtin import watermarked
 
 EVENT_TIMEOUT = GroupStateTimeout.EventTimeTimeout
@@ -49,6 +47,12 @@ def _rows(chunks: Iterator[pd.DataFrame], columns: Sequence[str]) -> pd.DataFram
     return pd.concat(frames, ignore_index=True)[list(columns)] if frames else pd.DataFrame(columns=list(columns))
 
 
+def _stateful(grouped: GroupedData, function, output, state, timeout: str) -> DataFrame:
+    """``function`` per group; the workers get the package before it is wrapped, because it is wrapped with its files."""
+    ship(SparkSession.getActiveSession())
+    return grouped.applyInPandasWithState(function, output, state, "append", timeout)
+
+
 def _keep_late(timed: DataFrame, ts: str) -> DataFrame:
     """Let late rows through to a state function that has an answer for them.
 
@@ -117,7 +121,7 @@ def sort_by_event_time(
             state.remove()
 
     grouped = slotted.groupBy("_shard", "_slot", "_slot_end")
-    result = grouped.applyInPandasWithState(release, output, state_type, "append", EVENT_TIMEOUT)
+    result = _stateful(grouped, release, output, state_type, EVENT_TIMEOUT)
     return result.select(
         key,
         F.timestamp_micros("_us").alias(ts),
@@ -127,46 +131,6 @@ def sort_by_event_time(
     )
 
 
-def travel_time_stream(rides: DataFrame, grid: GridSpec, ts: str = "ts") -> DataFrame:
-    """Predict for ride starts and train on ride ends as they arrive, one model per key.
-
-    Inside a micro-batch rows are taken in event-time order.
-    """
-    features = ride_features(rides, grid, ts).withColumn("_us", epoch_us(F.col(ts)))
-    output = "ride_id bigint, cell int, bucket int, minutes int"
-    state_type = "n decimal(38,0), sx decimal(38,0), sy decimal(38,0), sxx decimal(38,0), sxy decimal(38,0)"
-
-    def learn(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        rows = _rows(chunks, ["ride_id", "_us", "is_start", "distance", "duration"])
-        rows = rows.sort_values(["_us", "ride_id"], ignore_index=True)
-        start = rows["is_start"].to_numpy(dtype=bool)
-        x, y = rows["distance"].to_numpy(float), rows["duration"].to_numpy(float)
-        trains = ~start & ~np.isnan(x) & ~np.isnan(y)
-        # Python's whole numbers: sums stay exact at any size.
-        whole_x, whole_y = (np.where(trains, v, 0).astype("int64").astype(object) for v in (x, y))
-        ones = trains.astype("int64").astype(object)
-        terms = np.vstack([ones, whole_x, whole_y, whole_x * whole_x, whole_x * whole_y])
-        before = [int(v) for v in state.get] if state.exists else [0] * 5
-        known = np.array(before, dtype=object)[:, None] + terms.cumsum(axis=1)
-        state.update(tuple(Decimal(v) for v in known[:, -1]))
-        n, sx, sy, sxx, sxy = known[:, start].astype(float)
-        spread = n * sxx - sx * sx
-        with np.errstate(divide="ignore", invalid="ignore"):
-            slope = np.where(spread != 0, (n * sxy - sx * sy) / spread, 0.0)
-            fitted = ((sy - slope * sx) / n + slope * x[start]) / 60000.0
-        whole = pd.Series(np.where(n > 0, np.trunc(fitted), np.nan)).astype("Int32")
-        if len(whole):
-            yield pd.DataFrame(
-                {"ride_id": rows["ride_id"].to_numpy()[start], "cell": key[0], "bucket": key[1], "minutes": whole}
-            )
-
-    return (
-        features.select("cell", "bucket", "ride_id", "_us", "is_start", "distance", "duration")
-        .groupBy("cell", "bucket")
-        .applyInPandasWithState(learn, output, state_type, "append", NO_TIMEOUT)
-    )
-
-
 def asof_stream(
     trades: DataFrame, infos: DataFrame, key: str, ts: str, tie: str, payload: str,
     delay: str, default: str = NO_INFO, salts: int = 1,
@@ -259,17 +223,19 @@ def asof_stream(
             _set_timer(state, min(wait_us))
         yield from emitted
 
-    result = timed.groupBy(key, "_salt").applyInPandasWithState(match, output, state_type, "append", EVENT_TIMEOUT)
+    result = _stateful(timed.groupBy(key, "_salt"), match, output, state_type, EVENT_TIMEOUT)
     return result.select(key, F.timestamp_micros("_us").alias(ts), tie, payload, "is_final")
 
 
 def in_flight_stream(
-    requests: DataFrame, responses: DataFrame, ts: str, key: str = "id", shards: int = 256
+    requests: DataFrame, responses: DataFrame, ts: str, key: str = "id", shards: int = 256, expire_after: str | None = None
 ) -> DataFrame:
     """Changes of the number of open requests: +1 when a key opens, -1 when it closes.
 
-    Keys are spread over ``shards`` states, each a set of open keys; a closed key leaves no
-    trace. The size at any time is the sum of the changes.
+    Keys are spread over ``shards`` states, each a set of open keys with their times; a closed key leaves no
+    trace. With ``expire_after`` a key that waits for longer than that leaves as soon as its shard
+    sees a later time, with a change of -1 on side 2 at the time it expired; else it waits for ever. The size at any time
+    is the sum of the changes.
     """
     closing = F.col("status").isin(FEATURE_SCORING, PROCESSING_DONE)
     events = requests.select(key, ts, F.lit(0).alias("side")).unionByName(
@@ -282,21 +248,36 @@ def in_flight_stream(
         T.StructField("side", T.IntegerType()),
         T.StructField("change", T.IntegerType()),
     ])
-    state_type = T.StructType(_arrays([events.schema[key]]))
+    state_type = T.StructType(_arrays([events.schema[key], T.StructField("opened", T.LongType())]))
+    lives_us = None if expire_after is None else int(pd.Timedelta(expire_after).total_seconds() * 1_000_000)
 
     def track(_: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        rows = _rows(chunks, [key, "_us", "side"]).sort_values([key, "_us", "side"], ignore_index=True)
-        open_keys = set(state.get[0]) if state.exists else set()
-        now = rows["side"].to_numpy() == 0
-        first = (rows[key] != rows[key].shift()).to_numpy()
-        was = np.where(first, rows[key].isin(open_keys).to_numpy(), np.roll(now, 1))
-        last = np.roll(first, -1)
-        open_keys -= set(rows[key][last & ~now])
-        open_keys |= set(rows[key][last & now])
-        state.update((list(open_keys),))
-        yield rows.assign(change=now.astype("int32") - was.astype("int32"))
-
-    result = events.groupBy("_shard").applyInPandasWithState(track, output, state_type, "append", NO_TIMEOUT)
+        rows = _rows(chunks, [key, "_us", "side"])
+        opened = dict(zip(*state.get)) if state.exists else {}
+        if lives_us is not None and len(rows):
+            # A key that has expired by the newest row is closed at that time, before what comes later.
+            newest = int(rows["_us"].max())
+            asked = rows[rows["side"] == 0]
+            due = [(k, us + lives_us) for k, us in [*opened.items(), *zip(asked[key].tolist(), asked["_us"].tolist())] if us + lives_us <= newest]
+            if due:
+                keys, times = zip(*due)
+                ends = pd.DataFrame({key: pd.Series(keys, dtype=rows[key].dtype), "_us": times, "side": 2})
+                rows = pd.concat([rows, ends], ignore_index=True)
+        rows = rows.sort_values([key, "_us", "side"], ignore_index=True)
+        change = np.zeros(len(rows), dtype="int32")
+        keys, times, sides = rows[key].tolist(), rows["_us"].tolist(), rows["side"].tolist()
+        for i, (k, us, side) in enumerate(zip(keys, times, sides)):
+            was = k in opened
+            if side == 0:
+                change[i] = not was
+                opened.setdefault(k, us)
+            elif was and (side == 1 or opened[k] + lives_us == us):
+                change[i] = -1
+                del opened[k]
+        state.update((list(opened), list(opened.values())))
+        yield rows.assign(change=change)[(change != 0) | (rows["side"] < 2).to_numpy()]
+
+    result = _stateful(events.groupBy("_shard"), track, output, state_type, NO_TIMEOUT)
     return result.select(key, F.timestamp_micros("_us").alias(ts), "side", "change")
 
 
@@ -326,5 +307,5 @@ def running_max_stream(
                 key: key_[0], "_us": rows["_us"][left_rows], tie: rows[tie][left_rows], "max_so_far": top[left_rows],
             })
 
-    result = both.groupBy(key).applyInPandasWithState(enrich, output, "top double", "append", NO_TIMEOUT)
+    result = _stateful(both.groupBy(key), enrich, output, "top double", NO_TIMEOUT)
     return result.select(key, F.timestamp_micros("_us").alias(ts), tie, "max_so_far")

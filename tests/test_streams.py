@@ -11,8 +11,8 @@ from millrace.functions.text import tokens_nonempty
 from millrace.functions.geo import GridSpec
 from millrace.operators import joins, places, sessions, travel_time, words
 from millrace.sources.readers import table_stream, text_lines
-from millrace.sources.writers import drain, stream_to_table, stream_to_text
-from millrace.streaming import builtin, global_order, stateful
+from millrace.sources.writers import drain, stream_to_table, stream_to_text, with_rocksdb
+from millrace.streaming import builtin, global_order, ordered, stateful
 
 GRID = GridSpec(west=0.0, east=4.0, south=0.0, north=4.0, dlon=1.0, dlat=1.0)
 FAR = 10_000_000.0
@@ -159,9 +159,14 @@ def ride_frames(spark, n=400, parts=4):
     return shape(data), [shape(data[i : i + size]) for i in range(0, n, size)]
 
 
+def closing(rides):
+    """A ride long after all others, inside the area."""
+    return rides.limit(1).withColumn("ts", F.lit("2030-01-01 00:00:00").cast("timestamp_ntz"))
+
+
 def test_travel_time_stream_equals_batch(spark, feed):
     everything, parts = ride_frames(spark)
-    out = drain(stateful.travel_time_stream(feed(*parts), GRID), "travel")
+    out = drain(ordered.travel_time_stream(feed(*parts, closing(everything)), GRID, slot_seconds=900), "travel", rocksdb=True)
     assert same(out, travel_time.travel_time_predictions(everything, GRID))
 
 
@@ -243,11 +248,12 @@ def test_stateful_restart_continues_from_its_state(spark, tmp_path):
     everything, parts = ride_frames(spark, 200, 2)
     source, out, progress = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "cp")
     source.mkdir()
-    for i, part in enumerate(parts):
+    for i, part in enumerate([*parts, closing(everything)]):
         part.coalesce(1).write.parquet(str(tmp_path / f"p{i}"))
         file = next((tmp_path / f"p{i}").glob("*.parquet"))
         (source / f"{i}.parquet").write_bytes(file.read_bytes())
         stream = table_stream(spark, str(source), parts[0].schema)
-        query = stream_to_table(stateful.travel_time_stream(stream, GRID), out, progress, once=True)
+        with with_rocksdb(spark):
+            query = stream_to_table(ordered.travel_time_stream(stream, GRID, slot_seconds=900), out, progress, once=True)
         query.awaitTermination()
     assert same(spark.read.parquet(out), travel_time.travel_time_predictions(everything, GRID))
