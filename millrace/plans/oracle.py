@@ -139,6 +139,12 @@ FROM (SELECT * FROM events WHERE event_type = 'purchase') t
 ASOF LEFT JOIN (SELECT user_id, ts, 'signup ' || event_id AS info FROM events WHERE event_type = 'signup') i
 ON t.user_id = i.user_id AND t.ts >= i.ts"""
 
+_WIDTH = "greatest(length(bin(abs(cents))) - 6, 0)"
+HISTOGRAM = f"""
+SELECT date_trunc('{{period}}', ts) AS period_start, '{PREFIX}.' || event_type AS metric,
+       CAST(((abs(cents) >> {_WIDTH}) << {_WIDTH}) * sign(cents) AS BIGINT) AS bucket, count(*) AS n
+FROM (SELECT *, {CENTS} AS cents FROM events) WHERE cents IS NOT NULL GROUP BY ALL"""
+
 BATCH: dict[str, str] = {
     "popular_places": places(3),
     "popular_places_tumbling": places(1),
@@ -214,4 +220,8 @@ WITH RECURSIVE rounds AS (
   SELECT o_orderkey, o_orderkey % 100 - 1 AS v FROM orders
   UNION ALL SELECT o_orderkey, v - 1 FROM rounds WHERE v > 0)
 SELECT o_orderkey, v FROM rounds WHERE v <= 0""",
+    "metric_value_histogram": HISTOGRAM.format(period="hour"),
+    "popular_places_via_file": places(3, time="CASE WHEN is_start THEN start_time ELSE end_time END"),
+    "text_roundtrip": f"SELECT event_id, user_id, event_type, {CENTS} AS cents FROM events",
+    "nonempty_sources": "SELECT doc_id, source FROM documents WHERE length(source) > 0",
 }

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace import schemas
 from millrace.functions.codec import (
     REQUEST_TOPIC,
     click_text,
@@ -15,6 +16,7 @@ from millrace.functions.codec import (
 )
 from millrace.functions.ride_codec import decode_rides, encode_rides
 from millrace.functions.text import tokens_nonempty
+from millrace.operators.histograms import rolled_up, value_histogram
 from millrace.operators.inflight import in_flight_size, open_requests
 from millrace.operators.iterate import countdown, increment_until_odd
 from millrace.operators.joins import (
@@ -29,7 +31,7 @@ from millrace.operators.joins import (
 from millrace.operators.lateness import mark_late, sorted_on_time
 from millrace.operators.metrics import metric_counts, metric_histogram
 from millrace.operators.places import WindowSize, popular_places
-from millrace.operators.rows import rides_inside, split_by, with_status
+from millrace.operators.rows import nonempty, rebalance, rides_inside, split_by, with_status
 from millrace.operators.sessions import sessions_any_skew
 from millrace.operators.status import click_hops, finish_scored, score_requests
 from millrace.operators.travel_time import travel_time_predictions
@@ -47,6 +49,9 @@ from millrace.plans.inputs import (
     shipments_of,
     table,
 )
+from millrace.session import scratch_dir
+from millrace.sources.readers import CORRUPT, records, rides_file, text_lines
+from millrace.sources.writers import write_text
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -219,6 +224,38 @@ def iterate_countdown(spark: SparkSession, sf_dir: str) -> DataFrame:
     return loop.output
 
 
+def metric_value_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mergeable histograms per minute, added up to hours."""
+    samples = metric_samples(table(spark, sf_dir, "events"))
+    return rolled_up(value_histogram(samples, "ts", "value", "1 minute"), "1 hour")
+
+
+def popular_places_via_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rides written as compressed delimited files and read again."""
+    path = scratch_dir(spark, "ride-file")
+    columns = [F.col(f.name).cast("timestamp" if "time" in f.name else f.dataType) for f in schemas.RIDE.fields]
+    rides(spark, sf_dir).select(*columns).write.option("compression", "gzip").csv(path)
+    read = rides_file(spark, path).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    return popular_places(read, GRID, THREE_BY_ONE_DAY, PLACES_THRESHOLD)
+
+
+def _event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", cents().alias("cents"))
+
+
+def text_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows as lines of text, and records from the lines."""
+    path, rows = scratch_dir(spark, "text"), _event_lines(spark, sf_dir)
+    write_text(rows, path)
+    return records(text_lines(spark, path), rows.schema).drop(CORRUPT)
+
+
+def nonempty_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with a source, dealt out evenly."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source")
+    return rebalance(nonempty(docs, "source"), 16)
+
+
 BATCH: dict[str, Query] = {
     "popular_places": popular_places_sliding,
     "popular_places_tumbling": popular_places_tumbling,
@@ -248,4 +285,8 @@ BATCH: dict[str, Query] = {
     "metric_histogram": metric_histogram_by_day,
     "iterate_increment": iterate_increment,
     "iterate_countdown": iterate_countdown,
+    "metric_value_histogram": metric_value_histogram,
+    "popular_places_via_file": popular_places_via_file,
+    "text_roundtrip": text_roundtrip,
+    "nonempty_sources": nonempty_sources,
 }

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from millrace.functions.codec import REQUEST_TOPIC, SCORED_TOPIC, decode_clicks, encode_clicks
 from millrace.functions.text import tokens_nonempty
 from millrace.functions.times import plus_us
+from millrace.operators.histograms import histogram_quantiles, rolled_up
 from millrace.operators.joins import lookup
 from millrace.operators.places import WindowSize
 from millrace.operators.rows import rides_inside
@@ -22,11 +23,13 @@ from millrace.operators.words import word_counts
 from millrace.plans import inputs, oracle
 from millrace.plans.queries import LATE_DELAY, ONE_DAY, PLACES_THRESHOLD, SESSION_GAP, THREE_BY_ONE_DAY
 from millrace.session import scratch_dir
-from millrace.sources.readers import table_stream
+from millrace.sources.readers import CORRUPT, records, table_stream, text_lines
 from millrace.sources.replay import replayed
-from millrace.sources.writers import drain, stream_to_topic
+from millrace.sources.writers import drain, stream_to_text, stream_to_topic, write_text
 from millrace.streaming import builtin, global_order, ordered, stateful
 
+HISTOGRAM_QUANTILES = {"p50": 0.5, "p90": 0.9, "p99": 0.99}
+
 # How many files one micro-batch takes, so that its size does not grow with the table.
 FILES_PER_BATCH = 64
 
@@ -81,6 +84,23 @@ def stream_metric_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _wall_clock(drain(counts, "stream_metric_counts"), "period_start")
 
 
+def stream_metric_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Histograms per hour from a stream, added up to days and asked for quantiles."""
+    samples = _replayed(inputs.metric_samples(inputs.table(spark, sf_dir, "events")), "ts", "stream_metric_quantiles", "1 day")
+    by_hour = drain(builtin.value_histogram_stream(samples, "ts", "value", "1 hour", "40 seconds"), "stream_metric_quantiles")
+    return _wall_clock(histogram_quantiles(rolled_up(by_hour, "1 day"), HISTOGRAM_QUANTILES), "period_start")
+
+
+def stream_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of text files as a stream, through the text sink and back."""
+    rows = inputs.table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
+    source, path, progress = (scratch_dir(spark, f"stream_text-{part}") for part in ("in", "out", "progress"))
+    write_text(rows, source)
+    kept = records(text_lines(spark, source, streaming=True), rows.schema).drop(CORRUPT)
+    stream_to_text(kept, path, progress, once=True).awaitTermination()
+    return records(text_lines(spark, f"{path}/batch=*"), rows.schema).drop(CORRUPT)
+
+
 def stream_window_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = _stream(spark, sf_dir, "events")
     clicks = inputs.of_type(events, "click", user_id="user_id", click_id="event_id", click_ts="ts")
@@ -221,6 +241,8 @@ STREAMS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         stream_popular_places_tumbling,
         stream_sessions,
         stream_metric_counts,
+        stream_metric_quantiles,
+        stream_text,
         stream_window_join,
         stream_request_timeout,
         stream_event_time_sort,
@@ -250,6 +272,13 @@ SELECT user_id, ts, event_id, slot_start,
 FROM (SELECT *, time_bucket(INTERVAL 7 DAYS, ts, TIMESTAMP '1970-01-01') AS slot_start FROM events)""",
     "stream_travel_time": oracle.TRAVEL_TIME,
     "stream_asof_join": f"SELECT *, false AS is_final FROM ({oracle.ASOF})",
+    "stream_metric_quantiles": f"""
+WITH h AS ({oracle.HISTOGRAM.format(period='day')}),
+r AS (SELECT *, sum(n) OVER (PARTITION BY period_start, metric ORDER BY bucket) AS upto, sum(n) OVER (PARTITION BY period_start, metric) AS size FROM h)
+SELECT period_start, metric, CAST(max(size) AS BIGINT) AS n,
+       {', '.join(f"min(bucket) FILTER (upto > floor({p!r} * (size - 1))) AS {name}" for name, p in HISTOGRAM_QUANTILES.items())}
+FROM r GROUP BY period_start, metric""",
+    "stream_text": "SELECT c_custkey, c_name, c_nationkey FROM customer",
     "stream_asof_final": f"SELECT *, true AS is_final FROM ({oracle.ASOF})",
     "stream_in_flight_size": oracle.BATCH["in_flight_size"],
     "stream_in_flight": """

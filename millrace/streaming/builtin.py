@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.geo import GridSpec
 from millrace.functions.times import epoch_us
+from millrace.operators.histograms import BITS, value_histogram
 from millrace.operators.joins import JOIN_WINDOW
 from millrace.operators.lateness import CAR_DELAY_SECONDS
 from millrace.operators.metrics import metric_counts
@@ -41,6 +42,11 @@ def metric_counts_stream(samples: DataFrame, ts: str, period: str, delay: str) -
     return metric_counts(watermarked(samples, ts, delay), ts, period)
 
 
+def value_histogram_stream(samples: DataFrame, ts: str, value: str, period: str, delay: str, bits: int = BITS) -> DataFrame:
+    """Histograms of finished periods; those of several streams can be added up."""
+    return value_histogram(watermarked(samples, ts, delay), ts, value, period, bits)
+
+
 def window_join_stream(
     left: DataFrame, right: DataFrame, key: str, left_ts: str, right_ts: str,
     window: str = JOIN_WINDOW, delay: str = "10 seconds",
