@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import written
+from millrace.llm.common import forget, written
 
 
 def _nearest(links: DataFrame) -> DataFrame:
@@ -53,4 +53,5 @@ def components(links: DataFrame, label: str = "components") -> DataFrame:
                 links.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
             )
         before = state
-        links = written(_small_star(_large_star(links)), label)
+        done, links = links, written(_small_star(_large_star(links)), label)
+        forget(done)
