@@ -149,21 +149,21 @@ def blocks_of(page: str | None) -> list[tuple[int, str]]:
     if not page:
         return []
     pieces, tags, kinds = _read(page)
-    closed = _closed(tags)
     for trust in (True, False):
-        out = _blocks(pieces, tags, kinds, closed, trust)
+        out = _blocks(pieces, tags, kinds, trust)
         if out or not any(by_name for _, by_name, _ in kinds.values()):
             break
     return out
 
 
-def _blocks(pieces, tags, kinds, closed, trust: bool) -> list[tuple[int, str]]:
+def _blocks(pieces, tags, kinds, trust: bool) -> list[tuple[int, str]]:
     out: list[tuple[int, str]] = []
     held: list[str] = []
     # Open elements that matter, as (name, number, dropped, mark); others only count.
     stack: list[tuple[str, int, bool, int]] = []
     open_: dict[str, int] = {}
     drops, marks = 0, [OTHER]
+    closed: dict[int, int] | None = None
 
     def flush():
         text = _SPACE.sub(" ", html.unescape("".join(held))).strip() if held else ""
@@ -201,6 +201,7 @@ def _blocks(pieces, tags, kinds, closed, trust: bool) -> list[tuple[int, str]]:
             flush()
         if mark != OTHER and not dropped and drops:
             # Whatever was opened and never closed has ended here.
+            closed = _closed(tags) if closed is None else closed
             while drops and any(d and n not in closed for _, n, d, _ in stack):
                 pop()
         stack.append((name, i, dropped, mark))
@@ -236,7 +237,7 @@ def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([*(part.column(c) for c in ("page_id", "url", "host")), *columns], names=["page_id", "url", "host", "article", "sizes", "text"])
 
 
-def _runs(part: pa.RecordBatch, length: int) -> tuple[Words, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _runs(part: pa.RecordBatch, length: int, with_anchors: bool = True) -> tuple[Words, np.ndarray, np.ndarray, np.ndarray | None, np.ndarray]:
     """The words of the pages, and of each run within a page its place, hash with the host, anchor and page.
 
     Its anchor is the least hash of the shorter runs in it: equal runs have one, and neighbours share it.
@@ -244,11 +245,13 @@ def _runs(part: pa.RecordBatch, length: int) -> tuple[Words, np.ndarray, np.ndar
     words, short = scan(part.column("text")), max(1, length // 2)
     of_words, owner = words.hashes(), words.owner()
     hosts = mix(part.column("host").to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64))
-    hashes, parts = window_hashes(of_words, length), window_hashes(of_words, short)
-    anchors = sliding_min(mix(parts ^ hosts[owner[: len(parts)]]), length - short + 1)
+    hashes = window_hashes(of_words, length)
     places = np.flatnonzero(owner[: len(hashes)] == owner[length - 1 : length - 1 + len(hashes)])
-    pages = owner[places]
-    return words, places, mix(hashes[places] ^ hosts[pages]), anchors[places], pages
+    pages, anchors = owner[places], None
+    if with_anchors:
+        parts = window_hashes(of_words, short)
+        anchors = sliding_min(mix(parts ^ hosts[owner[: len(parts)]]), length - short + 1)[places]
+    return words, places, mix(hashes[places] ^ hosts[pages]), anchors, pages
 
 
 def _on_pages(hashes: np.ndarray, pages: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -300,7 +303,7 @@ def repeated_runs(parsed: DataFrame, size: int, length: int, pages: int, max_bit
     """
     spark = parsed.sparkSession
     rows = parsed.select("host", "text")
-    bits = int(np.clip((size // 4).bit_length(), 16, max_bits))
+    bits = int(np.clip((size // 8).bit_length(), 16, max_bits))
     merged = (
         rows.mapInArrow(lambda b: _sketch(b, length, bits), "row int, segment int, seen binary, twice binary")
         .repartition(spread(None, parsed), "row", "segment")
@@ -322,7 +325,7 @@ def _bits(covered: np.ndarray, first: np.ndarray) -> list[bytes]:
 
 def _covered(part: pa.RecordBatch, length: int, runs: np.ndarray, counts: np.ndarray) -> tuple[Words, np.ndarray]:
     """Which words lie in a known run; of an article, in one that is on enough of its host's pages."""
-    words, places, hashes, _, pages = _runs(part, length)
+    words, places, hashes, _, pages = _runs(part, length, with_anchors=False)
     change = np.zeros(len(words.starts) + 1, dtype=np.int64)
     if len(runs):
         at = np.minimum(np.searchsorted(runs, hashes), len(runs) - 1)
@@ -390,7 +393,7 @@ def _arrays(runs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     found = runs.toArrow()
     run, n = (found.column(c).to_numpy() for c in ("run", "n"))
     order = np.argsort(run.view(np.uint64))
-    return run.view(np.uint64)[order], n[order]
+    return run.view(np.uint64)[order], np.minimum(n[order], (1 << 31) - 1).astype(np.int32)
 
 
 def extract(pages: DataFrame, min_tokens: int = MIN_TOKENS, min_pages: int = MIN_PAGES, broadcast_runs: int = BROADCAST_RUNS) -> DataFrame:
