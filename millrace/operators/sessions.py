@@ -61,3 +61,35 @@ def sessions_any_skew(
     )
     summary = _summary(F.col(ts), F.col(measure))
     return numbered.groupBy(key, "_session").agg(*summary).drop("_session")
+
+
+def session_parts(events: DataFrame, key: str, ts: str, measure: str) -> DataFrame:
+    """Events with a time as sessions of one instant each, in a form that can be merged on."""
+    m = F.col(measure)
+    found = events.where(F.col(ts).isNotNull()).groupBy(key, F.col(ts).alias("session_start")).agg(
+        F.count(F.lit(1)).alias("n"), F.min(m).alias("min_value"), F.max(m).alias("max_value"),
+        F.sum(m).alias("total"), F.count(m).alias("known"),
+    )
+    return found.withColumn("session_end", F.col("session_start"))
+
+
+def merged_sessions(parts: DataFrame, key: str, gap_seconds: int, rows_per_block: int = ROWS_PER_BLOCK) -> DataFrame:
+    """Parts of a key that overlap, or are at most one gap apart, as one. No two parts of a key start together.
+
+    A key with many parts is cut over blocks, and its sessions are added up from partial sums.
+    """
+    blocks = Blocks.plan(parts, [key], ["session_start"], rows_per_block)
+    reached = blocks.running(blocks.assign(parts), {"_reached": running_max(F.col("session_end"))}, inclusive=False)
+    apart = epoch_us(F.col("session_start")) - epoch_us(F.col("_reached"))
+    opens = F.when(apart <= gap_seconds * 1_000_000, 0).otherwise(1)
+    numbered = blocks.running(reached.withColumn("_opens", opens), {"_session": running_sum(F.col("_opens"))}, spread=False)
+    sums = [F.sum(c).cast(parts.schema[c].dataType).alias(c) for c in ("n", "total", "known")]
+    ends = [F.min("session_start").alias("session_start"), F.max("session_end").alias("session_end")]
+    extremes = [F.min("min_value").alias("min_value"), F.max("max_value").alias("max_value")]
+    return numbered.groupBy(key, "_session").agg(*ends, *sums, *extremes).select(*parts.columns)
+
+
+def session_summary(merged: DataFrame, key: str) -> DataFrame:
+    """Merged parts with the columns of ``sessions``."""
+    average = F.when(F.col("known") > 0, F.col("total").cast("double") / F.col("known"))
+    return merged.select(key, "session_start", "session_end", "n", "min_value", "max_value", average.alias("avg_value"))

@@ -26,7 +26,7 @@ from millrace.session import scratch_dir
 from millrace.sources.readers import CORRUPT, records, table_stream, text_lines
 from millrace.sources.replay import replayed
 from millrace.sources.writers import drain, stream_to_text, stream_to_topic, write_text
-from millrace.streaming import builtin, global_order, ordered, stateful
+from millrace.streaming import builtin, global_order, ordered, slots, stateful
 
 HISTOGRAM_QUANTILES = {"p50": 0.5, "p90": 0.9, "p99": 0.99}
 
@@ -119,11 +119,37 @@ def stream_request_timeout(spark: SparkSession, sf_dir: str) -> DataFrame:
     ends = {"close_after": "200 days", "blank": ["id"]}
     requests = _replayed(inputs.requests_of(inputs.table(spark, sf_dir, "orders")), "ts", "stream_requests", **ends)
     shipments = _replayed(inputs.shipments_of(inputs.table(spark, sf_dir, "lineitem")), "shipped", "stream_shipments", **ends)
-    found = builtin.request_timeouts_stream(
-        requests, shipments, "id", "ts", "shipped", "90 days", delay="90 minutes"
-    )
-    answers = _wall_clock(drain(found, "stream_request_timeout"), "ts", "shipped")
-    return answers.groupBy("id", "ts").agg(F.min("shipped").alias("shipped"))
+    found = ordered.first_response_stream(requests, shipments, "id", "ts", "shipped", "90 days", "90 minutes", 60 * 24 * 3600, 8)
+    return _wall_clock(drain(found, "stream_request_timeout", rocksdb=True), "ts", "shipped")
+
+
+def stream_window_join_finished(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The window join made when windows are over, a busy user's cut into a grid."""
+    events = _replayed(inputs.table(spark, sf_dir, "events"), "ts", "stream_window_join_finished", "1 day")
+    clicks = inputs.of_type(events, "click", user_id="user_id", click_id="event_id", click_ts="ts")
+    views = inputs.of_type(events, "view", user_id="user_id", view_id="event_id", view_ts="ts")
+    path, progress = scratch_dir(spark, "stream_pairs"), scratch_dir(spark, "stream_pairs-progress")
+    slots.window_join_finished(clicks, views, "user_id", "click_ts", "view_ts", path, progress, "1 hour", slot="7 days", once=True).awaitTermination()
+    return spark.read.parquet(f"{path}/rows").drop("batch")
+
+
+def stream_sessions_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sessions of finished slots, merged with those that were still open."""
+    rows = inputs.table(spark, sf_dir, "events").select("user_id", "ts", inputs.cents().alias("cents"))
+    events = _replayed(rows, "ts", "stream_sessions_merged", "30 days")
+    path, progress = scratch_dir(spark, "stream_merged"), scratch_dir(spark, "stream_merged-progress")
+    slots.sessions_finished(events, "user_id", "ts", "cents", path, progress, SESSION_GAP, "7 days", once=True).awaitTermination()
+    return spark.read.parquet(f"{path}/rows").drop("batch")
+
+
+def stream_timer_trigger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each event's timer with what set it off, and those that are still open at the end."""
+    rows = inputs.table(spark, sf_dir, "events").select("event_id", "ts")
+    events = _replayed(rows, "ts", "stream_timer_trigger", "30 days")
+    path, progress = scratch_dir(spark, "stream_timers"), scratch_dir(spark, "stream_timers-progress")
+    slots.timer_triggers_finished(events, "ts", "event_id", "25 minutes", path, progress, "7 days", once=True).awaitTermination()
+    still = slots.open_timers(rows, "ts", "25 minutes", path, "7 days")
+    return spark.read.parquet(f"{path}/rows").drop("batch").unionByName(still.withColumn("triggered_by", F.lit(None).cast("bigint")))
 
 
 def stream_event_time_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -204,6 +230,14 @@ def stream_running_max(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _wall_clock(drain(best, "stream_running_max"), "ts")
 
 
+def stream_running_max_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same over blocks, for users of any size."""
+    clicks, views = _clicks_and_views(spark, sf_dir, "stream_running_max_by_key")
+    path, progress = scratch_dir(spark, "stream_key_top"), scratch_dir(spark, "stream_key_top-progress")
+    global_order.running_max_by_key(clicks, views, "user_id", "ts", "event_id", "cents", path, progress, once=True).awaitTermination()
+    return spark.read.parquet(f"{path}/rows").drop("batch")
+
+
 def stream_running_max_global(spark: SparkSession, sf_dir: str) -> DataFrame:
     clicks, views = _clicks_and_views(spark, sf_dir, "stream_running_max_global")
     path, progress = scratch_dir(spark, "stream_top"), scratch_dir(spark, "stream_top-progress")
@@ -244,7 +278,10 @@ STREAMS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         stream_metric_quantiles,
         stream_text,
         stream_window_join,
+        stream_window_join_finished,
+        stream_sessions_merged,
         stream_request_timeout,
+        stream_timer_trigger,
         stream_event_time_sort,
         stream_travel_time,
         stream_asof_join,
@@ -252,6 +289,7 @@ STREAMS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         stream_in_flight,
         stream_in_flight_size,
         stream_running_max,
+        stream_running_max_by_key,
         stream_running_max_global,
         stream_status_hops,
         stream_lookup,
@@ -265,6 +303,9 @@ STREAM_SQL: dict[str, str] = {
     "stream_sessions": oracle.BATCH["sessions"],
     "stream_metric_counts": oracle.BATCH["metric_counts"],
     "stream_window_join": oracle.BATCH["window_join"],
+    "stream_window_join_finished": oracle.BATCH["window_join"],
+    "stream_sessions_merged": oracle.BATCH["sessions"],
+    "stream_timer_trigger": oracle.BATCH["timer_trigger"],
     "stream_request_timeout": oracle.BATCH["request_timeout"],
     "stream_event_time_sort": """
 SELECT user_id, ts, event_id, slot_start,
@@ -297,3 +338,4 @@ SELECT user_id, ts, event_id, CAST(max_so_far AS DOUBLE) AS max_so_far FROM (
                      OVER (PARTITION BY user_id ORDER BY ts, event_id), 0) AS max_so_far
   FROM events) WHERE event_type = 'click'""",
 }
+STREAM_SQL["stream_running_max_by_key"] = STREAM_SQL["stream_running_max"]

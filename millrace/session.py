@@ -84,3 +84,19 @@ def durable(df: DataFrame) -> DataFrame:
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder below the shared one, for stream checkpoints and written tables."""
     return f"{checkpoint_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def _place(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    fs, where = _place(spark, path)
+    fs.mkdirs(where)
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder the library wrote itself; one that is gone already is fine."""
+    fs, where = _place(spark, path)
+    fs.delete(where, True)

@@ -66,16 +66,3 @@ def window_join_stream(
 
     joined = side(left, left_ts).join(side(right, right_ts), [key, "window"])
     return joined.withColumn("window_start", F.col("window.start")).drop("window")
-
-
-def request_timeouts_stream(
-    requests: DataFrame, responses: DataFrame, key: str, request_ts: str, response_ts: str,
-    timeout: str, delay: str,
-) -> DataFrame:
-    """Requests with each response inside the timeout, or NULL once it can no longer come."""
-    left = watermarked(requests, request_ts, delay)
-    right = watermarked(responses.withColumnRenamed(key, "_key"), response_ts, delay)
-    match = (F.col(key) == F.col("_key")) & F.col(response_ts).between(
-        F.col(request_ts), F.col(request_ts) + F.expr(f"INTERVAL {timeout}")
-    )
-    return left.join(right, match, "leftOuter").drop("_key")

@@ -203,3 +203,72 @@ def asof_refined_stream(
     processor = _AsOf(fields, ["us", "side", tie], slot_seconds * 1_000_000, tie, payload, default)
     found = in_order(timed, [key], processor, output)
     return found.select(F.col("key").alias(key), F.timestamp_micros("us").alias(ts), F.col("tie").alias(tie), F.col("info").alias(payload), "is_final")
+
+
+REQUEST, RESPONSE, RUN_OUT = 0, 1, 2
+MICROSECONDS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+
+
+class _FirstResponse(InOrder):
+    """The first response of each request, or none once it can no longer come in time."""
+
+    def __init__(self, fields, order, slot_us, timeout_us: int):
+        super().__init__(fields, order, slot_us)
+        self.timeout_us = timeout_us
+
+    def start(self, handle: StatefulProcessorHandle) -> None:
+        self.waiting = handle.getValueState("waiting", "us array<bigint>, k array<string>, request array<string>")
+
+    def released(self, key: tuple, rows: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        end = (int(rows["us"].iloc[0]) // self.slot_us + 1) * self.slot_us
+        asked = rows.loc[rows["side"] == REQUEST, ["us", "k", "request"]]
+        if self.waiting.exists():
+            before = pd.DataFrame(dict(zip(["us", "k", "request"], self.waiting.get())))
+            asked = pd.concat([before, asked], ignore_index=True)
+            self.waiting.clear()
+        if not len(asked):
+            return
+        asked = asked.astype({"us": "int64", "k": object}).sort_values("us", kind="stable", ignore_index=True)
+        answers = rows.loc[rows["side"] == RESPONSE, ["us", "k"]].astype({"us": "int64", "k": object})
+        answers = answers.assign(answer=answers["us"].astype("Int64")).sort_values("us", kind="stable")
+        found = pd.merge_asof(asked, answers, on="us", by="k", direction="forward", tolerance=self.timeout_us)
+        # Slots come in order: what has no answer in time by the end of this one has none at all.
+        over = (found["answer"].notna() | (found["us"] + self.timeout_us < end)).to_numpy(bool)
+        held = found[~over]
+        if len(held):
+            self.waiting.update((held["us"].tolist(), held["k"].tolist(), held["request"].tolist()))
+        if over.any():
+            yield found.loc[over, ["us", "request", "answer"]]
+
+
+def first_response_stream(
+    requests: DataFrame, responses: DataFrame, key: str, request_ts: str, response_ts: str,
+    timeout: str, delay: str, slot_seconds: int = 60, shards: int = 256,
+) -> DataFrame:
+    """Each request once, with its first response inside the timeout or NULL, as ``request_timeouts`` gives it.
+
+    Keys are dealt over ``shards`` states, in which a request waits for no longer than the timeout and a slot; a shard's requests
+    are answered together. Each request also leaves a mark in the slot in which its time runs out, so that the slot's timer comes
+    even if nothing else does. Rows later than ``delay`` are dropped, and rows without a time. A NULL key is never answered.
+    """
+    timeout_us = int(pd.Timedelta(timeout).total_seconds() * 1_000_000)
+    others = [c for c in requests.columns if c != request_ts]
+    packed = F.to_json(F.struct(*others), MICROSECONDS)
+    k = F.to_json(F.struct(F.col(key).alias("k")), MICROSECONDS)
+    asked = requests.select(F.col(request_ts).alias("_ts"), k.alias("k"), packed.alias("request"), F.array(F.lit(REQUEST), F.lit(RUN_OUT)).alias("sides"))
+    answered = responses.where(F.col(key).isNotNull()).select(
+        F.col(response_ts).alias("_ts"), k.alias("k"), F.lit(None).cast("string").alias("request"), F.array(F.lit(RESPONSE)).alias("sides")
+    )
+    # A watermark on each side: the slower side sets the pace.
+    timed = watermarked(asked, "_ts", delay).unionByName(watermarked(answered, "_ts", delay)).withColumn("side", F.explode("sides"))
+    us = epoch_us(F.col("_ts")) + F.when(F.col("side") == RUN_OUT, F.lit(timeout_us)).otherwise(F.lit(0))
+    timed = timed.select("_ts", F.pmod(F.hash("k"), F.lit(shards)).alias("_shard"), us.alias("us"), "k", "request", "side")
+    kept = ["us", "k", "request", "side"]
+    fields = [T.StructField(c, timed.schema[c].dataType) for c in kept]
+    processor = _FirstResponse(fields, ["us", "side"], slot_seconds * 1_000_000, timeout_us)
+    found = in_order(timed, ["_shard"], processor, "us bigint, request string, answer bigint")
+    kinds = T.StructType([requests.schema[c] for c in others])
+    whole = F.from_json("request", kinds, MICROSECONDS)
+    return found.select(
+        F.timestamp_micros("us").alias(request_ts), whole.alias("_r"), F.timestamp_micros("answer").alias(response_ts)
+    ).select(*[F.col(c) if c == request_ts else F.col(f"_r.{c}") for c in requests.columns], response_ts)

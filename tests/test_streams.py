@@ -205,16 +205,16 @@ def test_window_join_stream_equals_batch(spark, feed):
     assert same(out.select("k", "l", "r"), want.select("k", "l", "r")) and not out.isEmpty()
 
 
-def test_timeout_stream_reports_the_unanswered(spark, feed):
-    schema = "id string, s double"
-    requests = feed(*[timed(spark, b, schema) for b in ([("a", 1.0), ("b", 2.0)], [("c", FAR)], [("d", FAR)])])
-    responses = feed(
-        *[timed(spark, b, schema).withColumnRenamed("ts", "answered") for b in ([("a", 1.02)], [("b", 2.03), ("x", FAR)], [("y", FAR)])]
-    )
-    out = drain(
-        builtin.request_timeouts_stream(requests, responses, "id", "ts", "answered", "25 milliseconds", "1 second"), "timeouts"
-    )
-    assert [(r.id, r.answered is None) for r in out.orderBy("id").collect()] == [("a", False), ("b", True)]
+def test_timeout_stream_gives_the_first_response_or_none(spark, feed):
+    schema = "id string, s double, n bigint"
+    asked = [[("a", 1.0, 1), ("b", 2.0, None), (None, 2.0, 7)], [("a", 1.01, 2), ("c", FAR, 3)], [("d", FAR, 4)]]
+    answered = [[("a", 1.02), ("a", 1.005), ("a", 1.03)], [("b", 2.03), (None, 2.0), ("x", FAR)], [("y", FAR)]]
+    requests = feed(*[timed(spark, b, schema) for b in asked])
+    responses = feed(*[timed(spark, b, "id string, s double").withColumnRenamed("ts", "answered") for b in answered])
+    found = ordered.first_response_stream(requests, responses, "id", "ts", "answered", "25 milliseconds", "1 second", 60, 4)
+    out = ntz(drain(found, "timeouts", rocksdb=True), "ts", "answered")
+    got = {(r.id, r.n): r.answered and (r.answered - at(0)).total_seconds() for r in out.collect()}
+    assert got == {("a", 1): 1.005, ("a", 2): 1.02, ("b", None): None, (None, 7): None} and out.count() == 4
 
 
 def test_word_counts_from_a_folder_that_grows(spark, tmp_path):
