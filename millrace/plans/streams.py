@@ -125,7 +125,8 @@ def stream_request_timeout(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_window_join_finished(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The window join made when windows are over, a busy user's cut into a grid."""
-    events = _replayed(inputs.table(spark, sf_dir, "events"), "ts", "stream_window_join_finished", "1 day")
+    rows = inputs.table(spark, sf_dir, "events").where(F.col("event_type").isin("click", "view"))
+    events = _replayed(rows, "ts", "stream_window_join_finished", "30 days")
     clicks = inputs.of_type(events, "click", user_id="user_id", click_id="event_id", click_ts="ts")
     views = inputs.of_type(events, "view", user_id="user_id", view_id="event_id", view_ts="ts")
     path, progress = scratch_dir(spark, "stream_pairs"), scratch_dir(spark, "stream_pairs-progress")

@@ -256,13 +256,15 @@ def first_response_stream(
     packed = F.to_json(F.struct(*others), MICROSECONDS)
     k = F.to_json(F.struct(F.col(key).alias("k")), MICROSECONDS)
     asked = requests.select(F.col(request_ts).alias("_ts"), k.alias("k"), packed.alias("request"), F.array(F.lit(REQUEST), F.lit(RUN_OUT)).alias("sides"))
-    answered = responses.where(F.col(key).isNotNull()).select(
-        F.col(response_ts).alias("_ts"), k.alias("k"), F.lit(None).cast("string").alias("request"), F.array(F.lit(RESPONSE)).alias("sides")
+    # No request has the empty text. Responses without a key stay, because their times move the watermark.
+    answered = responses.select(
+        F.col(response_ts).alias("_ts"), F.when(F.col(key).isNull(), F.lit("")).otherwise(k).alias("k"), F.lit(None).cast("string").alias("request"), F.array(F.lit(RESPONSE)).alias("sides")
     )
     # A watermark on each side: the slower side sets the pace.
     timed = watermarked(asked, "_ts", delay).unionByName(watermarked(answered, "_ts", delay)).withColumn("side", F.explode("sides"))
     us = epoch_us(F.col("_ts")) + F.when(F.col("side") == RUN_OUT, F.lit(timeout_us)).otherwise(F.lit(0))
-    timed = timed.select("_ts", F.pmod(F.hash("k"), F.lit(shards)).alias("_shard"), us.alias("us"), "k", "request", "side")
+    dealt = F.hash(F.when(F.col("k") == "", us.cast("string")).otherwise(F.col("k")))
+    timed = timed.select("_ts", F.pmod(dealt, F.lit(shards)).alias("_shard"), us.alias("us"), "k", "request", "side")
     kept = ["us", "k", "request", "side"]
     fields = [T.StructField(c, timed.schema[c].dataType) for c in kept]
     processor = _FirstResponse(fields, ["us", "side"], slot_seconds * 1_000_000, timeout_us)
