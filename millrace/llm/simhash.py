@@ -126,7 +126,6 @@ def ball_links(prints: DataFrame, max_bits: int = MAX_BITS, blocks: int = BLOCKS
         .where("least <> most")
         .withColumn("bits", _distance(F.col("fp"), F.col("least")))
         .withColumn("widest", F.max("bits").over(of_bucket))
-        .withColumn("other", F.max(F.struct("bits", "fp")).over(of_bucket)["fp"])
         .where((F.col("widest") > max_bits) | (F.col("fp") != F.col("least")))
         .drop("most")
     )
@@ -134,9 +133,6 @@ def ball_links(prints: DataFrame, max_bits: int = MAX_BITS, blocks: int = BLOCKS
     near = buckets.where((F.col("fp") != F.col("least")) & (F.col("bits") <= max_bits)).select(
         F.col("fp").alias("u"), F.col("least").alias("v")
     )
-    # What is too far from the least member is often close to the one farthest from it.
-    across = (F.col("widest") > max_bits) & (F.col("fp") != F.col("other")) & (_distance(F.col("fp"), F.col("other")) <= max_bits)
-    near = near.unionByName(buckets.where(across).select(F.greatest("fp", "other").alias("u"), F.least("fp", "other").alias("v")))
     # A bucket whose members the first links connect already has nothing to add.
     so_far = components(near, "simhash-near")
     of_bucket = Window.partitionBy("block", "key")
