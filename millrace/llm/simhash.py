@@ -10,7 +10,9 @@ of the 2,081 of the whole ball. Buckets are then linked without making pairs:
 * buckets with a member too far from the least one, and not yet connected as a whole by the
   links so far, are dealt out once more by the masked block: a value and its one-bit variants share a place, and two members there, one of them
   unflipped, differ by at most 2 + 1 bits. Members with equal unmasked bits meet the same way
-  within three bits of the block (one side one flip, the other two).
+  within three bits of the block (one side one flip, the other two);
+* only members that may have a partner are dealt out: a pair that differs in one masked bit agrees in a half of
+  the block, one that differs in three agrees in a quarter.
 
 Every link is between different fingerprints and verified; equal ones are one row from the
 start. So a bucket of n fingerprints makes links in proportion to n, and none is lost.
@@ -104,6 +106,24 @@ def _distance(a: Column, b: Column) -> Column:
     return F.bit_count(a.bitwiseXOR(b))
 
 
+def _parts(layout: list[range], n: int) -> list[Column]:
+    """The masked block of a row's ``fp`` in ``n`` parts."""
+    out = []
+    for i in range(n):
+        part = F.lit(0).cast("bigint")
+        for k, bits in enumerate(layout):
+            own = list(bits)[len(bits) * i // n : len(bits) * (i + 1) // n]
+            part = F.when(F.col("block") == k, F.col("fp").bitwiseAND(F.lit(_mask(own)))).otherwise(part)
+        out.append(part)
+    return out
+
+
+def _differ(column: str, *groups: Column | str) -> Column:
+    """Does the column have several values in the row's group?"""
+    group = Window.partitionBy(*groups)
+    return F.min(column).over(group) != F.max(column).over(group)
+
+
 def ball_links(prints: DataFrame, max_bits: int = MAX_BITS, blocks: int = BLOCKS) -> DataFrame:
     """Links ``(u, v)``, u > v, whose components are those of all distinct ``fp`` linked within ``max_bits``.
 
@@ -135,34 +155,38 @@ def ball_links(prints: DataFrame, max_bits: int = MAX_BITS, blocks: int = BLOCKS
     )
     # A bucket whose members the first links connect already has nothing to add.
     so_far = components(near, "simhash-near")
-    of_bucket = Window.partitionBy("block", "key")
-    wide = (
+    apart = (
         buckets.where(F.col("widest") > max_bits)
         .select("block", "same", "key", "fp")
         .join(so_far.select(F.col("node").alias("fp"), "component"), "fp", "left")
         .withColumn("component", F.coalesce("component", "fp"))
-        .withColumn("from", F.min("component").over(of_bucket))
-        .withColumn("to", F.max("component").over(of_bucket))
-        .where("from <> to")
+        .withColumn("several", _differ("component", "block", "key"))
+        .where("several")
         .withColumn("size", F.count(F.lit(1)).over(Window.partitionBy("block", "key", "component")))
         .withColumn("largest", F.max(F.struct("size", "component")).over(of_bucket)["component"])
-        .withColumn("twin_from", F.min(F.when(F.col("same"), F.col("component"))).over(of_bucket))
-        .withColumn("twin_to", F.max(F.when(F.col("same"), F.col("component"))).over(of_bucket))
-        .select(
-            "block",
-            (F.col("same") & (F.col("twin_from") != F.col("twin_to"))).alias("twin"),
-            # The largest component waits: the others' variants come to its members.
-            (F.col("component") == F.col("largest")).alias("waits"),
-            "key",
-            "fp",
-        )
     )
+    # Two members a masked bit apart agree in one half of the masked block, twins in a part of max_bits + 1: who
+    # agrees with no other component there has no partner left.
+    crossed = F.lit(False)
+    for part in _parts(layout, 2):
+        crossed = crossed | _differ("component", "block", "key", part)
+    twin = F.lit(False)
+    for part in _parts(layout, max_bits + 1):
+        twin = twin | _differ("component", "block", "key", "same", part)
+    wide = (
+        apart.withColumn("crossed", crossed)
+        .withColumn("twin", F.col("same") & twin)
+        .where("crossed or twin")
+        # The largest component waits: the others' variants come to its members.
+        .select("block", "crossed", "twin", (F.col("component") == F.col("largest")).alias("waits"), "key", "fp")
+    )
+    wide = written(wide, "simhash-wide")
     alone = F.array(F.lit(0).cast("bigint"))
     places = []
     for k, bits in enumerate(layout):
         inside = F.lit(_mask(bits))
         own = wide.where(F.col("block") == k)
-        one = own.select("block", "key", F.lit(False).alias("far"), "fp", F.posexplode(F.transform(F.when(F.col("waits"), alone).otherwise(_flips(bits)), lambda f: F.col("fp").bitwiseXOR(f).bitwiseAND(inside))).alias("nth", "place"))
+        one = own.where("crossed").select("block", "key", F.lit(False).alias("far"), "fp", F.posexplode(F.transform(F.when(F.col("waits"), alone).otherwise(_flips(bits)), lambda f: F.col("fp").bitwiseXOR(f).bitwiseAND(inside))).alias("nth", "place"))
         places.append(one.withColumn("core", F.col("nth") == 0).drop("nth"))
         twins = own.where("twin")
         for flips, core in ((_flips(bits), True), (_double_flips(bits), False)):

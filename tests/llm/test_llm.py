@@ -77,8 +77,9 @@ def brute_groups(prints, bits):
     return {p: root(p) for p in prints}
 
 
-def test_ball_links_on_crowded_fingerprints(spark):
-    rng = np.random.default_rng(3)
+@pytest.mark.parametrize("blocks, seed", [(3, 3), (3, 5), (2, 4)])
+def test_ball_links_on_crowded_fingerprints(spark, blocks, seed):
+    rng = np.random.default_rng(seed)
     centres = rng.integers(0, 1 << 62, 4).tolist()
     prints = set()
     for c in centres:
@@ -89,7 +90,7 @@ def test_ball_links_on_crowded_fingerprints(spark):
         prints.add(c ^ sum(1 << f for f in low))
     want = brute_groups(sorted(prints), 3)
     signed = lambda p: p - (1 << 64) if p >= 1 << 63 else p
-    links = simhash.ball_links(spark.createDataFrame([(signed(p),) for p in prints], "fp bigint"))
+    links = simhash.ball_links(spark.createDataFrame([(signed(p),) for p in prints], "fp bigint"), blocks=blocks)
     found = {r.node % (1 << 64): r.component % (1 << 64) for r in components(links).collect()}
     groups = {}
     for p in prints:
