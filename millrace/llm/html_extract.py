@@ -23,6 +23,7 @@ from __future__ import annotations
 import html
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +38,7 @@ MIN_TOKENS, MIN_PAGES = 6, 3
 MANY_PAGES, MANY_SHARE = 8, 2
 MAX_BITS = 28
 BROADCAST_RUNS = 1 << 23
+REMEMBERED_TAG = 256
 
 SILENT = frozenset("script style noscript template title svg math iframe object canvas audio video select textarea".split())
 ASIDE = frozenset("nav header footer aside form button dialog menu".split())
@@ -56,12 +58,10 @@ INLINE = frozenset("a abbr b bdi bdo cite code data dfn em font i ins del kbd ma
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 # Every alternative starts differently and is never given back, so a tag is read once. A quoted value may hold ">".
 _TAG = re.compile(
-    r"<!--(?:(?s:.)*?-->|(?s:.)*)|<!\[CDATA\[(?:(?s:.)*?\]\]>|(?s:.)*)|<[!?][^>]*+>?|</?[A-Za-z](?:[^>=]|=\s*+(?:\"[^\"]*+\"|'[^']*+')|=)*+(?:>|\Z)"
+    r"<!--(?:(?s:.)*?-->|(?s:.)*)|<!\[CDATA\[(?:(?s:.)*?\]\]>|(?s:.)*)|<[!?][^>]*+>?|<(/?)(?=([A-Za-z][^\s/>]*+))[A-Za-z](?:[^>=]|=\s*+(?:\"[^\"]*+\"|'[^']*+')|=)*+(?:>|\Z)"
 )
-_NAME = re.compile(r"<(/?)([A-Za-z][^\s/>]*)")
 _ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*+=\s*+(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
-_SPACE = re.compile(r"\s+")
 _PARTS = re.compile(r"(?<=[a-z])(?=[A-Z])|[^A-Za-z]+")
 
 OTHER, MAIN, ARTICLE = 0, 1, 2
@@ -91,6 +91,9 @@ def _kind_of(name: str, tag: str) -> tuple[bool, bool, int]:
     return by_element, role in ASIDE_ROLES or any(map(_aside_name, names)), mark
 
 
+_known_kind = lru_cache(maxsize=1 << 14)(_kind_of)
+
+
 def _closed(tags: list[tuple[bool, str, int]]) -> dict[int, int]:
     """For each opening tag with an end tag of its own: the place of that in the list.
 
@@ -120,12 +123,11 @@ def _read(page: str) -> tuple[list[tuple[int, str]], list[tuple[bool, str, int]]
         if not found:
             break
         at, tag = found.end(), found[0]
-        head = _NAME.match(tag)
-        if not head:
+        if not found[2]:
             continue
         if not tag.endswith(">"):
             break  # the page ends within a tag
-        closing, name = bool(head[1]), head[2].lower()
+        closing, name = bool(found[1]), found[2].lower()
         if name in SILENT and not closing:
             close = re.compile(rf"</{re.escape(name)}\s*+>", re.I).search(page, at)
             at = close.end() if close else end
@@ -135,7 +137,7 @@ def _read(page: str) -> tuple[list[tuple[int, str]], list[tuple[bool, str, int]]
             tags.append((True, "" if name in INLINE and name != "br" else "br", len(tags)))
             continue
         if not closing:
-            kinds[len(tags)] = _kind_of(name, tag)
+            kinds[len(tags)] = (_known_kind if len(tag) <= REMEMBERED_TAG else _kind_of)(name, tag)
         tags.append((closing, name, len(tags)))
     return pieces, tags, kinds
 
@@ -166,10 +168,11 @@ def _blocks(pieces, tags, kinds, trust: bool) -> list[tuple[int, str]]:
     closed: dict[int, int] | None = None
 
     def flush():
-        text = _SPACE.sub(" ", html.unescape("".join(held))).strip() if held else ""
+        if held and not drops:
+            text = " ".join(html.unescape("".join(held)).split())
+            if text:
+                out.append((marks[-1], text))
         held.clear()
-        if text and not drops:
-            out.append((marks[-1], text))
 
     def pop():
         nonlocal drops
