@@ -36,6 +36,7 @@ SHINGLE_WORDS = 3
 MAX_BITS = 3
 SEED = 42
 BLOCKS = 3
+TASK_PRINTS = 1 << 16
 _PIECE = 1 << 16
 
 
@@ -135,7 +136,8 @@ def ball_links(prints: DataFrame, max_bits: int = MAX_BITS, blocks: int = BLOCKS
     # The masked bits of a key are set to the number of the mask, which tells the masks apart.
     keyed = F.concat(*[_masked_keys(k, bits) for k, bits in enumerate(layout)])
     # A fingerprint becomes some hundred keys, so the few bytes that come in are dealt out first.
-    spread_out = prints.repartition(spread(None, prints), "fp").select("fp", F.posexplode(keyed).alias("nth", "key"))
+    tasks = max(spread(None, prints), prints.count() // TASK_PRINTS)
+    spread_out = prints.repartition(tasks, "fp").select("fp", F.posexplode(keyed).alias("nth", "key"))
     bounds = np.cumsum([0] + [65 - len(bits) for bits in layout]).tolist()
     block = sum((F.when(F.col("nth") >= edge, 1).otherwise(0) for edge in bounds[1:-1]), F.lit(0))
     of_bucket = Window.partitionBy("block", "key")
@@ -213,7 +215,7 @@ def ball_links(prints: DataFrame, max_bits: int = MAX_BITS, blocks: int = BLOCKS
 
 def _components(prints: DataFrame, max_bits: int, blocks: int) -> DataFrame:
     """``(fp, component)`` of every fingerprint, with the least ``doc_id`` that has it."""
-    distinct = prints.groupBy("fp").agg(F.min("doc_id").alias("least_doc"))
+    distinct = written(prints.groupBy("fp").agg(F.min("doc_id").alias("least_doc")), "simhash-distinct")
     nodes = components(ball_links(distinct.select("fp"), max_bits, blocks), "simhash-components")
     return distinct.join(nodes.withColumnRenamed("node", "fp"), "fp", "left").select(
         "fp", "least_doc", F.coalesce("component", "fp").alias("component")
