@@ -1,7 +1,7 @@
 """Rows held back until the watermark has passed them, then handled in event-time order.
 
 State is kept through ``transformWithState``: a key has one buffer per time slot, and each
-micro-batch appends one chunk to the slots it touches, so what a micro-batch writes does not grow with what waits.
+micro-batch appends chunks to the slots it touches, so what a micro-batch writes does not grow with what waits.
 One timer per slot, at its end, releases it: by then no row of the slot can come any more, and
 all earlier slots of the key have been released. So the order is that of the batch operators, whatever the
 order of arrival inside the delay and however the input lies in files.
@@ -17,8 +17,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -30,8 +31,39 @@ from millrace.operators.travel_time import ride_features
 from millrace.streaming.builtin import watermarked
 
 
+# How many rows of a state are taken from a micro-batch at once, and how many states a shard of keys is dealt over.
+ROWS_AT_ONCE = 1 << 16
+PARTS = 4
+
+
+def packed(frame: pd.DataFrame) -> tuple[bytes]:
+    """Rows as one binary value of the state."""
+    batch = pa.RecordBatch.from_pandas(frame, preserve_index=False).replace_schema_metadata(None)
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="lz4")) as out:
+        out.write_batch(batch)
+    return (sink.getvalue().to_pybytes(),)
+
+
+def unpacked(value: tuple[bytes]) -> pd.DataFrame:
+    return pa.ipc.open_stream(value[0]).read_all().to_pandas()
+
+
+def gathered(frames: Iterator[pd.DataFrame], names: list[str], limit: int = ROWS_AT_ONCE) -> Iterator[pd.DataFrame]:
+    """The frames in runs of about ``limit`` rows."""
+    held, size = [], 0
+    for frame in frames:
+        held.append(frame[names])
+        size += len(frame)
+        if size >= limit:
+            yield pd.concat(held, ignore_index=True)
+            held, size = [], 0
+    if held:
+        yield pd.concat(held, ignore_index=True)
+
+
 class InOrder(StatefulProcessor):
-    """Hands the rows of each slot to ``handle``, sorted by ``order``, slot after slot.
+    """Hands the rows of each slot to ``released``, sorted by ``order``, slot after slot.
 
     ``fields`` are the columns to keep; the first is the time in microseconds, ``us``.
     """
@@ -42,9 +74,7 @@ class InOrder(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle_ = handle
-        chunk = T.StructType([T.StructField("slot", T.LongType()), T.StructField("nth", T.IntegerType())])
-        columns = T.StructType([T.StructField(f.name, T.ArrayType(f.dataType)) for f in self.fields])
-        self.chunks = handle.getMapState("chunks", chunk, columns)
+        self.chunks = handle.getMapState("chunks", "slot bigint, nth int", "rows binary")
         self.sizes = handle.getMapState("sizes", "slot bigint", "n int")
         self.start(handle)
 
@@ -52,38 +82,55 @@ class InOrder(StatefulProcessor):
         """Set up what the subclass remembers."""
 
     @abstractmethod
-    def released(self, key: tuple, rows: pd.DataFrame) -> Iterator[pd.DataFrame]:
+    def released(self, key: tuple, slot: int, rows: pd.DataFrame) -> Iterator[pd.DataFrame]:
         """The answer to the rows of one slot."""
 
+    def wakes(self, rows: pd.DataFrame) -> np.ndarray:
+        """Further times at which these rows' key is to be asked, in microseconds."""
+        return np.zeros(0, dtype=np.int64)
+
     def _end_ms(self, slot: int) -> int:
         return -(-(slot + 1) * self.slot_us // 1000)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        frame = pd.concat(list(rows), ignore_index=True)[self.names]
         watermark = timerValues.getCurrentWatermarkInMs()
-        slots = frame["us"] // self.slot_us
-        for slot, own in frame.groupby(slots, sort=True):
-            slot = int(slot)
-            if self._end_ms(slot) <= watermark:
-                continue  # released before: the rows are late
-            n = self.sizes.getValue((slot,))[0] if self.sizes.containsKey((slot,)) else 0
-            if not n:
-                self.handle_.registerTimer(self._end_ms(slot))
-            lists = tuple([None if pd.isna(v) else v for v in own[c].tolist()] for c in self.names)
-            self.chunks.updateValue((slot, n), lists)
-            self.sizes.updateValue((slot,), (n + 1,))
+        before, sizes = {}, {}
+
+        def chunks_of(slot: int) -> int:
+            if slot not in sizes:
+                found = self.sizes.getValue((slot,)) if self.sizes.containsKey((slot,)) else None
+                before[slot] = sizes[slot] = found[0] if found else 0
+                if not found:
+                    before[slot] = None
+                    self.handle_.registerTimer(self._end_ms(slot))
+            return sizes[slot]
+
+        for frame in gathered(rows, self.names):
+            frame = frame[frame["us"].notna()]
+            for slot, own in frame.groupby(frame["us"].astype("int64") // self.slot_us, sort=True):
+                slot = int(slot)
+                if self._end_ms(slot) <= watermark:
+                    continue  # released before: the rows are late
+                n = chunks_of(slot)
+                self.chunks.updateValue((slot, n), packed(own))
+                sizes[slot] = n + 1
+                for later in np.unique(self.wakes(own) // self.slot_us).tolist():
+                    chunks_of(later)
+        for slot, n in sizes.items():
+            if n != before[slot]:
+                self.sizes.updateValue((slot,), (n,))
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         slot = expiredTimerInfo.getExpiryTimeInMs() * 1000 // self.slot_us - 1
         n = self.sizes.getValue((slot,))[0]
-        parts = []
+        parts = [pd.DataFrame(columns=self.names)] if not n else []
         for nth in range(n):
-            parts.append(pd.DataFrame(dict(zip(self.names, self.chunks.getValue((slot, nth))))))
+            parts.append(unpacked(self.chunks.getValue((slot, nth))))
             self.chunks.removeKey((slot, nth))
         self.sizes.removeKey((slot,))
         rows = pd.concat(parts, ignore_index=True).sort_values(self.order, kind="stable", ignore_index=True)
-        yield from self.released(key, rows)
+        yield from self.released(key, slot, rows)
 
     def close(self) -> None:
         pass
@@ -104,7 +151,7 @@ class _TravelTimes(InOrder):
     def start(self, handle: StatefulProcessorHandle) -> None:
         self.sums = handle.getValueState("sums", "n string, sx string, sy string, sxx string, sxy string")
 
-    def released(self, key: tuple, rows: pd.DataFrame) -> Iterator[pd.DataFrame]:
+    def released(self, key: tuple, slot: int, rows: pd.DataFrame) -> Iterator[pd.DataFrame]:
         start = rows["is_start"].to_numpy(dtype=bool)
         x, y = rows["distance"].to_numpy(float), rows["duration"].to_numpy(float)
         trains = ~start & ~np.isnan(x) & ~np.isnan(y)
@@ -138,75 +185,92 @@ def travel_time_stream(rides: DataFrame, grid: GridSpec, delay: str = "60 second
     return in_order(timed, ["cell", "bucket"], processor, "ride_id bigint, cell int, bucket int, minutes int")
 
 
+MICROSECONDS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+
+
 class _AsOf(InOrder):
-    """The newest info at or before each trade, twice: as known on arrival, and as it is."""
+    """The newest info at or before each trade, twice: as known on arrival, and as it is.
+
+    A state has many keys, ``k`` names a row's; they are answered together.
+    """
 
     def __init__(self, fields, order, slot_us, tie: str, payload: str, default: str):
         super().__init__(fields, order, slot_us)
         self.tie, self.payload, self.default = tie, payload, default
 
     def start(self, handle: StatefulProcessorHandle) -> None:
-        # The newest released info, and the newest seen at all.
-        self.settled = handle.getValueState("settled", "us bigint, info string")
-        self.newest = handle.getValueState("newest", "us bigint, info string")
-
-    def _answers(self, key, us, trades, infos, is_final: bool) -> pd.DataFrame:
-        return pd.DataFrame({"key": [key[0]] * len(us), "us": us, "tie": trades, "info": infos, "is_final": is_final})
+        # Per key the newest released info, and the newest seen at all.
+        self.settled = handle.getValueState("settled", "infos binary")
+        self.newest = handle.getValueState("newest", "infos binary")
+
+    def _known(self, rows: pd.DataFrame, *states) -> pd.DataFrame:
+        """Infos in the order of their times; of one time, those of a later state are later, and the rows' own come last."""
+        own = rows.loc[rows["side"] == 0, ["us", "k", self.payload]].set_axis(["us", "k", "info"], axis=1)
+        frames = [f for f in (*(unpacked(s.get()) for s in states if s.exists()), own) if len(f)] or [own]
+        known = pd.concat(frames, ignore_index=True).astype({"us": "int64", "k": object, "info": object})
+        return known.sort_values("us", kind="stable", ignore_index=True)
+
+    def _answers(self, rows: pd.DataFrame, known: pd.DataFrame, is_final: bool) -> Iterator[pd.DataFrame]:
+        trades = rows.loc[rows["side"] == 1, ["us", "k", self.tie]].set_axis(["us", "k", "tie"], axis=1).astype({"us": "int64", "k": object})
+        if len(trades):
+            found = pd.merge_asof(trades, known.assign(hit=True), on="us", by="k")
+            info = found["info"].astype(object).where(found["hit"].notna(), self.default)
+            yield pd.DataFrame({"k": found["k"], "us": found["us"], "tie": found["tie"], "info": info.where(info.notna(), None), "is_final": is_final})
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         frame = pd.concat(list(rows), ignore_index=True)[self.names].sort_values(self.order, kind="stable", ignore_index=True)
-        known = [s.get() for s in (self.settled, self.newest) if s.exists()]
-        trades, infos = frame[frame["side"] == 1], frame[frame["side"] == 0]
-        known = sorted([*known, *zip(infos["us"].tolist(), infos[self.payload].tolist())], key=lambda k: k[0])
-        if len(infos):
-            self.newest.update(known[-1])
-        if len(trades):
-            times, us = np.array([k[0] for k in known], dtype=np.int64), trades["us"].to_numpy(np.int64)
-            at = np.searchsorted(times, us, side="right") - 1
-            yield self._answers(key, us, trades[self.tie].to_numpy(), [known[i][1] if i >= 0 else self.default for i in at], False)
-        yield from super().handleInputRows(key, iter((frame,)), timerValues)
-
-    def released(self, key: tuple, rows: pd.DataFrame) -> Iterator[pd.DataFrame]:
-        is_info = (rows["side"] == 0).to_numpy()
-        before = self.settled.get() if self.settled.exists() else (None, self.default)
-        # Which info is the last one at each row; the one before the slot is number zero.
-        infos = [before[1], *rows[self.payload][is_info].tolist()]
-        last = np.cumsum(is_info)
-        if is_info.any():
-            self.settled.update((int(rows["us"][is_info].iloc[-1]), infos[-1]))
-        trades = rows[~is_info]
-        if len(trades):
-            yield self._answers(key, trades["us"].to_numpy(), trades[self.tie].to_numpy(), [infos[i] for i in last[~is_info]], True)
+        timed = frame[frame["us"].notna()]
+        known = self._known(timed, self.settled, self.newest)
+        if (timed["side"] == 0).any():
+            self.newest.update(packed(known.drop_duplicates("k", keep="last")))
+        yield from self._answers(timed, known, False)
+        never = frame.loc[frame["us"].isna() & (frame["side"] == 1), ["k", self.tie]].set_axis(["k", "tie"], axis=1)
+        if len(never):
+            yield never.assign(us=None, info=self.default, is_final=False)[["k", "us", "tie", "info", "is_final"]]
+        yield from super().handleInputRows(key, iter((timed,)), timerValues)
+
+    def released(self, key: tuple, slot: int, rows: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        known = self._known(rows, self.settled)
+        if (rows["side"] == 0).any():
+            self.settled.update(packed(known.drop_duplicates("k", keep="last")))
+        yield from self._answers(rows, known, True)
+
+
+def _key_text(key: str) -> Column:
+    return F.to_json(F.struct(F.col(key).alias("k")), MICROSECONDS)
 
 
 def asof_refined_stream(
-    trades: DataFrame, infos: DataFrame, key: str, ts: str, tie: str, payload: str, delay: str, slot_seconds: int = 3600, default: str = NO_INFO
+    trades: DataFrame, infos: DataFrame, key: str, ts: str, tie: str, payload: str, delay: str, slot_seconds: int = 3600, default: str = NO_INFO,
+    shards: int = 16,
 ) -> DataFrame:
     """``(key, ts, tie, payload, is_final)``: an early answer to each trade on arrival, and the final one later.
 
     The early one is a guess from what the key has seen. The final one comes once the watermark has passed the slot,
     for every trade that was not later than ``delay``, and equals the batch join's: infos of one time are ordered
     by ``tie``. Later trades get an early answer only, so no final one is wrong. Behind the watermark one info of a key is kept.
-    A NULL key matches nothing.
+    A NULL key matches nothing, and so does a trade without a time, which has no final answer. Keys are dealt over ``shards`` times ``PARTS`` states.
     """
     sides = trades.select(key, ts, tie, F.lit(None).cast("string").alias(payload), F.lit(1).alias("side")).unionByName(
         infos.where(F.col(key).isNotNull()).select(key, ts, tie, payload, F.lit(0).alias("side"))
     )
-    timed = watermarked(sides, ts, delay).withColumn("us", epoch_us(F.col(ts)))
-    kept = ["us", tie, payload, "side"]
-    timed = timed.select(key, ts, *kept)
+    kept = ["us", "k", tie, payload, "side"]
+    # Trades without a key match nothing, so any state has an answer to them.
+    dealt = F.hash(F.coalesce(F.col(key).cast("string"), F.col(tie).cast("string")))
+    timed = watermarked(sides, ts, delay).withColumns({"us": epoch_us(F.col(ts)), "k": _key_text(key), "_shard": F.pmod(dealt, F.lit(shards * PARTS))})
+    timed = timed.select("_shard", ts, *kept)
     fields = [T.StructField(c, timed.schema[c].dataType) for c in kept]
     output = T.StructType([
-        T.StructField("key", timed.schema[key].dataType), T.StructField("us", T.LongType()), T.StructField("tie", timed.schema[tie].dataType),
+        T.StructField("k", T.StringType()), T.StructField("us", T.LongType()), T.StructField("tie", timed.schema[tie].dataType),
         T.StructField("info", T.StringType()), T.StructField("is_final", T.BooleanType()),
     ])
     processor = _AsOf(fields, ["us", "side", tie], slot_seconds * 1_000_000, tie, payload, default)
-    found = in_order(timed, [key], processor, output)
-    return found.select(F.col("key").alias(key), F.timestamp_micros("us").alias(ts), F.col("tie").alias(tie), F.col("info").alias(payload), "is_final")
+    found = in_order(timed, ["_shard"], processor, output)
+    whole = F.from_json("k", T.StructType([T.StructField("k", trades.schema[key].dataType)]), MICROSECONDS)["k"]
+    return found.select(whole.alias(key), F.timestamp_micros("us").alias(ts), F.col("tie").alias(tie), F.col("info").alias(payload), "is_final")
 
 
-REQUEST, RESPONSE, RUN_OUT = 0, 1, 2
-MICROSECONDS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+REQUEST, RESPONSE = 0, 1
 
 
 class _FirstResponse(InOrder):
@@ -217,14 +281,18 @@ class _FirstResponse(InOrder):
         self.timeout_us = timeout_us
 
     def start(self, handle: StatefulProcessorHandle) -> None:
-        self.waiting = handle.getValueState("waiting", "us array<bigint>, k array<string>, request array<string>")
+        self.waiting = handle.getValueState("waiting", "requests binary")
+
+    def wakes(self, rows: pd.DataFrame) -> np.ndarray:
+        # A request's time runs out in a slot whose timer has to come even if nothing else does.
+        return rows.loc[rows["side"] == REQUEST, "us"].to_numpy(np.int64) + self.timeout_us
 
-    def released(self, key: tuple, rows: pd.DataFrame) -> Iterator[pd.DataFrame]:
-        end = (int(rows["us"].iloc[0]) // self.slot_us + 1) * self.slot_us
+    def released(self, key: tuple, slot: int, rows: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        end = (slot + 1) * self.slot_us
         asked = rows.loc[rows["side"] == REQUEST, ["us", "k", "request"]]
         if self.waiting.exists():
-            before = pd.DataFrame(dict(zip(["us", "k", "request"], self.waiting.get())))
-            asked = pd.concat([before, asked], ignore_index=True)
+            before = unpacked(self.waiting.get())
+            asked = pd.concat([before, asked], ignore_index=True) if len(asked) else before
             self.waiting.clear()
         if not len(asked):
             return
@@ -236,7 +304,7 @@ class _FirstResponse(InOrder):
         over = (found["answer"].notna() | (found["us"] + self.timeout_us < end)).to_numpy(bool)
         held = found[~over]
         if len(held):
-            self.waiting.update((held["us"].tolist(), held["k"].tolist(), held["request"].tolist()))
+            self.waiting.update(packed(held[["us", "k", "request"]]))
         if over.any():
             yield found.loc[over, ["us", "request", "answer"]]
 
@@ -247,24 +315,24 @@ def first_response_stream(
 ) -> DataFrame:
     """Each request once, with its first response inside the timeout or NULL, as ``request_timeouts`` gives it.
 
-    Keys are dealt over ``shards`` states, in which a request waits for no longer than the timeout and a slot; a shard's requests
-    are answered together. Each request also leaves a mark in the slot in which its time runs out, so that the slot's timer comes
-    even if nothing else does. Rows later than ``delay`` are dropped, and rows without a time. A NULL key is never answered.
+    Keys are dealt over ``shards`` times ``PARTS`` states, in which a request waits for no longer than the timeout and a slot; a state's
+    requests are answered together. Each request also sets the timer of the slot in which its time runs out. Rows later than ``delay``
+    are dropped, and rows without a time. A NULL key is never answered.
     """
     timeout_us = int(pd.Timedelta(timeout).total_seconds() * 1_000_000)
     others = [c for c in requests.columns if c != request_ts]
-    packed = F.to_json(F.struct(*others), MICROSECONDS)
-    k = F.to_json(F.struct(F.col(key).alias("k")), MICROSECONDS)
-    asked = requests.select(F.col(request_ts).alias("_ts"), k.alias("k"), packed.alias("request"), F.array(F.lit(REQUEST), F.lit(RUN_OUT)).alias("sides"))
+    whole = F.to_json(F.struct(*others), MICROSECONDS)
+    k = _key_text(key)
+    asked = requests.select(F.col(request_ts).alias("_ts"), k.alias("k"), whole.alias("request"), F.lit(REQUEST).alias("side"))
     # No request has the empty text. Responses without a key stay, because their times move the watermark.
     answered = responses.select(
-        F.col(response_ts).alias("_ts"), F.when(F.col(key).isNull(), F.lit("")).otherwise(k).alias("k"), F.lit(None).cast("string").alias("request"), F.array(F.lit(RESPONSE)).alias("sides")
+        F.col(response_ts).alias("_ts"), F.when(F.col(key).isNull(), F.lit("")).otherwise(k).alias("k"), F.lit(None).cast("string").alias("request"), F.lit(RESPONSE).alias("side")
     )
     # A watermark on each side: the slower side sets the pace.
-    timed = watermarked(asked, "_ts", delay).unionByName(watermarked(answered, "_ts", delay)).withColumn("side", F.explode("sides"))
-    us = epoch_us(F.col("_ts")) + F.when(F.col("side") == RUN_OUT, F.lit(timeout_us)).otherwise(F.lit(0))
+    timed = watermarked(asked, "_ts", delay).unionByName(watermarked(answered, "_ts", delay))
+    us = epoch_us(F.col("_ts"))
     dealt = F.hash(F.when(F.col("k") == "", us.cast("string")).otherwise(F.col("k")))
-    timed = timed.select("_ts", F.pmod(dealt, F.lit(shards)).alias("_shard"), us.alias("us"), "k", "request", "side")
+    timed = timed.select("_ts", F.pmod(dealt, F.lit(shards * PARTS)).alias("_shard"), us.alias("us"), "k", "request", "side")
     kept = ["us", "k", "request", "side"]
     fields = [T.StructField(c, timed.schema[c].dataType) for c in kept]
     processor = _FirstResponse(fields, ["us", "side"], slot_seconds * 1_000_000, timeout_us)
