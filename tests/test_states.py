@@ -1,5 +1,7 @@
 """What the states of ordered streams hold and how they are asked, without a stream."""
 
+import random
+
 import pandas as pd
 from pyspark.sql import types as T
 
@@ -75,3 +77,19 @@ def test_a_micro_batch_is_taken_in_bounded_runs(monkeypatch):
     assert sorted(processor.handle_.timers) == [1000, 6000]
     found = released(processor)
     assert len(found) == 1000 and found["answer"].isna().all() and not processor.chunks and not processor.sizes
+
+
+def test_a_state_answers_its_keys_together():
+    rng = random.Random(3)
+    rows = [(rng.randrange(3_000_000), f"u{rng.randrange(40)}", n, f"i{n}" if n % 2 else None, (n + 1) % 2) for n in range(600)]
+    frame = pd.DataFrame(rows, columns=["us", "k", "id", "info", "side"])
+    fields = [T.StructField(c, T.StringType()) for c in frame.columns]
+    processor = ordered._AsOf(fields, ["us", "side", "id"], 1_000_000, "id", "info", "none")
+    processor.init(Handle())
+    early = pd.concat(processor.handleInputRows((0,), iter([frame[:200], frame[200:]]), Clock()))
+    # One timer for each slot, whatever the number of keys.
+    assert sorted(processor.handle_.timers) == [1000, 2000, 3000]
+    infos = sorted((us, id_, k, info) for us, k, id_, info, side in rows if side == 0)
+    want = {id_: ([i for u, _, o, i in infos if o == k and u <= us] or ["none"])[-1] for us, k, id_, _, side in rows if side == 1}
+    for found in (early, released(processor)):
+        assert len(found) == 300 and dict(zip(found["tie"], found["info"])) == want
