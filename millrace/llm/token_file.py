@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from millrace.llm.common import drop_folder, ship, slices, spread, uncollected
+from millrace.llm.common import drop_folder, ship, slices, spread, text_buffer, uncollected
 from millrace.session import scratch_dir
 
 END_ID = 1
@@ -30,6 +30,7 @@ BLOCK_IDS = 1 << 18
 STRIDE = 64
 STARTS = 1 << 18
 REMEMBERED, LONGEST_REMEMBERED = 500_000, 40
+PIECE_BYTES, CALL_BYTES = 1 << 20, 8 << 20
 
 
 def _byte_letters() -> dict[int, int]:
@@ -47,7 +48,11 @@ _SIGNS = "!\"#$%&()*+,-./:;=?@[\\]^_`{}~"
 
 def plain_form(word: str) -> str | None:
     """How the tokenizer's model sees a word of Latin letters alone: lower case, as byte letters; None for other words."""
-    if not word.isalpha() or max(word) > LAST_PLAIN:
+    if not word.isalpha():
+        return None
+    if word.isascii():
+        return word.lower()
+    if max(word) > LAST_PLAIN:
         return None
     word = word.lower()
     if word.isascii():
@@ -55,13 +60,25 @@ def plain_form(word: str) -> str | None:
     return word.encode().decode("latin-1").translate(BYTE_LETTERS) if word.isalpha() else None
 
 
+SPACE, OTHER, LETTER, SIGN = range(4)
+
+
+def _values(column: pa.Array) -> list[bytes]:
+    """The values of a binary column without NULLs, in a third of the time of ``to_pylist``."""
+    if not len(column):
+        return []
+    _, ends, data = column.buffers()
+    data, ends = data.to_pybytes() if data else b"", np.frombuffer(ends, dtype=np.int32)[column.offset : column.offset + len(column) + 1]
+    return [data[a:b] for a, b in itertools.pairwise(ends.tolist())]
+
+
 class WordEncoder:
-    """Ids of texts by a tokenizer that never joins over ASCII white space; each distinct word is encoded once.
+    """Ids of texts by a tokenizer that never joins over ASCII white space; each distinct word of a call is looked up once.
 
     Words of Latin letters alone go straight to the tokenizer's model, which spares its normaliser
-    and splitter. That both ways agree on such words is tried when the tokenizer is loaded; if
-    they do not, every word takes the whole way. So is that white space joins nothing; if it does, texts
-    are encoded whole.
+    and splitter; signs after such a word are looked up on their own. That both ways agree on such words is tried
+    when the tokenizer is loaded; if they do not, every word takes the whole way. So is that white space joins nothing;
+    if it does, texts are encoded whole.
     """
 
     def __init__(self, path: str):
@@ -77,13 +94,24 @@ class WordEncoder:
         ends = [a + b for a in _SIGNS for b in ("", *_SIGNS)]
         apart = [a + b for a, b in zip(self._whole(["\u00e9a"] * len(ends)), self._whole(ends))]
         self.signs_apart = self._whole(["\u00e9a" + e for e in ends]) == apart
-        self.tails: dict[str, bytes] = {"": b""}
+        after = [(a, e) for a in letters for e in _SIGNS]
+        alone = {w: ids for w, ids in zip([*letters, *_SIGNS], self._whole([*letters, *_SIGNS]))}
+        self.signs_apart &= self._whole([a + e for a, e in after]) == [alone[a] + alone[e] for a, e in after]
         words = ["a", "Zebra", "\u00e9t\u00e9", "don't", "42", "x9.", "...", "<b>", "\u65e5\u672c"]
         pairs = [(a, gap, b) for a in words for b in words for gap in (" ", "  ", "\t", "\n", "\r\n", "\x0b", "\x0c", " \n ")]
         alone = dict(zip(words, self._whole(words)))
         joined = self._whole([a + gap + b for a, gap, b in pairs])
         padded = self._whole([gap + a + gap for a, gap, _ in pairs])
         self.apart = all(ids == alone[a] + alone[b] and pad == alone[a] for (a, _, b), ids, pad in zip(pairs, joined, padded))
+        # What each byte is; of two-byte characters, those in ``pairs`` are letters.
+        self.kinds, self.pairs = np.full(256, OTHER, dtype=np.uint8), np.zeros(1 << 16, dtype=bool)
+        self.kinds[list(b" \t\n\r\x0b\x0c")] = SPACE
+        if self.direct and self.signs_apart:
+            self.kinds[list(_SIGNS.encode())] = SIGN
+            for letter in (a.encode() for a in letters):
+                self.kinds[list(letter)] = LETTER
+                if len(letter) == 2:
+                    self.pairs[int.from_bytes(letter)] = True
 
     def _whole(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -91,51 +119,122 @@ class WordEncoder:
     def _by_model(self, form: str) -> list[int]:
         return [t.id for t in self.model.tokenize(form)]
 
-    def _learn(self, words: list[bytes]) -> dict[bytes, bytes]:
-        # Many words are another one with signs at its end: the stem is looked up once.
-        out, stems, whole = {}, {}, []
-        for word in words:
-            text = word.decode()
-            stem = text.rstrip(_SIGNS) if self.signs_apart else text
-            form = plain_form(stem) if self.direct and stem else None
-            if form is None:
-                whole.append((word, text))
-                continue
-            ids = stems.get(form)
+    def _learn(self, words: list[bytes]) -> list[bytes]:
+        texts = [w.decode() for w in words]
+        forms = [plain_form(t) if self.direct else None for t in texts]
+        whole = iter(self._whole([t for t, form in zip(texts, forms) if form is None]))
+        return [array("I", next(whole) if form is None else self._by_model(form)).tobytes() for form in forms]
+
+    def _ids(self, words: list[bytes]) -> list[bytes]:
+        """The ids of distinct words."""
+        known, older = self.known, self.older
+        out, fresh = list(map(known.get, words)), []
+        for n in [n for n, ids in enumerate(out) if ids is None]:
+            ids = older.get(words[n])
             if ids is None:
-                ids = stems[form] = array("I", self._by_model(form)).tobytes()
-            if len(stem) < len(text):
-                ids += self._tail(text[len(stem) :])
-            out[word] = ids
-        for (word, _), ids in zip(whole, self._whole([text for _, text in whole])):
-            out[word] = array("I", ids).tobytes()
+                fresh.append(n)
+            else:
+                known[words[n]] = out[n] = ids
+        for n, ids in zip(fresh, self._learn([words[n] for n in fresh])):
+            out[n] = ids
+            if len(words[n]) <= LONGEST_REMEMBERED:
+                known[words[n]] = ids
+        if len(known) > REMEMBERED:
+            self.known, self.older = {}, known  # what is still in use comes back from there
         return out
 
-    def _tail(self, signs: str) -> bytes:
-        ids = self.tails.get(signs)
-        if ids is None:
-            ids = array("I", self._whole([signs])[0]).tobytes()
-            if len(signs) <= 3:  # so there are few
-                self.tails[signs] = ids
-        return ids
+    def _words(self, data: np.ndarray, offsets: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+        """The words in ``data`` but for its last byte, letters and the signs after them apart, and how many begin before each offset."""
+        size = len(data) - 1
+        kind = self.kinds[data[:size]]
+        wide = np.flatnonzero((data[:size] >= 0xC2) & (kind == LETTER))  # the first byte of a two-byte character
+        kind[wide[~self.pairs[data[wide].astype(np.int64) << 8 | data[wide + 1]]]] = OTHER
+        begins = np.zeros(size, dtype=bool)
+        begins[offsets[(offsets >= 0) & (offsets < size)]] = True
+        change = begins.copy()
+        change[:1] = True
+        change[1:] |= kind[1:] != kind[:-1]
+        # Runs of bytes of one kind in one text. A word is one or more of them.
+        start = np.flatnonzero(change)
+        sort = kind[start]
+        filled = sort != SPACE
+        head = begins[start]
+        head[:1] = True
+        head[1:] |= ~filled[:-1]
+        end = np.append(start[1:], size)[filled]
+        start, sort, head = start[filled], sort[filled], head[filled]
+        heads = np.flatnonzero(head)
+        runs = np.diff(heads, append=len(start))
+        plain = heads[(runs == 1) & (sort[heads] == LETTER)]
+        two = heads[runs == 2]
+        signed = two[(sort[two] == LETTER) & (sort[two + 1] == SIGN)]
+        # Words of letters alone are lower-cased as far as they are ASCII: so fewer differ.
+        fold = np.zeros(len(start), dtype=bool)
+        fold[plain] = fold[signed] = True
+        capital = np.flatnonzero((data[:size] >= ord("A")) & (data[:size] <= ord("Z")))
+        capital = capital[fold[np.searchsorted(start, capital, side="right") - 1]]
+        lower = data[:size].copy()
+        lower[capital] += 32
+        head[signed + 1] = True
+        first = np.flatnonzero(head)
+        ends = end[np.append(first[1:], len(start))[: len(first)] - 1]
+        start = start[first]
+        bounds = np.zeros(len(start) + 1, dtype=np.int32)
+        np.cumsum(ends - start, out=bounds[1:])
+        words = pa.Array.from_buffers(pa.binary(), len(start), [None, pa.py_buffer(bounds), pa.py_buffer(lower[kind != SPACE])])
+        return words, np.searchsorted(start, offsets)
+
+    def _cut(self, texts: pa.Array) -> list[tuple[pa.Array, np.ndarray]]:
+        """``_words`` of the texts; a long text is taken in pieces that end after white space."""
+        data, offsets = text_buffer(texts)
+        size = int(offsets[-1])
+        cuts = np.array([0, size])
+        if size > PIECE_BYTES:
+            after = np.flatnonzero(self.kinds[data[:size]] == SPACE) + 1
+            near = np.searchsorted(after, np.arange(PIECE_BYTES, size, PIECE_BYTES))
+            cuts = np.unique(np.concatenate([cuts, after[near[near < len(after)]]]))
+        return [self._words(data[a : b + 1], offsets - a) for a, b in itertools.pairwise(cuts.tolist())]
+
+    def encode_pieces(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Run by run of texts: their ids, one after the other, and where each text's begin, with the end of the last.
+
+        NULL is an empty text. Words are looked up for all texts together; what else is needed is held for a run at a time.
+        """
+        runs = list(slices(pa.record_batch([texts], ["text"]), "text", PIECE_BYTES))
+        if not self.apart:
+            for run in runs:
+                ids = self._whole([t or "" for t in run.column("text").to_pylist()])
+                yield np.array([i for own in ids for i in own], dtype=np.uint32), np.cumsum([0, *map(len, ids)])
+            return
+        cut = [self._cut(run.column("text")) for run in runs]
+        pieces = [[(len(w), before) for w, before in parts] for parts in cut]
+        words = pa.chunked_array([w for parts in cut for w, _ in parts], pa.binary())
+        del cut
+        chunks = words.dictionary_encode().chunks  # of one dictionary; empty chunks are gone
+        del words
+        own = self._ids(_values(chunks[0].dictionary)) if chunks else []
+        all_which = np.concatenate([np.zeros(0, dtype=np.int32), *(c.indices.to_numpy() for c in chunks)])
+        del chunks
+        sizes = np.fromiter(map(len, own), dtype=np.int64, count=len(own)) >> 2
+        places, pool = np.cumsum(sizes) - sizes, np.frombuffer(b"".join(own), dtype="<u4")
+        at = 0
+        for parts in pieces:
+            found, bounds = [], np.zeros(len(parts[0][1]), dtype=np.int64)
+            for n, before in parts:
+                which = all_which[at : at + n]
+                ends = np.zeros(n + 1, dtype=np.int64)
+                np.cumsum(sizes[which], out=ends[1:])
+                place = np.repeat(places[which] - ends[:-1], sizes[which])
+                place += np.arange(len(place))
+                found.append(pool[place])
+                bounds += ends[before]
+                at += n
+            yield np.concatenate(found), bounds
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """The ids of each UTF-8 text, as little-endian 32-bit numbers."""
-        if not self.apart:
-            return [array("I", ids).tobytes() for ids in self._whole([t.decode() for t in texts])]
-        cut = [t.split() for t in texts]
-        known, missing = self.known, set()
-        for own in cut:
-            missing.update(itertools.filterfalse(known.__contains__, own))
-        again = {w: self.older[w] for w in missing if w in self.older}
-        known.update(again)
-        known.update(self._learn([w for w in missing if w not in again]))
-        out = [b"".join(map(known.__getitem__, own)) for own in cut]
-        for word in [w for w in missing if len(w) > LONGEST_REMEMBERED]:
-            del known[word]
-        if len(known) > REMEMBERED:
-            self.known, self.older = {}, known  # what is still in use comes back from there
-        return out
+        found = self.encode_pieces(pa.array(texts, pa.binary()).cast(pa.string()))
+        return [ids[a:b].astype("<u4").tobytes() for ids, bounds in found for a, b in itertools.pairwise(bounds.tolist())]
 
 
 @lru_cache(maxsize=2)
@@ -144,23 +243,27 @@ def _encoder(path: str) -> WordEncoder:
 
 
 def _encoded(batches: Iterator[pa.RecordBatch], name: str, end_id: int) -> Iterator[pa.RecordBatch]:
-    encoder, end = _encoder(SparkFiles.get(name)), np.array([end_id], dtype="<u4").tobytes()
+    encoder, end = _encoder(SparkFiles.get(name)), np.array([end_id], dtype="<u4")
+    end_low, end_high = end.astype("<u2").tobytes(), (end >> 16).astype("<u2").tobytes()
     totals, kind = np.zeros(0, dtype=np.int64), None
     with uncollected():
         for batch in batches:
-            for part in slices(batch, "text", 1 << 20):
-                ids = [np.frombuffer(i + end, dtype="<u4") for i in encoder.encode([t or b"" for t in part.column("text").cast(pa.binary()).to_pylist()])]
-                own = np.bincount(np.concatenate(ids))
-                if len(own) > len(totals):
-                    totals = np.concatenate([totals, np.zeros(len(own) - len(totals), dtype=np.int64)])
-                totals[: len(own)] += own
-                # The low and high halves apart: the high ones are mostly zero and compress away.
-                halves = [i.astype("<u2").tobytes() + (i >> 16).astype("<u2").tobytes() for i in ids]
-                kind = part.schema.field("doc_id").type
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(halves, pa.binary()), pa.nulls(len(halves), pa.binary()), pa.nulls(len(halves), pa.binary())],
-                    names=["doc_id", "ids", "used", "counts"],
-                )
+            kind = batch.schema.field("doc_id").type
+            for part in slices(batch, "text", CALL_BYTES):
+                at = 0
+                for ids, bounds in encoder.encode_pieces(part.column("text")):
+                    own = np.bincount(ids, minlength=end_id + 1)
+                    own[end_id] += len(bounds) - 1
+                    if len(own) > len(totals):
+                        totals = np.concatenate([totals, np.zeros(len(own) - len(totals), dtype=np.int64)])
+                    totals[: len(own)] += own
+                    # The low and high halves apart: the high ones are mostly zero and compress away.
+                    low, high = ids.astype("<u2"), (ids >> 16).astype("<u2")
+                    halves = [low[a:b].tobytes() + end_low + high[a:b].tobytes() + end_high for a, b in itertools.pairwise(bounds.tolist())]
+                    none = pa.nulls(len(halves), pa.binary())
+                    columns = [part.column("doc_id").slice(at, len(halves)), pa.array(halves, pa.binary()), none, none]
+                    yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "ids", "used", "counts"])
+                    at += len(halves)
     used = np.flatnonzero(totals)
     if len(used):
         row = [pa.nulls(1, kind), pa.nulls(1, pa.binary()), pa.array([used.astype("<i8").tobytes()]), pa.array([totals[used].astype("<i8").tobytes()])]

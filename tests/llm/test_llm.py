@@ -2,6 +2,7 @@
 
 import hashlib
 import heapq
+import itertools
 import random
 import re
 import time
@@ -9,6 +10,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 import xxhash
@@ -159,6 +161,27 @@ def test_word_encoder_on_odd_words():
         assert np.frombuffer(encoder.encode([text.encode()])[0], dtype="<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_word_encoder_asks_the_model_once_per_form():
+    encoder = token_file.WordEncoder(public_tokenizers.path("word_bpe_49k.json"))
+    asked, by_model = [], encoder._by_model
+    encoder._by_model = lambda form: asked.append(form) or by_model(form)
+    first, second = encoder.encode([b"Zebrafish ZEBRAFISH, zebrafish."]), encoder.encode([b"zebraFish?! (zebrafish zebrafish;"])
+    assert asked == ["zebrafish"] and len(first) == len(second) == 1
+
+
+def test_word_encoder_in_pieces(monkeypatch):
+    """Texts, among them long ones and long gaps, in calls of many pieces, against the library."""
+    monkeypatch.setattr(token_file, "PIECE_BYTES", 64)
+    path, rng = public_tokenizers.path("word_bpe_49k.json"), random.Random(4)
+    encoder, tokenizer = token_file.WordEncoder(path), Tokenizer.from_file(path)
+    parts = [*"abzAZ\u00c9\u00e7\u00df\u0178\u0130\u01c5\u00d7\u00f7\u00aa\u00ba\u024f\u0250\u03a3\u65e5\u0301\u2026!.,;'\"<|-_09 \t\n\r\x0b\x0c\x1c\xa0", " ", " ", "<|endoftext|>", "'s", "The"]
+    texts = ["".join(rng.choices(parts, k=rng.choice([0, 1, 5, 30, 300]))) for _ in range(2000)]
+    texts += [None, "", " " * 500, "x" * 500 + ".", "", "End." + " " * 300 + "\u00c9t\u00e9,", None]
+    got = [ids[a:b].tolist() for ids, ends in encoder.encode_pieces(pa.array(texts, pa.string())) for a, b in itertools.pairwise(ends.tolist())]
+    assert got == [e.ids for e in tokenizer.encode_batch_fast([t or "" for t in texts], add_special_tokens=False)]
+    assert list(encoder.encode_pieces(pa.array([], pa.string()))) == []
+
+
 def test_huffman_blocks():
     rng = np.random.default_rng(1)
     for ids in (rng.zipf(1.3, 5000) % 700, np.zeros(130, dtype=np.int64), np.array([5]), np.arange(300)):
